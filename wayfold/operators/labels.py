@@ -59,6 +59,10 @@ class FrameStats:
         ]
 
 
+def _params(settings: Settings) -> dict[str, float]:
+    return {"eps": settings.eps, "min_samples": settings.min_samples, "time_scale": settings.time_scale_s}
+
+
 def _diagonal(x_span, y_span, settings: Settings):
     ew = x_span * settings.metres_per_degree * settings.dwell_cos_latitude
     ns = y_span * settings.metres_per_degree
@@ -76,7 +80,7 @@ def cluster_frames(x, y, t, speed, low, new, last, settings: Settings) -> FrameS
     rows = np.repeat(new, emitted) + np.arange(emitted.sum()) - np.repeat(np.cumsum(emitted) - emitted, emitted)
     stats.buffer_size[rows] = np.repeat(size, emitted)
 
-    params = {"eps": settings.eps, "min_samples": settings.min_samples, "time_scale": settings.time_scale_s}
+    params = _params(settings)
     full = np.flatnonzero(size >= max(settings.frame_points, settings.min_samples))
     full = full[np.argsort(size[full], kind="stable")]
     dense = full[size[full] <= DENSE_WIDTH]
@@ -88,7 +92,8 @@ def cluster_frames(x, y, t, speed, low, new, last, settings: Settings) -> FrameS
         _dense(stats, x, y, t, speed, low[take], new[take], last[take], int(size[take[-1]]), params, settings)
         at += take.size
     for k in full[dense.size :]:
-        _long(stats, x, y, t, speed, int(low[k]), int(new[k]), int(last[k]), params, settings)
+        span = slice(int(low[k]), int(last[k]) + 1)
+        _long(stats, x, y, t, speed, span, np.arange(span.start, span.stop) >= new[k], params, settings)
     return stats
 
 
@@ -118,30 +123,44 @@ def _dense(stats, x, y, t, speed, low, new, last, width, params, settings):
     )
 
 
-def _long(stats, x, y, t, speed, low, new, last, params, settings):
-    span = slice(low, last + 1)
-    fx, fy = x[span], y[span]
-    labels = label_long_frame(fx, fy, t[span], **params)
+def cluster_one_frame(x, y, t, speed, wanted, settings: Settings) -> FrameStats:
+    """Cluster one frame of any length; `wanted` marks the rows that get the results."""
+    stats = FrameStats(len(x))
+    stats.buffer_size[:] = len(x)
+    if len(x) >= max(settings.frame_points, settings.min_samples):
+        _long(stats, x, y, t, speed, slice(0, len(x)), wanted, _params(settings), settings)
+    return stats
+
+
+def _long(stats, x, y, t, speed, span, wanted, params, settings):
+    fx, fy, ft = x[span], y[span], t[span]
+    if ft.size <= DENSE_WIDTH:
+        everywhere = np.ones((1, ft.size), bool)
+        labels = label_frames(fx[None], fy[None], ft[None], everywhere, wanted[None], **params)[0]
+    else:
+        labels = label_long_frame(fx, fy, ft, **params)
     clustered = np.flatnonzero(labels >= 0)
     if clustered.size == 0:
         return
     cluster = labels[clustered]
     k = int(cluster.max()) + 1
-    top = {name: np.full(k, -np.inf) for name in ("v", "x", "y")}
-    bottom = {name: np.full(k, np.inf) for name in ("x", "y")}
-    np.maximum.at(top["v"], cluster, speed[span][clustered])
-    for name, value in (("x", fx), ("y", fy)):
-        np.maximum.at(top[name], cluster, value[clustered])
-        np.minimum.at(bottom[name], cluster, value[clustered])
-    diagonal = _diagonal(top["x"] - bottom["x"], top["y"] - bottom["y"], settings)
+    speed_top = np.full(k, -np.inf)
+    np.maximum.at(speed_top, cluster, speed[span][clustered])
+    spans = []
+    for value in (fx[clustered], fy[clustered]):
+        top, bottom = np.full(k, -np.inf), np.full(k, np.inf)
+        np.maximum.at(top, cluster, value)
+        np.minimum.at(bottom, cluster, value)
+        spans.append(top - bottom)
+    diagonal = _diagonal(*spans, settings)
     points = np.bincount(cluster, minlength=k)
 
-    fresh = clustered[clustered >= new - low]
-    cluster, row = labels[fresh], fresh + low
+    fresh = clustered[wanted[clustered]]
+    cluster, row = labels[fresh], fresh + span.start
     stats.cluster_id[row] = cluster
     stats.cluster_points[row] = points[cluster]
     stats.cluster_new[row] = np.bincount(cluster, minlength=k)[cluster]
-    stats.max_speed[row] = top["v"][cluster]
+    stats.max_speed[row] = speed_top[cluster]
     stats.diagonal[row] = diagonal[cluster]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from wayfold.operators import cells, clean, dedup, frames, labels, replay, stops
 from wayfold.plans import fixtures as X
 from wayfold.session import shared_folder
 from wayfold.sources import archive, dimensions, messages
+from wayfold.streaming import jobs, sinks, trajectory
 
 KEY = ["vehicle", "datetime"]
 CLEAN_COLUMNS = ["event_id", "vehicle", "x", "y", "speed", "datetime", "grid_id"]
@@ -205,6 +206,67 @@ def congestion_episodes(spark: SparkSession, folder: str) -> DataFrame:
     return cells.episodes(cells.still_congested(_batches(spark, folder)))
 
 
+def _publish(spark: SparkSession, folder: str, path: str) -> Iterator[int]:
+    """Write the events to a stream's input folder in `STREAM_BATCHES` parts, by arrival, one per step."""
+    events = X.table(spark, folder, "events")
+    end = events.agg(F.max("event_id") + 1).first()[0]
+    bounds = [-(-end * b // X.STREAM_BATCHES) for b in range(X.STREAM_BATCHES + 1)]
+    for b, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = events.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
+        part.write.mode("append").parquet(path)
+        yield b
+
+
+def _run_stream(spark: SparkSession, folder: str, name: str, transform, make_sink) -> str:
+    """Feed the events part by part through a stream that is stopped and resumed in between."""
+    path = shared_folder(spark, name)
+    schema = X.table(spark, folder, "events").schema
+    with jobs.stream_settings(spark):
+        for _ in _publish(spark, folder, f"{path}/input"):
+            waypoints = X.gps_from_events(messages.file_stream(spark, f"{path}/input", schema))
+            query = jobs.start(
+                transform(waypoints), make_sink(path), f"{path}/checkpoint", available_now=True
+            )
+            query.awaitTermination()
+    return path
+
+
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Watermark and duplicate removal on a stream."""
+
+    def transform(waypoints: DataFrame) -> DataFrame:
+        return trajectory.drop_repeats(clean.clean(waypoints)).select(*KEY)
+
+    def make_sink(path: str):
+        return lambda batch, batch_id: sinks.write_batch(batch, f"{path}/rows", batch_id)
+
+    path = _run_stream(spark, folder, "stream-dedup", transform, make_sink)
+    return spark.read.parquet(f"{path}/rows").select(*KEY)
+
+
+def _stream_labels(waypoints: DataFrame) -> DataFrame:
+    return jobs.congestion_labels(waypoints, arrival="event_id")
+
+
+def stream_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Trajectory state on a stream: labels depend on what earlier micro-batches left behind."""
+
+    def make_sink(path: str):
+        return lambda batch, batch_id: sinks.write_batch(batch, f"{path}/rows", batch_id)
+
+    path = _run_stream(spark, folder, "stream-labels", _stream_labels, make_sink)
+    return spark.read.parquet(f"{path}/rows").drop("batch_id")
+
+
+def stream_live_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The live cell table after all micro-batches went through the congestion sinks."""
+    path = _run_stream(
+        spark, folder, "stream-cells", _stream_labels, lambda path: sinks.CongestionSink(spark, path)
+    )
+    live = sinks.CongestionSink(spark, path).live.read()
+    return live.select("grid_id", "batch_id", *cells.CELL_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -235,5 +297,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         live_cells,
         cell_feed,
         congestion_episodes,
+        stream_dedup,
+        stream_labels,
+        stream_live_cells,
     )
 }

@@ -62,18 +62,6 @@ class VersionedTable:
             files.delete(target, True)
 
 
-def merge_latest(old: DataFrame | None, new: DataFrame, key: str, order: str) -> DataFrame:
-    """Old and new rows together, the one with the highest `order` per key."""
-    rows = new if old is None else old.unionByName(new)
-    rest = [c for c in rows.columns if c not in (key, order)]
-    return (
-        rows.groupBy(key)
-        .agg(F.max(order).alias(order), F.max_by(F.struct(*rest), order).alias("r"))
-        .select(key, order, *[f"r.{c}" for c in rest])
-        .select(*new.columns)
-    )
-
-
 def merge_or_remove(old: DataFrame | None, new: DataFrame, key: str, keep: str) -> DataFrame:
     """Replace the rows of `old` that `new` has a row for, and drop those where `keep` is false.
 
