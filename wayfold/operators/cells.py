@@ -97,10 +97,11 @@ def not_expired(cells: DataFrame, as_of: int | Column, settings: Settings = DEFA
     return cells.filter(F.col("updated_at") > limit)
 
 
-def cell_details(cells: DataFrame) -> DataFrame:
+def cell_details(cells: DataFrame, *keep: str) -> DataFrame:
     """The live record of a cell, as text with fixed decimals."""
     return cells.select(
         "grid_id",
+        *keep,
         F.lit(scoring.CONGESTED).alias("status"),
         fixed_text(F.col("avg_speed"), 2).alias("avg_speed"),
         fixed_text(F.col("avg_tti"), 2).alias("avg_tti"),
@@ -114,11 +115,9 @@ def cell_details(cells: DataFrame) -> DataFrame:
     )
 
 
-def cell_snapshot(index: DataFrame, details: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The served list: the severity index (at most `top_cells` rows, hence safe to broadcast) joined
-    to the details; an indexed cell without details is skipped. Text is read back as numbers."""
-    worst = ranked(index.select("grid_id", "severity"), settings.top_cells).select("grid_id", "rank")
-    return details.join(F.broadcast(worst), "grid_id").select(
+def served(details: DataFrame) -> DataFrame:
+    """Ranked detail records read back as numbers, with defaults for missing or malformed text."""
+    return details.select(
         "rank",
         F.col("grid_id").cast("string").alias("grid_id"),
         F.coalesce("status", F.lit(scoring.CONGESTED)).alias("status"),
@@ -132,10 +131,21 @@ def cell_snapshot(index: DataFrame, details: DataFrame, settings: Settings = DEF
     )
 
 
+def cell_snapshot(index: DataFrame, details: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The served list from two stored tables: the severity index (cut to `top_cells` rows, hence safe
+    to broadcast) joined to the details. An indexed cell without details is skipped."""
+    worst = ranked(index.select("grid_id", "severity"), settings.top_cells).select("grid_id", "rank")
+    return served(details.join(F.broadcast(worst), "grid_id"))
+
+
 def live_cells(batches: DataFrame, as_of: int | Column, settings: Settings = DEFAULTS) -> DataFrame:
-    """Snapshot of the live table after a history of per-batch aggregates."""
-    current = still_congested(latest_cells(batches))
-    return cell_snapshot(current, cell_details(not_expired(current, as_of, settings)), settings)
+    """The served list after a history of per-batch aggregates.
+
+    Index and details come from the same rows here, so ranking first and
+    expiring afterwards replaces the join and the history is read once.
+    """
+    index = ranked(still_congested(latest_cells(batches)), settings.top_cells)
+    return served(cell_details(not_expired(index, as_of, settings), "rank"))
 
 
 def cell_feed(batches: DataFrame) -> DataFrame:

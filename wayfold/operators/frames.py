@@ -49,9 +49,10 @@ def with_context(rows: DataFrame, block: Column, context: int) -> DataFrame:
     )
     # Each block holds at least one row, so `context` blocks back is far enough.
     before = W.partitionBy("vehicle").orderBy("block").rowsBetween(-context, -1)
+    earlier = tails.select(*GROUP, F.flatten(F.collect_list("tail").over(before)).alias("p"))
     preceding = (
-        tails.select(*GROUP, F.slice(F.flatten(F.collect_list("tail").over(before)), -context, context).alias("p"))
-        .filter(F.size("p") > 0)
+        earlier.filter(F.size("p") > 0)
+        .withColumn("p", F.slice("p", F.greatest(F.size("p") - (context - 1), F.lit(1)), context))
         .select(*GROUP, F.explode("p").alias("p"))
         .select(*[F.col(c) if c in GROUP else F.col(f"p.{c}").alias(c) for c in columns])
         .repartition(*GROUP)

@@ -8,7 +8,7 @@ numbers come from Python; scores and status are columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -285,10 +285,11 @@ def label_points(
     step: str | None = None,
     block: Column | None = None,
     density_scope: str = "emitted",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Labelled points in the declared layout (plus `step`, if there is one)."""
+    """Labelled points in the declared layout, followed by `step` (if there is one) and `keep`."""
     needed = ["vehicle", "x", "y", "speed", "datetime", "grid_id"]
-    extra = [step] if step else []
+    extra = ([step] if step else []) + list(keep)
     labelled = cluster_points(rows.select(*needed, *extra), settings, step, block)
     return with_scores(labelled, settings, density_scope).select(*LABELLED_COLUMNS, *extra)
 

@@ -25,6 +25,7 @@ FALLBACK_S = BASE_S - 60
 
 # Micro-batches the streaming queries cut the events into, by arrival.
 STREAM_BATCHES = 3
+STREAM_STEP_S = 50
 
 
 def live_settings() -> Settings:
@@ -32,6 +33,11 @@ def live_settings() -> Settings:
     return replace(DEFAULTS, live_ttl_s=LIVE_TTL_S)
 
 
+def split_settings() -> Settings:
+    """Blocks short enough that the ten minutes of data fall into several, so their seams are checked."""
+    return replace(DEFAULTS, block_s=200)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -382,8 +382,10 @@ FROM runs GROUP BY grid_id, run"""
     q["stream_labels"] = f"WITH RECURSIVE {_BY_BATCH} SELECT {_LABELLED} FROM labelled"
 
     q["stream_live_cells"] = f"""WITH RECURSIVE {_BY_BATCH},
-batches AS (SELECT *, step AS batch_id FROM ({_cells("step")})),
-newest AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY grid_id ORDER BY batch_id DESC) = 1)
-SELECT grid_id, batch_id, {_CELL_VALUES} FROM newest WHERE congested_count > 0"""
+batches AS (
+  SELECT *, step AS batch_id, {X.BASE_S} + step * {X.STREAM_STEP_S} AS updated_at FROM ({_cells("step")})
+), {latest}
+SELECT {live_columns} FROM indexed
+WHERE rank <= 200 AND updated_at > {X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S - X.LIVE_TTL_S}"""
 
     return q

@@ -41,17 +41,18 @@ def _sliced(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.first_arrival(_clean_all(slices, "window_id", "window_start"), KEY, "event_id")
 
 
-def _labelled_slices(spark: SparkSession, folder: str) -> DataFrame:
-    return labels.label_points(_sliced(spark, folder), step="window_id", block=slice_block("window_id"))
+def _labelled_slices(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
+    return labels.label_points(
+        _sliced(spark, folder), step="window_id", block=slice_block("window_id"), keep=keep
+    )
 
 
 def _batches(spark: SparkSession, folder: str) -> DataFrame:
     """Per-slice cell aggregates: what a stream with one slice per micro-batch would produce."""
-    slices = cells.cell_congestion(_labelled_slices(spark, folder), "window_id")
-    start = replay.replay_start(X.gps(spark, folder), DEFAULTS.replay_head_s)
-    return slices.withColumnRenamed("window_id", "batch_id").withColumn(
-        "updated_at", start + F.col("batch_id") * DEFAULTS.slice_s
+    slices = cells.cell_congestion(
+        _labelled_slices(spark, folder, "window_start"), "window_id", "window_start"
     )
+    return slices.withColumnsRenamed({"window_id": "batch_id", "window_start": "updated_at"})
 
 
 def _routes(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,6 +135,7 @@ def rolling_frames(spark: SparkSession, folder: str) -> DataFrame:
     return frames.rolling_frames(
         rows,
         [F.min("datetime"), F.max("speed")],
+        X.split_settings(),
         names=["frame_start", "frame_max_speed"],
     ).drop("speed")
 
@@ -144,7 +146,7 @@ def newest_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clustered_flag(spark: SparkSession, folder: str) -> DataFrame:
-    return labels.cluster_points(_clean(spark, folder)).select(
+    return labels.cluster_points(_clean(spark, folder), X.split_settings()).select(
         "vehicle", F.col("datetime").alias("event_ts"), (F.col("cluster_id") >= 0).alias("clustered")
     )
 
@@ -259,12 +261,17 @@ def stream_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_live_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """The live cell table after all micro-batches went through the congestion sinks."""
-    path = _run_stream(
-        spark, folder, "stream-cells", _stream_labels, lambda path: sinks.CongestionSink(spark, path)
-    )
-    live = sinks.CongestionSink(spark, path).live.read()
-    return live.select("grid_id", "batch_id", *cells.CELL_COLUMNS)
+    """The served list after all micro-batches went through the congestion sinks.
+
+    Batches are `STREAM_STEP_S` apart, so that some cells have expired by the last one.
+    """
+
+    def make_sink(path: str) -> sinks.CongestionSink:
+        updated_at = F.col("batch_id") * X.STREAM_STEP_S + X.BASE_S
+        return sinks.CongestionSink(spark, path, X.live_settings(), updated_at)
+
+    path = _run_stream(spark, folder, "stream-cells", _stream_labels, make_sink)
+    return make_sink(path).snapshot(X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
