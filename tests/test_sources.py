@@ -1,0 +1,187 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from wayfold.operators import labels, replay, stops, tracking
+from wayfold.plans import fixtures as X
+from wayfold.plans import queries as Q
+from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
+from wayfold.sources import archive, dimensions, messages
+from wayfold.sources.tables import VersionedTable, merge_or_remove
+
+POINT = {"vehicle": "a", "speed": 1.5, "datetime": 1_704_067_200, "x": 106.6, "y": 10.7, "working": True}
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_json_archive_wrapped_flat_and_broken(spark, tmp_path, multi_line):
+    records = [
+        {WRAPPER: POINT},
+        {**POINT, "vehicle": "b"},
+        {WRAPPER: None},
+        {WRAPPER: {**POINT, "vehicle": ""}},
+        {WRAPPER: {**POINT, "vehicle": None}},
+        {WRAPPER: {**POINT, "vehicle": "c", "speed": None}, "kind": "extra"},
+    ]
+    text = json.dumps(records) if multi_line else "\n".join(json.dumps(r) for r in records)
+    (tmp_path / "part.json").write_text(text)
+    got = archive.read_waypoints(spark, str(tmp_path), multi_line).orderBy("vehicle").collect()
+    assert [(r.vehicle, r.speed, r.x) for r in got] == [("a", 1.5, 106.6), ("b", 1.5, 106.6), ("c", None, 106.6)]
+    assert got[0].asDict().keys() == set(WAYPOINT_COLUMNS)
+
+
+def test_routes_csv(spark, tmp_path):
+    path = tmp_path / "routes.csv"
+    path.write_text("vehicle,route_id,route_no\n a ,R1, 7 \n,R9,9\nb,  ,8\na,R2,\n   ,x,y\n")
+    got = {tuple(r) for r in dimensions.read_routes(spark, str(path)).collect()}
+    assert got == {("a", "R2", None), ("b", None, "8")}
+
+
+def test_routes_last_line_wins_over_files(spark, tmp_path):
+    for name, number in [("1.csv", 1), ("2.csv", 2), ("3.csv", 3)]:
+        lines = ["vehicle,route_id,route_no"] + [f"v{i},R,{number}-{k}" for k in range(40) for i in range(3)]
+        # The first file is the largest, so Spark reads it first whatever its name.
+        (tmp_path / name).write_text("\n".join(lines[: len(lines) - number * 9]))
+    got = {r.vehicle: r.route_no for r in dimensions.read_routes(spark, str(tmp_path)).collect()}
+    assert {v.split("-")[0] for v in got.values()} == {"3"}
+    assert len(got) == 3
+
+
+def test_missing_routes_are_no_routes(spark, tmp_path):
+    routes = dimensions.read_routes(spark, str(tmp_path / "none.csv"))
+    assert routes.count() == 0
+    point = spark.createDataFrame([("a", 1.0, 2.0, 3.0, 60)], "vehicle string, x double, y double, speed double, datetime long")
+    row = tracking.vehicle_positions(point, routes).first()
+    assert (row.bus_id, row.lat, row.lng, row.route_id) == ("a", 2.0, 1.0, None)
+
+
+def test_stops_csv(spark, tmp_path):
+    path = tmp_path / "stops.csv"
+    path.write_text("stop_x,stop_y\n106.6,10.7\n106.6,10.7\n")
+    read = dimensions.read_stops(spark, str(path))
+    near = 20 / 111_320
+    points = spark.createDataFrame(
+        [
+            ("slow near", 106.6, 10.7 + near, 4.9),
+            ("limit speed", 106.6, 10.7 + near, 5.0),
+            ("far", 106.6, 10.7 + 2 * near, 0.0),
+            ("no speed", 106.6, 10.7, None),
+        ],
+        "vehicle string, x double, y double, speed double",
+    )
+    kept = {r.vehicle for r in stops.without_stop_dwell(points, read).collect()}
+    assert kept == {"limit speed", "far", "no speed"}
+
+
+def test_stop_filter_equals_all_pairs_around_cell_borders(spark):
+    centre = spark.createDataFrame([(106.6, 10.76), (106.601, 10.7609995), (-0.0001, 0.0)], "stop_x double, stop_y double")
+    points = (
+        spark.range(40_000)
+        .select(
+            F.col("id").alias("n"),
+            (F.element_at(F.array(F.lit(106.6), F.lit(106.601), F.lit(0.0)), (F.col("id") % 3 + 1).cast("int"))
+             + (F.rand(1) - 0.5) * 0.0015).alias("x"),
+            (F.element_at(F.array(F.lit(10.76), F.lit(10.761), F.lit(0.0)), (F.col("id") % 3 + 1).cast("int"))
+             + (F.rand(2) - 0.5) * 0.0015).alias("y"),
+            F.lit(1.0).alias("speed"),
+        )
+        .cache()
+    )
+    kept = {r.n for r in stops.without_stop_dwell(points, centre).collect()}
+    distance = F.sqrt(
+        F.pow((F.col("y") - F.col("stop_y")) * 111_320.0, 2)
+        + F.pow((F.col("x") - F.col("stop_x")) * 111_320.0 * 0.982287250728689, 2)
+    )
+    near = points.join(centre, distance < 30, "left_semi")
+    assert kept == {r.n for r in points.join(near, "n", "left_anti").collect()}
+    assert 0 < len(kept) < 40_000
+
+
+def test_messages_bad_records_and_types(spark):
+    rows = [
+        ('{"vehicle":"a","speed":1.5,"datetime":5,"x":1.0,"y":2.0,"working":true}',),
+        ('{"vehicle":"a","speed":1.',),
+        ("[]",),
+        ('{"vehicle":"b","speed":"fast","x":3.0}',),
+        (None,),
+    ]
+    got = messages.parse_messages(spark.createDataFrame(rows, "value string")).collect()
+    assert [(r.vehicle, r.speed, r.x, r.working) for r in got] == [
+        ("a", 1.5, 1.0, True),
+        (None, None, None, None),
+        (None, None, None, None),
+        ("b", None, 3.0, None),
+        (None, None, None, None),
+    ]
+    raw = spark.createDataFrame([(bytearray(rows[0][0], "utf-8"),)], "value binary")
+    assert messages.parse_messages(raw).first().vehicle == "a"
+
+
+def test_archive_has_no_parked_points_and_prunes(spark, small, tmp_path):
+    path = str(tmp_path / "archive")
+    points = Q.labelled_points(spark, small).cache()
+    archive.write_archive(points, path, 3)
+    archive.write_archive(points, path, 3)
+    archive.write_archive(points, path, 4)
+    read = archive.read_archive(spark, path)
+    assert read.filter("batch_id = 3").count() == points.filter("congestion_status <> 'Dwelling'").count()
+    assert read.filter("congestion_status = 'Dwelling'").count() == 0
+    plan = read.filter("congestion_status = 'Congested' and batch_id = 4")._jdf.queryExecution().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "congestion_status" in pruned and "batch_id" in pruned
+
+
+def test_versioned_table_builds_on_the_version_before(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.read() is None
+
+    def step(rows, version):
+        new = spark.createDataFrame(rows, "k int, v string, keep boolean")
+        table.write(merge_or_remove(table.read(before=version), new, "k", "keep"), version)
+
+    step([(1, "a", True), (2, "b", True), (9, "z", False)], 0)
+    step([(2, "c", True), (3, "d", True)], 1)
+    step([(1, "x", False), (4, "e", True)], 2)
+    expected = {(2, "c"), (3, "d"), (4, "e")}
+    assert {tuple(r) for r in table.read().collect()} == expected
+    step([(1, "x", False), (4, "e", True)], 2)
+    assert {tuple(r) for r in table.read().collect()} == expected
+    assert {tuple(r) for r in table.read(before=2).collect()} == {(1, "a"), (2, "c"), (3, "d")}
+    table.expire(keep=1)
+    assert table.versions() == [2]
+
+
+def test_latest_by_event_time(spark):
+    rows = [("a", 1, 100, 1.0), ("a", 2, 90, 2.0), ("a", 3, 100, 3.0), ("b", 4, None, 4.0), (None, 5, 1, 5.0)]
+    df = spark.createDataFrame(rows, "vehicle string, n long, datetime long, x double").withColumns(
+        {"y": F.lit(0.0), "speed": F.lit(0.0)}
+    )
+    by_time = {r.vehicle: r.n for r in tracking.latest_waypoints(df, "n", by="event_time").collect()}
+    by_arrival = {r.vehicle: r.n for r in tracking.latest_waypoints(df, "n").collect()}
+    assert by_time == {"a": 3, "b": 4}
+    assert by_arrival == {"a": 3, "b": 4}
+    late = df.union(spark.createDataFrame([("a", 6, 50, 6.0, 0.0, 0.0)], df.schema))
+    assert {r.vehicle: r.n for r in tracking.latest_waypoints(late, "n").collect()}["a"] == 6
+    assert {r.vehicle: r.n for r in tracking.latest_waypoints(late, "n", by="event_time").collect()}["a"] == 3
+
+
+def test_replay_start_and_half_open_slices(spark):
+    times = [0, 9, 10, 19, 20, 95, 100]
+    df = spark.createDataFrame([(t + 1_000_000,) for t in times], "datetime long")
+    got = replay.slice_counts(replay.sliced(df, head_s=7200)).orderBy("window_id").collect()
+    assert [(r.window_id, r.n) for r in got] == [(0, 2), (1, 2), (2, 1), (9, 1), (10, 1)]
+    trimmed = replay.slice_counts(replay.sliced(df, head_s=85)).orderBy("window_id").collect()
+    assert [(r.window_id, r.window_start - 1_000_000, r.n) for r in trimmed] == [(0, 15, 2), (8, 95, 2)]
+
+
+def test_labels_do_not_depend_on_input_order(spark, small):
+    base = Q.clean_waypoints(spark, small)
+    shuffled = base.repartition(5).orderBy(F.rand(3))
+    one, two = (labels.label_points(d).select("vehicle", "event_ts", "cluster_id", "severity") for d in (base, shuffled))
+    assert one.exceptAll(two).count() == 0
+
+
+def test_replay_messages_round_trip(spark, small):
+    original = X.gps(spark, small).select(*WAYPOINT_COLUMNS)
+    back = messages.parse_messages(messages.to_messages(original))
+    assert original.exceptAll(back).count() == 0
