@@ -120,7 +120,7 @@ def test_flags_are_three_valued(spark):
     values = [True, False, None]
     rows = [(w, i, u, d) for w in values for i in values for u in values for d in values]
     df = spark.createDataFrame(rows, "working boolean, ignition boolean, door_up boolean, door_down boolean")
-    got = df.select("*", clean.in_service().alias("s"), clean.door_open().alias("o")).collect()
+    got = df.select("*", clean.in_service().alias("s"), clean.doors_closed().alias("c")).collect()
     for r in got:
         assert r.s == (r.working is not False and r.ignition is not False)
-        assert r.o == (r.door_up is True or r.door_down is True)
+        assert r.c == (r.door_up is not True and r.door_down is not True)

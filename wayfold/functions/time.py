@@ -20,17 +20,9 @@ def event_time(seconds: Column) -> Column:
 
 def utc_text(seconds: Column) -> Column:
     """ISO-8601 text with offset, such as 2024-01-01T00:00:07+00:00."""
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / F.lit(86400)).cast("int"))
-    rest = F.pmod(seconds, F.lit(86400))
-    return F.concat(
-        day.cast("string"),
-        F.format_string(
-            "T%02d:%02d:%02d+00:00",
-            F.floor(rest / 3600).cast("int"),
-            F.floor(F.pmod(rest, F.lit(3600)) / 60).cast("int"),
-            F.pmod(rest, F.lit(60)).cast("int"),
-        ),
-    )
+    # A timestamp without zone, counted from the epoch, shows UTC in every session.
+    moment = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + seconds * F.expr("INTERVAL '1' SECOND")
+    return F.concat(F.translate(moment.cast("string"), " ", "T"), F.lit("+00:00"))
 
 
 def position_time(seconds: Column, fallback: Column | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +15,23 @@ REQUIRED = ["vehicle", "x", "y", "datetime"]
 
 
 def in_service() -> Column:
-    """Working with the ignition on; a missing flag counts as on."""
-    return F.coalesce(F.col("working"), F.lit(True)) & F.coalesce(F.col("ignition"), F.lit(True))
+    """Working with the ignition on; a missing flag counts as on.
+
+    Spelled with null tests, not `coalesce`, because those reach a Parquet scan.
+    """
+    working, ignition = F.col("working"), F.col("ignition")
+    return (working.isNull() | working) & (ignition.isNull() | ignition)
 
 
-def door_open() -> Column:
+def doors_closed() -> Column:
     """A missing flag counts as closed."""
-    return F.coalesce(F.col("door_up"), F.lit(False)) | F.coalesce(F.col("door_down"), F.lit(False))
+    up, down = F.col("door_up"), F.col("door_down")
+    return (up.isNull() | ~up) & (down.isNull() | ~down)
+
+
+def complete() -> Column:
+    """All required fields are present."""
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in REQUIRED])
 
 
 def with_seconds(waypoints: DataFrame) -> DataFrame:
@@ -34,7 +46,7 @@ def clean(waypoints: DataFrame) -> DataFrame:
     null tests and flags reach a Parquet scan.
     """
     return (
-        with_seconds(waypoints.dropna(subset=REQUIRED).filter(in_service() & ~door_open()))
+        with_seconds(waypoints.filter(complete() & in_service() & doors_closed()))
         .withColumn("speed", F.coalesce(F.col("speed"), F.lit(0.0)))
         .withColumn("event_time", event_time(F.col("datetime")))
     )
@@ -51,7 +63,7 @@ def skip_reason() -> Column:
         .when(F.col("x").isNull() | F.col("y").isNull(), "no position")
         .when(F.col("datetime").isNull(), "no time")
         .when(~in_service(), "out of service")
-        .when(door_open(), "door open")
+        .when(~doors_closed(), "door open")
         .otherwise("kept")
     )
 

@@ -16,7 +16,7 @@ from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
 
 # 2024-01-01 00:00:00 UTC, and event time divided by 4000.
 BASE_S = 1_704_067_200
-MICROS_PER_SECOND = 4_000_000_000
+SPEED_UP = 4000
 
 REPLAY_HEAD_S = 300
 LIVE_TTL_S = 120
@@ -49,9 +49,10 @@ def gps(spark: SparkSession, folder: str) -> DataFrame:
 
 def gps_from_events(events: DataFrame) -> DataFrame:
     e, u = F.col("event_id"), F.col("user_id")
-    # Both sides are read in the session time zone, so it cancels out.
-    since = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'"), F.col("ts"))
-    dt = F.floor(since / F.lit(MICROS_PER_SECOND)).cast("long")
+    # Read off the clock fields, which do not depend on the session time zone.
+    clock = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    days = F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date"))
+    dt = F.floor((days.cast("long") * 86_400 + clock) / F.lit(SPEED_UP)).cast("long")
 
     def every(k: int) -> Column:
         return e % k == 0

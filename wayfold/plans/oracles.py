@@ -10,7 +10,7 @@ from wayfold.plans import fixtures as X
 
 _GPS = f"""
 gps0 AS (
-  SELECT event_id, user_id, event_type, (epoch_us(ts) - {X.BASE_S}000000) // {X.MICROS_PER_SECOND} AS dt FROM events
+  SELECT event_id, user_id, event_type, (epoch_us(ts) - {X.BASE_S}000000) // {X.SPEED_UP}000000 AS dt FROM events
 ),
 gps AS (
   SELECT event_id,

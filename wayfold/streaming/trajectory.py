@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -40,24 +39,30 @@ POINT_FIELDS = [
 OUTPUT = T.StructType(POINT_FIELDS + CLUSTER_FIELDS)
 
 
-def merge_frame(history: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-    """History and new rows by time, the later one for each second, with `is_new`."""
-    both = pd.concat([history.assign(is_new=False), new.assign(is_new=True)], ignore_index=True)
-    both = both.drop_duplicates(subset="datetime", keep="last")
-    return both.sort_values("datetime", kind="stable", ignore_index=True)
+OutputRow = Row(*OUTPUT.fieldNames())
 
+# Points are (x, y, speed, grid_id) by second; the cell of a stored point is not needed again.
+Points = dict[int, tuple]
 
-def label_new_points(frame: pd.DataFrame, settings: Settings) -> pd.DataFrame:
-    """The new rows of a merged frame with the cluster columns."""
-    columns = [frame[c].to_numpy() for c in ("x", "y", "datetime", "speed")]
-    is_new = frame["is_new"].to_numpy(dtype=bool)
-    stats = cluster_one_frame(*columns, is_new, settings)
-    out = frame.loc[is_new, ["vehicle", "x", "y", "speed", "datetime", "grid_id"]].reset_index(drop=True)
-    for field, values in zip(CLUSTER_FIELDS, stats.arrays(np.flatnonzero(is_new)), strict=True):
-        out[field.name] = values.to_pandas(integer_object_nulls=False)
-    for name in ("cluster_points", "cluster_new"):
-        out[name] = out[name].astype("Int32")
-    return out
+
+def label_new_points(vehicle: str, history: Points, new: Points, settings: Settings) -> tuple[list[Row], Points]:
+    """Rows for the new points, labelled in a frame of history and new points, and the points to keep.
+
+    A new point replaces a stored one of the same second.
+    """
+    frame = {**history, **new}
+    seconds = sorted(frame)
+    points = [frame[t] for t in seconds]
+    x, y, speed = (np.array([p[k] for p in points], float) for k in range(3))
+    wanted = np.array([t in new for t in seconds])
+    stats = cluster_one_frame(x, y, np.array(seconds, np.int64), speed, wanted, settings)
+    at = np.flatnonzero(wanted)
+    columns = [values.to_pylist() for values in stats.arrays(at)]
+    rows = [
+        OutputRow(vehicle, *points[i][:3], seconds[i], points[i][3], *described)
+        for i, *described in zip(at.tolist(), *columns)
+    ]
+    return rows, {t: frame[t] for t in seconds[-settings.frame_points :]}
 
 
 class TrajectoryProcessor(StatefulProcessor):
@@ -65,8 +70,8 @@ class TrajectoryProcessor(StatefulProcessor):
 
     With `event_time`, copies of a second are resolved here by arrival (the
     first one wins) and a vehicle is forgotten once the watermark is `idle`
-    past its last point. Otherwise copies were removed before and the idle
-    time runs on the clock.
+    past its last point. Otherwise copies were removed before (a later one
+    would win) and the idle time runs on the clock.
     """
 
     def __init__(self, settings: Settings, event_time: bool, arrival: str | None):
@@ -78,54 +83,42 @@ class TrajectoryProcessor(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("trajectory", STATE)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        order = ["datetime", self.arrival] if self.arrival else ["datetime"]
-        new = new.sort_values(order, kind="stable", ignore_index=True)
-
-        first_time = not self.state.exists()
-        x, y, speed, seconds, seen, _ = ([], [], [], [], [], 0) if first_time else self.state.get()
-        history = pd.DataFrame(
-            {
-                "x": np.asarray(x, float),
-                "y": np.asarray(y, float),
-                "speed": np.asarray(speed, float),
-                "datetime": np.asarray(seconds, np.int64),
-            }
-        )
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        stored = self.state.get()
+        x, y, speed, seconds, seen, _ = stored or ([], [], [], [], [], 0)
+        history = dict(zip(seconds, zip(x, y, speed)))
+
+        new: Points = {}
         if self.event_time:
-            new = new.drop_duplicates(subset="datetime", keep="first")
-            new = new[~new["datetime"].isin(seen)]
-            if new.empty:
+            emitted = set(seen)
+            for row in sorted(rows, key=lambda r: r[self.arrival]):
+                if row.datetime not in emitted:
+                    new.setdefault(row.datetime, (row.x, row.y, row.speed, row.grid_id))
+            if not new:
                 return
-        frame = merge_frame(history, new)
-        yield label_new_points(frame, self.settings)
+        else:
+            for row in rows:
+                new[row.datetime] = (row.x, row.y, row.speed, row.grid_id)
+        labelled, kept = label_new_points(key[0], history, new, self.settings)
+        yield from labelled
 
-        kept = frame.tail(self.settings.frame_points)
         idle_ms = self.settings.idle_timeout_s * 1000
         if self.event_time:
             passed = timerValues.getCurrentWatermarkInMs() // 1000
-            seen = [s for s in [*seen, *new["datetime"].tolist()] if s > passed]
-            active = int(kept["datetime"].iloc[-1]) * 1000
+            seen = [t for t in [*seen, *new] if t > passed]
+            active = max(kept) * 1000
         else:
             active = timerValues.getCurrentProcessingTimeInMs()
-        if first_time:
+        if stored is None:
             # One timer per vehicle; when it is due it is set anew if the vehicle moved on.
             self.handle.registerTimer(active + idle_ms)
-        self.state.update(
-            (
-                kept["x"].tolist(),
-                kept["y"].tolist(),
-                kept["speed"].tolist(),
-                kept["datetime"].tolist(),
-                list(seen),
-                active,
-            )
-        )
+        columns = [[p[k] for p in kept.values()] for k in range(3)]
+        self.state.update((*columns, list(kept), list(seen), active))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            due = self.state.get()[-1] + self.settings.idle_timeout_s * 1000
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        stored = self.state.get()
+        if stored is not None:
+            due = stored[-1] + self.settings.idle_timeout_s * 1000
             if due > expiredTimerInfo.getExpiryTimeInMs():
                 self.handle.registerTimer(due)
             else:
@@ -166,7 +159,7 @@ def trajectory_labels(
     points = (
         rows.select(*wanted)
         .groupBy("vehicle")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=TrajectoryProcessor(settings, by_event, arrival),
             outputStructType=OUTPUT,
             outputMode="Append",
