@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -6,7 +7,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests import brute
-from wayfold.operators.dbscan import label_frames, label_long_frame
+from wayfold.config import DEFAULTS
+from wayfold.operators.dbscan import DENSE_WIDTH, label_frames, label_long_frame
+from wayfold.operators.labels import cluster_frames
 
 PARAMS = {"eps": 0.001, "min_samples": 5, "time_scale": 300.0}
 
@@ -28,10 +31,11 @@ def long(points):
 
 
 def both(points):
-    got = dense(points)
-    assert got == long(points)
-    assert got == dense(points, pad=7)
+    got = long(points)
     assert got == brute.dbscan(points)
+    if len(points) + 7 <= DENSE_WIDTH:
+        assert got == dense(points)
+        assert got == dense(points, pad=7)
     return got
 
 
@@ -116,6 +120,29 @@ def test_many_frames_at_once_equal_single_frames():
         assert got[k].tolist() == brute.dbscan(list(zip(x[k], y[k], t[k].tolist())))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_windows_over_a_buffer_equal_single_frames(data):
+    """The shared neighbour band, with lattice distances that fall exactly on the radius."""
+    n = data.draw(st.integers(2, 90))
+    gaps = data.draw(st.lists(st.integers(1, 60), min_size=n, max_size=n))
+    cells = data.draw(st.lists(st.tuples(st.integers(0, 8), st.integers(0, 8)), min_size=n, max_size=n))
+    x, y = (np.array([c[k] * 0.0002 for c in cells]) for k in (0, 1))
+    t = 1_704_067_200 + np.cumsum(gaps)
+    group = np.where(np.arange(n) >= n // 3, n // 3, 0)
+    last = np.arange(n)
+    low = np.maximum(group, last - 30)
+    speed = np.full(n, 5.0)
+    got = cluster_frames(x, y, t, speed, low, last, last, replace(DEFAULTS, frame_points=5))
+    for k in range(n):
+        frame = list(zip(x[low[k] : k + 1], y[low[k] : k + 1], t[low[k] : k + 1].tolist()))
+        labels = brute.dbscan(frame) if len(frame) >= 5 else [-1]
+        assert got.cluster_id[k] == labels[-1]
+        assert got.buffer_size[k] == len(frame)
+        if labels[-1] >= 0:
+            assert got.cluster_points[k] == labels.count(labels[-1])
+
+
 def test_long_frame_of_a_day():
     rng = np.random.default_rng(5)
     n = 8640

@@ -18,11 +18,11 @@ from pyspark.sql import types as T
 
 from wayfold.config import DEFAULTS, Settings
 from wayfold.functions import scoring
-from wayfold.operators.dbscan import DENSE_WIDTH, label_frames, label_long_frame
+from wayfold.operators.dbscan import DENSE_WIDTH, Band, label_frames, label_long_frame, labels_from_near
 from wayfold.operators.frames import time_block, with_context
 from wayfold.schemas import LABELLED_COLUMNS
 
-_CELLS_AT_ONCE = 1 << 18
+_CELLS_AT_ONCE = 1 << 19
 
 # What the Arrow function adds. The last four describe the point's cluster and are null for noise.
 CLUSTER_FIELDS = [
@@ -84,26 +84,35 @@ def cluster_frames(x, y, t, speed, low, new, last, settings: Settings) -> FrameS
     full = np.flatnonzero(size >= max(settings.frame_points, settings.min_samples))
     full = full[np.argsort(size[full], kind="stable")]
     dense = full[size[full] <= DENSE_WIDTH]
-    at = 0
-    while at < dense.size:
-        # Frames of similar width go together, so padding stays small.
-        widest = int(size[dense[min(at + 255, dense.size - 1)]])
-        take = dense[at : at + min(256, max(1, _CELLS_AT_ONCE // widest**2))]
-        _dense(stats, x, y, t, speed, low[take], new[take], last[take], int(size[take[-1]]), params, settings)
-        at += take.size
+    if dense.size:
+        width = int(size[dense[-1]])
+        band = Band(x, y, t, width, eps=settings.eps, time_scale=settings.time_scale_s)
+        unsure = np.concatenate([[0], np.cumsum(band.unsure)])
+        doubtful = unsure[last[dense] + 1] > unsure[low[dense]]
+        many = max(1, _CELLS_AT_ONCE // width**2)
+        for settled in (True, False):
+            chosen = dense[doubtful != settled]
+            for at in range(0, chosen.size, many):
+                take = chosen[at : at + many]
+                _dense(stats, x, y, t, speed, low[take], new[take], last[take], band, settled, params, settings)
     for k in full[dense.size :]:
         span = slice(int(low[k]), int(last[k]) + 1)
         _long(stats, x, y, t, speed, span, np.arange(span.start, span.stop) >= new[k], params, settings)
     return stats
 
 
-def _dense(stats, x, y, t, speed, low, new, last, width, params, settings):
-    index = last[:, None] + np.arange(1 - width, 1)
-    valid = index >= low[:, None]
-    wanted = index >= new[:, None]
-    index = np.maximum(index, 0)
+def _dense(stats, x, y, t, speed, low, new, last, band, settled, params, settings):
+    # All frames of a call are equally wide; rows before `low` or after `last` are padding.
+    begin = np.maximum(last - (band.width - 1), 0)
+    index = begin[:, None] + np.arange(band.width)
+    inside = (index >= low[:, None]) & (index <= last[:, None])
+    wanted = inside & (index >= new[:, None])
+    index = np.minimum(index, len(x) - 1)
     fx, fy = x[index], y[index]
-    labels = label_frames(fx, fy, t[index], valid, wanted, **params)
+    if settled:
+        labels = labels_from_near(band.near_pairs(begin), inside, wanted, params["min_samples"])
+    else:
+        labels = label_frames(fx, fy, t[index], inside, wanted, **params)
 
     frame, place = np.nonzero(wanted & (labels >= 0))
     if frame.size == 0:
