@@ -10,7 +10,7 @@ from wayfold.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "wayfold-tests", **{"spark.driver.memory": "6g"})
+    session = local_session(4, "wayfold-tests", **{"spark.driver.memory": "6g", "spark.sql.maxMetadataStringLength": "10000"})
     yield session
     session.stop()
 

@@ -80,3 +80,16 @@ def skip_counts(waypoints: DataFrame) -> DataFrame:
         .groupBy("tracked", "reason")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def with_counts(waypoints: DataFrame, name: str = "intake") -> DataFrame:
+    """Count rows, trackable rows and clean rows while they pass, without a pass of their own.
+
+    The totals are in a stream's progress, or in the query execution of a batch.
+    """
+    return waypoints.observe(
+        name,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(is_trackable()).alias("tracked"),
+        F.count_if(skip_reason() == "kept").alias("kept"),
+    )
