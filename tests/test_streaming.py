@@ -9,7 +9,6 @@ from tests import brute
 from wayfold.config import DEFAULTS
 from wayfold.operators import cells, clean, dedup, labels, tracking
 from wayfold.plans import fixtures as X
-from wayfold.plans import queries as Q
 from wayfold.sources import dimensions, messages
 from wayfold.streaming import jobs, sinks, trajectory
 
@@ -259,10 +258,6 @@ def test_kafka_reader_needs_its_connector(spark):
         messages.message_stream(spark, "localhost:1", "topic", 100)
 
 
-def test_dedup_stream_has_bounded_keys(spark, small):
-    assert Q.stream_dedup(spark, small).count() == Q.clean_waypoints(spark, small).count()
-
-
 def test_watermark_plan(spark, tmp_path):
     stream = messages.file_stream(spark, str(tmp_path), SCHEMA)
     plan = trajectory.drop_repeats(clean.clean(stream))._jdf.queryExecution().analyzed().toString()

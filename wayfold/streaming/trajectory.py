@@ -88,17 +88,20 @@ class TrajectoryProcessor(StatefulProcessor):
         x, y, speed, seconds, seen, _ = stored or ([], [], [], [], [], 0)
         history = dict(zip(seconds, zip(x, y, speed)))
 
+        # Copies go as they are read, so memory is bounded by the seconds in the batch.
         new: Points = {}
-        if self.event_time:
-            emitted = set(seen)
-            for row in sorted(rows, key=lambda r: r[self.arrival]):
-                if row.datetime not in emitted:
-                    new.setdefault(row.datetime, (row.x, row.y, row.speed, row.grid_id))
-            if not new:
-                return
-        else:
-            for row in rows:
-                new[row.datetime] = (row.x, row.y, row.speed, row.grid_id)
+        arrived: dict[int, int] = {}
+        emitted = set(seen)
+        for row in rows:
+            t = row.datetime
+            if self.event_time:
+                order = row[self.arrival]
+                if t in emitted or (t in arrived and arrived[t] <= order):
+                    continue
+                arrived[t] = order
+            new[t] = (row.x, row.y, row.speed, row.grid_id)
+        if not new:
+            return
         labelled, kept = label_new_points(key[0], history, new, self.settings)
         yield from labelled
 
