@@ -7,6 +7,7 @@ from wayfold.operators import labels, replay, stops, tracking
 from wayfold.plans import fixtures as X
 from wayfold.plans import queries as Q
 from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
+from wayfold.session import shared_folder
 from wayfold.sources import archive, dimensions, messages
 from wayfold.sources.tables import VersionedTable, merge_or_remove
 
@@ -185,3 +186,31 @@ def test_replay_messages_round_trip(spark, small):
     original = X.gps(spark, small).select(*WAYPOINT_COLUMNS)
     back = messages.parse_messages(messages.to_messages(original))
     assert original.exceptAll(back).count() == 0
+
+
+class FakeSession:
+    """The settings `shared_folder` reads, for sessions that cannot be started here."""
+
+    def __init__(self, named, master, current=None):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master, self.current = master, current
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, path):
+        self.current = path
+
+
+def test_working_folders_lie_in_the_shared_folder(spark):
+    named = FakeSession("hdfs:///shared/", "spark://host:7077")
+    one, two = shared_folder(named, "x"), shared_folder(named, "x")
+    assert one.startswith("hdfs:///shared/x-") and one != two
+    with pytest.raises(ValueError, match="shared folder"):
+        shared_folder(FakeSession(None, "yarn"), "x")
+    alone = FakeSession(None, "local[2]")
+    assert shared_folder(alone, "x").startswith(alone.current)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_folder(spark, "x").startswith(configured)

@@ -38,9 +38,16 @@ def local_session(cpus: int | str = 8, app: str = "wayfold", **extra: str) -> Sp
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's checkpoint folder; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below the checkpoint folder the session names.
+
+    Where none is named, a run on one machine gets a temporary one; a cluster
+    must name a folder all executors can reach.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="wayfold-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wayfold-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

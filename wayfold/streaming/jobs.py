@@ -16,9 +16,15 @@ from wayfold.streaming.trajectory import trajectory_labels
 
 @contextmanager
 def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """Session settings a keyed stream needs while it starts and runs, put back afterwards."""
+    """Session settings a keyed stream needs while it starts and runs, put back afterwards.
+
+    A stream's state keeps the number of partitions of its first start, and each
+    costs a store; more than two per core only delay every batch.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(min(partitions, 2 * spark.sparkContext.defaultParallelism)),
         # A stream that only drains what is there needs no empty batches.
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
