@@ -152,6 +152,16 @@ def test_versioned_table_builds_on_the_version_before(spark, tmp_path):
     assert table.versions() == [2]
 
 
+def test_a_small_change_does_not_shuffle_the_stored_table(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(10_000).select(F.col("id").alias("k"), F.lit("a").alias("v")), 0)
+    change = spark.range(20).select(F.col("id").alias("k"), F.lit("b").alias("v"), (F.col("id") < 10).alias("keep"))
+    merged = merge_or_remove(table.read(), change, "k", "keep")
+    assert merged.count() == 9990
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_latest_by_event_time(spark):
     rows = [("a", 1, 100, 1.0), ("a", 2, 90, 2.0), ("a", 3, 100, 3.0), ("b", 4, None, 4.0), (None, 5, 1, 5.0)]
     df = spark.createDataFrame(rows, "vehicle string, n long, datetime long, x double").withColumns(

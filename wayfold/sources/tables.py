@@ -65,12 +65,13 @@ class VersionedTable:
 def merge_or_remove(old: DataFrame | None, new: DataFrame, key: str, keep: str) -> DataFrame:
     """Replace the rows of `old` that `new` has a row for, and drop those where `keep` is false.
 
-    `new` has one row per key, the columns of `old` and the flag `keep`.
+    `new` has one row per key, the columns of `old` and the flag `keep`. Cache
+    it: Spark then knows its size, and while that is below the broadcast limit
+    the stored table is filtered where it lies, without a shuffle.
     """
     columns = [c for c in new.columns if c != keep]
+    kept = new.filter(F.col(keep)).select(*columns)
     if old is None:
-        return new.filter(F.col(keep)).select(*columns)
-    fresh = new.select(F.col(key), F.struct(*columns).alias("n"), F.col(keep))
-    stored = old.select(F.col(key), F.struct(*columns).alias("o"))
-    merged = stored.join(fresh, key, "full_outer").filter(F.coalesce(F.col(keep), F.lit(True)))
-    return merged.select(F.coalesce("n", "o").alias("r")).select("r.*")
+        return kept
+    untouched = old.join(new.select(key), key, "left_anti").select(*columns)
+    return untouched.unionByName(kept)

@@ -38,21 +38,22 @@ class CongestionSink:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Cached before anything reads it: the keyed state must run once per batch.
         batch.persist()
+        changed = (
+            cells.cell_congestion(batch)
+            .withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .withColumn("updated_at", self.updated_at.cast("long"))
+            .select(*LIVE_COLUMNS, (F.col("congested_count") > 0).alias("keep"))
+            .persist()
+        )
         try:
             if batch.isEmpty():
                 return
             write_archive(batch, self.archive, batch_id)
-            changed = (
-                cells.cell_congestion(batch)
-                .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .withColumn("updated_at", self.updated_at.cast("long"))
-                .select(*LIVE_COLUMNS)
-            )
             write_batch(cells.cell_feed(changed).drop("batch_id"), self.feed, batch_id)
-            flagged = changed.withColumn("keep", F.col("congested_count") > 0)
             before = self.live.read(before=batch_id)
-            self.live.write(merge_or_remove(before, flagged, "grid_id", "keep"), batch_id)
+            self.live.write(merge_or_remove(before, changed, "grid_id", "keep"), batch_id)
         finally:
+            changed.unpersist()
             batch.unpersist()
 
     def snapshot(self, as_of: int | Column) -> DataFrame | None:
@@ -74,20 +75,21 @@ class TrackingSink:
 
     def __call__(self, positions: DataFrame, batch_id: int) -> None:
         positions.persist()
+        values = [c for c in positions.columns if c not in ("bus_id", self.arrival)]
+        newest = (
+            positions.groupBy("bus_id")
+            .agg(F.max_by(F.struct(*values), self.arrival).alias("r"))
+            .select("bus_id", "r.*", F.lit(True).alias("keep"))
+            .persist()
+        )
         try:
             if positions.isEmpty():
                 return
             write_batch(tracking.position_feed(positions), self.feed, batch_id)
-            values = [c for c in positions.columns if c not in ("bus_id", self.arrival)]
-            newest = (
-                positions.groupBy("bus_id")
-                .agg(F.max_by(F.struct(*values), self.arrival).alias("r"))
-                .select("bus_id", "r.*")
-                .withColumn("keep", F.lit(True))
-            )
             before = self.latest.read(before=batch_id)
             self.latest.write(merge_or_remove(before, newest, "bus_id", "keep"), batch_id)
         finally:
+            newest.unpersist()
             positions.unpersist()
 
     def snapshot(self) -> DataFrame | None:
