@@ -8,6 +8,9 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Settings:
+    # Results agree with existing deployments only with these
+    # defaults. `block_s` alone is free.
+
     # Grid and geometry.
     grid_resolution: float = 0.001
     metres_per_degree: float = 111_320.0
@@ -45,7 +48,8 @@ class Settings:
 
     # A vehicle's history is cut into blocks of this many seconds, so that one
     # busy vehicle is spread over many tasks. One row per second at most is left
-    # after deduplication, which bounds a block.
+    # after deduplication, which bounds a block. Choose it so that a usual block
+    # holds far more than `frame_points` rows, since each block repeats that many.
     block_s: int = 24 * 60 * 60
 
 

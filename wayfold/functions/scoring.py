@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayfold.config import DEFAULTS, Settings
 from wayfold.functions.numbers import round_even
 
+# The status names in stored tables and feeds.
 CONGESTED = "Congested"
 DWELLING = "Dwelling"
 SMOOTH = "Smooth"

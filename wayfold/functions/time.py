@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Epoch values above this many units are milliseconds.
+# Fixed value: epoch values above this are milliseconds.
 MILLIS_ABOVE = 20_000_000_000
 
 
