@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from tests import oracle
+from wayfold.plans import oracles, queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.QUERIES, oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def duck(small):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
