@@ -5,11 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wayfold.llm import quality_rules
+from wayfold.llm import quality_rules, simhash, substring_dedup
 from wayfold.llm.tables import read
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.deduplicate(read(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(read(spark, folder, "documents"))
     return judged.select(
@@ -18,6 +29,8 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
+    "op4_simhash": op4_simhash,
     "op8_quality_rules": op8_quality_rules,
 }
 
