@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import quality_rules, simhash, substring_dedup
+from wayfold.llm import byte_bpe, quality_rules, simhash, substring_dedup
 from wayfold.llm.tables import read
 
 
@@ -28,10 +29,24 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = byte_bpe.Vocabulary.read(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    coded = byte_bpe.round_trip(read(spark, folder, "documents"), vocabulary)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash": op4_simhash,
     "op8_quality_rules": op8_quality_rules,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 
