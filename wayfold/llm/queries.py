@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, quality_rules, simhash, substring_dedup
+from wayfold.llm import byte_bpe, lm_scoring, oracles, quality_rules, simhash, substring_dedup, token_counts, url_filters
 from wayfold.llm.tables import read
+from wayfold.session import shared_folder
 
 
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,6 +23,46 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def dated_list(captures: DataFrame) -> DataFrame:
+    """List entries for the hosts and domains of the pages, dated by their hashes; the tables have no list."""
+    number = lambda c: F.conv(F.substring(F.md5(F.col(c).cast("binary")), 1, 7), 16, 10).cast("long")
+    hosts = captures.select(url_filters.host_of(F.col("url")).alias("host")).filter("host is not null").distinct()
+    domains = hosts.select(F.substring_index("host", ".", -2).alias("pattern")).distinct()
+    patterns = (
+        hosts.filter(number("host") % 2 == 0).select(F.col("host").alias("pattern")).union(domains).distinct()
+        .select("pattern", number("pattern").alias("n"))
+    )
+    on = lambda days: F.date_add(F.lit("2024-01-01").cast("date"), days.cast("int"))
+    n = F.col("n")
+    block, allow, remove = (F.lit(k) for k in (url_filters.BLOCK, url_filters.ALLOW, url_filters.REMOVE))
+    dated = F.array(
+        F.struct(block.alias("kind"), on(n % 200).alias("listed_on")),
+        F.struct(remove.alias("kind"), on(n % 200 + 30 + n % 41).alias("listed_on")),
+        F.struct(F.when(n % 3 == 0, allow).otherwise(block).alias("kind"), on(n % 200 + 100 + n % 37).alias("listed_on")),
+    )
+    return patterns.select("pattern", F.inline(dated))
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 360).cast("int"))
+    captures = read(spark, folder, "pages").select("page_id", "url", fetched.alias("fetched_on"))
+    return url_filters.as_of(captures, dated_list(captures))
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents come in, every seventh goes again, every third of the rest gets a new tokenizer; then the
+    second batch arrives once more."""
+    docs = read(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    gone, revised = F.col("doc_id") % 7 == 0, (F.col("doc_id") % 7 != 0) & (F.col("doc_id") % 3 == 0)
+    table = token_counts.Rollups(spark, shared_folder(spark, "token-counts"))
+    table.commit("1-inserts", token_counts.inserts(docs, "words-1"))
+    deleted = token_counts.deletes(docs.filter(gone), "words-1")
+    table.commit("2-deletes", deleted)
+    table.commit("3-revisions", token_counts.revisions(docs.filter(revised), "words-1", "runs-2"))
+    table.commit("2-deletes", deleted)
+    return table.totals()
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(read(spark, folder, "documents"))
     return judged.select(
@@ -29,6 +70,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(read(spark, folder, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = byte_bpe.Vocabulary.read(
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -45,10 +90,13 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_simhash": op4_simhash,
+    "op6_url_filters": op6_url_filters,
+    "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_filters": oracles.OP6, "op7_token_counts": oracles.OP7, "op8_quality_rules": oracles.OP8}
