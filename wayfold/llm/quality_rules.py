@@ -1,7 +1,7 @@
 """Quality rules: base counts, and the distance of a text's histograms from those of its language.
 
 Two histograms of each document, of character classes and of common words, are compared with the
-histograms of all documents of the same language that are not short, by Jensen-Shannon
+histograms of all documents of the same language, by Jensen-Shannon
 distance (base 2, between 0 and 1). Everything is built from Spark's own expressions.
 """
 
@@ -17,11 +17,12 @@ from wayfold.llm.tables import BROADCAST_BYTES, bytes_of, written
 
 # Fixed values of the base rules.
 GAP = r"[\x20\x09-\x0D]+"
+NOT_GAP = r"[^\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-CLASSES = ("upper", "letter", "digit", "mark")
+CLASSES = ("upper", "letter", "mark")
 
 
 @dataclass(frozen=True)
@@ -64,61 +65,34 @@ def _repeat_words(words: Column) -> Column:
     )
 
 
-def _left(pattern: str) -> Column:
+def _left(pattern: str, text: str = "text") -> Column:
     """Number of characters of the text that the pattern does not match."""
-    return F.length(F.regexp_replace("text", pattern, "")).cast("long")
-
-
-def _class_counts() -> dict[str, Column]:
-    upper, letters, digits = (_left(p) for p in (r"\P{Lu}+", r"\P{L}+", r"\P{N}+"))
-    return {"upper": upper, "letter": letters - upper, "digit": digits, "mark": _left(GAP) - letters - digits}
-
-
-def base_counts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang, text and the base counts of each row. A null text counts as an empty one."""
-    text = F.coalesce("text", F.lit(""))
-    words = F.array_remove(F.split(text, GAP), "")
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.regexp_replace(x, GAP, "")) > 0)
-    counted = docs.select(
-        "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), text.alias("text"), *keep,
-        let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).cast("long").alias("repeat"))).alias("words"),
-    ).select(
-        "doc_id", "lang", "text", *keep,
-        F.col("words.n").alias("n_words"),
-        _left(GAP).alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.col("words.repeat").alias("n_repeat_words"),
-        *(n.alias(c) for c, n in _class_counts().items()),
-    )
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return counted.select("*", failed.alias("base_failed"))
+    return F.length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
-def language_references(docs: DataFrame, rules: Rules) -> DataFrame:
-    """One row per language: shares of the character classes, common words and their shares."""
-    words = F.array_remove(F.split(F.lower(F.coalesce("text", F.lit(""))), GAP), "")
-    long_enough = docs.select(
-        F.coalesce("lang", F.lit("")).alias("lang"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        let(words, lambda w: F.when(F.size(w) >= rules.min_words, w)).alias("words"),
-    )
-    measured = long_enough.select(
-        "lang",
-        *(F.when(F.col("words").isNotNull(), n).alias(c) for c, n in _class_counts().items()),
-        F.size("words").alias("n"),
-    )
-    totals = measured.groupBy("lang").agg(
-        F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)).alias("language_words"),
-        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in CLASSES),
-    )
-    words = (
-        long_enough.select("lang", F.explode("words").alias("word"))
+def _classes(text: str = "text") -> dict[str, Column]:
+    upper, letters = _left(r"\P{Lu}+", text), _left(r"\P{L}+", text)
+    return {"upper": upper, "letter": letters - upper, "mark": _left(GAP, text) - letters}
+
+
+def language_references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """One row per language: shares of the character classes, common words and their shares.
+
+    Characters are counted on the distinct words, weighted by how often each occurs.
+    """
+    lang = F.coalesce("lang", F.lit(""))
+    counts = written(
+        docs.select(lang.alias("lang"), F.explode(F.split("text", GAP)).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
+        .filter("word <> ''"),
+        "word-counts",
+    )
+    totals = counts.groupBy("lang").agg(
+        F.sum("n").alias("language_words"), *(F.sum(c * F.col("n")).alias(k) for k, c in _classes("word").items())
     )
     common = (
-        words.join(totals.select("lang", "language_words"), "lang")
+        counts.join(totals.select("lang", "language_words"), "lang")
         .filter(F.col("n") >= rules.common_share * F.col("language_words"))
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("language_words")).alias("share")))).alias("common"))
@@ -144,17 +118,16 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
-def with_distances(counted: DataFrame, references: DataFrame) -> DataFrame:
-    """Add class_distance and word_distance; both null where the language has no reference."""
-    joined = counted.join(references, F.col("lang") == F.col("ref_lang"), "left")
-    every = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
-    classes = sum(
-        (_term(F.col(c) / every, F.get("class_shares", F.lit(i))) for i, c in enumerate(CLASSES)), F.lit(0.0)
-    )
-    n = F.col("n_words").cast("double")
+def _distance(twice_divergence: Column) -> Column:
+    return F.sqrt(F.greatest(twice_divergence / 2, F.lit(0.0)))
+
+
+def _word_distance(words: Column) -> Column:
+    """Distance of the shares of the language's common words, and of all others together."""
+    n = F.size(words).cast("double")
     share = lambda k: F.element_at("common_shares", k)
     place = lambda w: F.array_position("common_words", w).cast("int")
-    places = F.sort_array(F.filter(F.transform(F.split(F.lower("text"), GAP), place), lambda x: x > 0))
+    places = F.sort_array(F.filter(F.transform(words, place), lambda x: x > 0))
 
     def twice_divergence(places: Column, seen: Column, firsts: Column) -> Column:
         times = lambda i: F.coalesce(F.get(firsts, i + 1), F.size(places) + 1) - F.get(firsts, i)
@@ -164,36 +137,65 @@ def with_distances(counted: DataFrame, references: DataFrame) -> DataFrame:
         return found + absent + _term(1 - F.size(places) / n, 1 - _sum("common_shares"))
 
     first = lambda p: lambda k: F.array_position(p, k).cast("int")
-    words = let(
+    return let(
         places,
         lambda p: let(
-            F.array_distinct(p), lambda d: let(F.transform(d, first(p)), lambda f: twice_divergence(p, d, f))
+            F.array_distinct(p),
+            lambda d: let(F.transform(d, first(p)), lambda f: _distance(twice_divergence(p, d, f))),
         ),
     )
-    distance = lambda twice: F.sqrt(F.greatest(twice / 2, F.lit(0.0)))
-    return joined.select(
-        *counted.columns,
-        "language_words",
-        F.when(every > 0, distance(classes)).alias("class_distance"),
-        F.when((F.col("n_words") > 0) & F.col("ref_lang").isNotNull(), distance(words)).alias("word_distance"),
+
+
+def measure(docs: DataFrame, references: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The base counts of each row, class_distance and word_distance.
+
+    The distances are null for a text without words or a language without reference.
+    """
+    words = F.array_remove(F.split("text", GAP), "")
+    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_GAP))
+    known = F.col("ref_lang").isNotNull()
+    by_words = lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        _repeat_words(w).cast("long").alias("n_repeat_words"),
+        F.when(known & (F.size(w) > 0), _word_distance(w)).alias("word_distance"),
+    )
+    counted = (
+        docs.select(
+            "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"), *keep
+        )
+        .join(references, F.col("lang") == F.col("ref_lang"), "left")
+        .select(
+            "*",
+            let(words, by_words).alias("words"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            *(n.alias(c) for c, n in _classes().items()),
+        )
     )
+    every = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
+    divergences = (_term(F.col(c) / every, F.get("class_shares", F.lit(i))) for i, c in enumerate(CLASSES))
+    n_words, n_repeat = F.col("words.n_words"), F.col("words.n_repeat_words")
+    return counted.select(
+        "doc_id", "text", *keep, "language_words", "n_dup_lines", "words.*",
+        every.alias("word_chars"),
+        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        ((n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)).alias("base_failed"),
+        F.when(known & (every > 0), _distance(sum(divergences, F.lit(0.0)))).alias("class_distance"),
+    )
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of `docs` (doc_id, text, lang): counts, distances and the verdict.
+    """One row for each row of `docs` (doc_id, text, lang): counts, distances and the verdict `kept`.
 
     A null text counts as an empty one and fails, a null language is a language of its own. Rows
     with the same doc_id are judged one by one. An empty table gives an empty result. Columns of
     `docs` other than these three are ignored unless named in `keep`.
     """
-    counted = base_counts(docs, keep)
     references = written(language_references(docs, rules), "language-references")
     size = bytes_of(references, 64 + 24 * F.size("common_words") + F.length(F.concat_ws("", "common_words")))
     if size <= BROADCAST_BYTES:
         references = F.broadcast(references)
-    judged = with_distances(counted, references)
     guarded = (F.col("n_words") >= rules.min_words) & (F.col("language_words") >= rules.min_language_words)
     far = (F.col("class_distance") > rules.max_class_distance) | (F.col("word_distance") > rules.max_word_distance)
-    return judged.select(
+    return measure(docs, references, keep).select(
         "*", (~F.col("base_failed") & ~F.coalesce(guarded & far, F.lit(False))).alias("kept")
     )
