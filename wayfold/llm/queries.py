@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, lm_scoring, oracles, quality_rules, simhash, substring_dedup, token_counts, url_filters
+from wayfold.llm import (
+    byte_bpe,
+    decontamination,
+    line_dedup,
+    lm_scoring,
+    oracles,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_counts,
+    url_filters,
+)
 from wayfold.llm.tables import read
 from wayfold.session import shared_folder
 
@@ -18,11 +29,20 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, folder, "documents"))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.deduplicate(read(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_links", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def dated_list(captures: DataFrame) -> DataFrame:
     """List entries for the hosts and domains of the pages, dated by their hashes; the tables have no list."""
     number = lambda c: F.conv(F.substring(F.md5(F.col(c).cast("binary")), 1, 7), 16, 10).cast("long")
@@ -89,7 +109,9 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,
+    "op5_line_dedup": op5_line_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
