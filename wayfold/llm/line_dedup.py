@@ -171,7 +171,6 @@ def _wanted_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_lines", "n_removed", "n_links", "text"]
     for batch in T.chunks(batches, "text"):
         n_lines = np.bincount(Lines(batch.column("text")).row, minlength=len(batch))
         texts = []
@@ -183,7 +182,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed = pc.list_value_length(batch.column("gone")).fill_null(0).cast(pa.int64())
         links = batch.column("n_links").fill_null(0)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n_lines), removed, links, pa.array(texts, pa.string())], names
+            [batch.column("doc_id"), pa.array(n_lines), removed, links, pa.array(texts, pa.string()), *batch.columns[4:]],
+            ["doc_id", "n_lines", "n_removed", "n_links", "text", *batch.schema.names[4:]],
         )
 
 
@@ -222,14 +222,17 @@ def line_links(named: DataFrame, occurrences: DataFrame, threshold: int, min_byt
     return pairs.mapInArrow(_verified(threshold), "a long, b long")
 
 
-def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MIN_BYTES) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MIN_BYTES, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """(doc_id, n_lines, n_removed, n_links, text) for each row of `docs` (doc_id, text).
 
     A line with a word goes if an equal line, or one at most `threshold` byte edits apart, has its first
     occurrence earlier, in the order of doc_id and place. That is judged on the input. n_links counts
     the different lines that the document's lines are linked to, line by line. Lines without a word stay. Null
     texts become empty. Rows without doc_id lose nothing and take nothing from others; repeated rows don't
-    affect each other. Other columns are ignored; an empty table gives an empty result.
+    affect each other. Columns named in `keep` follow the others, the rest are ignored; an empty table gives an
+    empty result.
     """
     named = _hashed(docs)
     occurrences = written(
@@ -263,9 +266,14 @@ def deduplicate(docs: DataFrame, threshold: int = THRESHOLD, min_bytes: int = MI
             F.aggregate("told", F.lit(0).cast("long"), lambda n, x: n + F.coalesce(x["links"], F.lit(0))).alias("n_links"),
         )
     )
+    kept = [F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)]
     hashed = docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_hash")
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_hash"), *kept
+    )
+    names = [f"kept_{i}" for i in range(len(keep))]
+    ready = hashed.join(per_document, ["doc_id", "text_hash"], "left").select(
+        "doc_id", "text", "gone", "n_links", *names
     )
-    return hashed.join(per_document, ["doc_id", "text_hash"], "left").select(
-        "doc_id", "text", "gone", "n_links"
-    ).mapInArrow(_cut, "doc_id long, n_lines long, n_removed long, n_links long, text string")
+    first_columns = "doc_id long, n_lines long, n_removed long, n_links long, text string"
+    schema = ", ".join([first_columns, *(f"{n} {ready.schema[n].dataType.simpleString()}" for n in names)])
+    return ready.mapInArrow(_cut, schema).withColumnsRenamed(dict(zip(names, keep)))

@@ -14,6 +14,7 @@ from wayfold.llm import (
     line_dedup,
     lm_scoring,
     oracles,
+    quality_classifier,
     quality_rules,
     simhash,
     substring_dedup,
@@ -24,6 +25,10 @@ from wayfold.llm.tables import read
 from wayfold.session import shared_folder
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring_dedup.deduplicate(read(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -108,6 +113,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_simhash": op4_simhash,

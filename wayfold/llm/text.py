@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -97,13 +98,20 @@ class Texts:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def word_hashes(self) -> np.ndarray:
-        up, down = _WORD_POWERS.upto(len(self.bytes))
+    @cached_property
+    def _sums(self) -> np.ndarray:
         sums = np.zeros(len(self.bytes) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[self.bytes] * up, out=sums[1:])
-        if not len(self.starts):
+        np.cumsum(_BYTE_VALUES[self.bytes] * _WORD_POWERS.upto(len(self.bytes))[0], out=sums[1:])
+        return sums
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of the bytes from each start to its end."""
+        if not len(starts):
             return np.zeros(0, np.uint64)
-        return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        return mix((self._sums[ends] - self._sums[starts]) * _WORD_POWERS.upto(len(self.bytes))[1][starts])
+
+    def word_hashes(self) -> np.ndarray:
+        return self.hashes(self.starts, self.ends)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
