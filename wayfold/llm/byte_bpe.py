@@ -25,7 +25,7 @@ from wayfold.llm import text as T
 
 CHUNK_BYTES = 4 << 20
 #: Pieces of a task whose ids are remembered; beyond it the memory is emptied.
-REMEMBERED = 200_000
+REMEMBERED = 600_000
 #: A round of the query merges one pair per piece, so pieces of more bytes are merged with a heap instead.
 LONG_PIECE = 256
 
@@ -33,16 +33,19 @@ MERGE = """
 WITH RECURSIVE step(piece, ids) AS (
   SELECT piece, ids FROM pieces
   UNION ALL
-  SELECT piece, ids[:place - 1] || [rank] || ids[place + 2:]
+  SELECT s.piece, s.ids[:place - 1] || [rank] || s.ids[place + 2:]
   FROM (
-    SELECT piece, first(ids) AS ids, (min(best) >> 32)::INT AS rank, (min(best) & 4294967295)::INT AS place
+    SELECT piece, (min(best) >> 32)::INT AS rank, (min(best) & 4294967295)::INT AS place
     FROM (
-      SELECT piece, ids, (m.rank::BIGINT << 32) | place AS best
-      FROM (SELECT piece, ids, unnest(range(1, len(ids)))::INT AS place FROM step) AS position
-      JOIN merges AS m ON m.left_id = ids[place] AND m.right_id = ids[place + 1]
+      SELECT piece, (m.rank::BIGINT << 32) | place AS best
+      FROM (
+        SELECT piece, unnest(range(1, len(ids)))::INT AS place, (unnest(ids[:-2])::BIGINT << 32) | unnest(ids[2:]) AS pair
+        FROM step
+      ) AS position
+      JOIN merges AS m USING (pair)
     )
     GROUP BY piece
-  )
+  ) AS least JOIN step AS s USING (piece)
 )
 SELECT piece, arg_min(ids, len(ids)) AS ids FROM step GROUP BY piece ORDER BY piece
 """
@@ -80,10 +83,11 @@ class Coder:
         v = vocabulary
         self._find = regex.compile(v.pattern).findall
         self._rank = dict(zip(v.tokens, v.ids.tolist()))
+        self._tokens, self._token_ids = pa.array(v.tokens, pa.binary()), v.ids
         self._byte = np.array([self._rank.get(bytes([b]), -1) for b in range(256)], np.int32)
         self._con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        left, right, rank = (pa.array(np.ascontiguousarray(v.merges[:, i])) for i in range(3))
-        self._keep("merges", pa.table({"left_id": left, "right_id": right, "rank": rank}))
+        left, right, rank = v.merges.astype(np.int64).T
+        self._keep("merges", pa.table({"pair": (left << 32) | right, "rank": rank}))
         self._keep("vocabulary", pa.table({"id": pa.array(v.ids), "hex": [t.hex() for t in v.tokens]}))
         self._forget()
 
@@ -132,29 +136,31 @@ class Coder:
         return [x for x, p in zip(ids, parts) if p is not None]
 
     def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self._number]
+        new = list(set(pieces).difference(self._number))
         if not new:
             return
-        data = [p.encode() for p in new]
-        found: list = [None] * len(new)
-        merged = []
-        for i, b in enumerate(data):
-            if b in self._rank:
-                found[i] = [self._rank[b]]
-            elif len(b) > LONG_PIECE:
-                found[i] = self._long(b)
-            else:
-                merged.append(i)
-        if merged:
-            flat = self._byte[np.frombuffer(b"".join(data[i] for i in merged), np.uint8)]
-            ends = np.cumsum([len(data[i]) for i in merged])
-            ids = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat))
-            out = self._ask("pieces", pa.table({"piece": pa.array(merged, pa.int32()), "ids": ids}), MERGE)
-            for i, x in zip(out["piece"].to_pylist(), out["ids"].to_pylist()):
-                found[i] = x
-        self._number.update(zip(new, range(len(self._sizes), len(self._sizes) + len(new))))
-        self._sizes = np.append(self._sizes, np.fromiter(map(len, found), np.int64, len(found)))
-        self._ids = np.append(self._ids, np.array([x for f in found for x in f], np.int32))
+        data = pa.array(new, pa.string()).cast(pa.binary())
+        token = pc.index_in(data, self._tokens).fill_null(-1).to_numpy(zero_copy_only=False)
+        is_long = (token < 0) & (T._lengths(data) > LONG_PIECE)
+        whole, long, merged = (np.flatnonzero(x) for x in (token >= 0, is_long, (token < 0) & ~is_long))
+        by_heap = [self._long(data[i].as_py()) for i in long.tolist()]
+        out = self._merge(data.take(pa.array(merged)))
+        number = range(len(self._sizes), len(self._sizes) + len(new))
+        self._number.update(zip((new[i] for g in (whole, long, merged) for i in g.tolist()), number))
+        sizes = pc.list_value_length(out).to_numpy(zero_copy_only=False)
+        self._sizes = np.concatenate([self._sizes, np.ones(len(whole), np.int64), np.array([len(x) for x in by_heap], np.int64), sizes])
+        heap_ids = np.array([x for ids in by_heap for x in ids], np.int32)
+        self._ids = np.concatenate([self._ids, self._token_ids[token[whole]], heap_ids, out.flatten().to_numpy(zero_copy_only=False)])
+
+    def _merge(self, data: pa.Array) -> pa.Array:
+        """Token ids of pieces by the recursive query."""
+        if not len(data):
+            return pa.array([], pa.list_(pa.int32()))
+        flat = self._byte[np.frombuffer(b"".join(data.to_pylist()), np.uint8)]
+        ends = np.append(0, np.cumsum(T._lengths(data)))
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        table = pa.table({"piece": pa.array(np.arange(len(data), dtype=np.int32)), "ids": ids})
+        return self._ask("pieces", table, MERGE)["ids"].combine_chunks()
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
         if len(self._number) > REMEMBERED:
