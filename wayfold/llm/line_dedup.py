@@ -3,8 +3,9 @@
 A line of `min_bytes` or more is cut into threshold + 1 segments of nearly equal length. At most `threshold`
 edits leave one segment whole, and it stands in the other line at a place that the two lengths and the
 edits narrow down. So each line is indexed by its segments and probes, for each length up to `threshold`
-shorter, the substrings that can be such a segment. Candidates are verified by a banded bit-parallel edit
-distance over their bytes.
+shorter, the substrings that can be such a segment. Pairs whose byte counts differ in parity more often than
+the edits can explain are no candidates; the others are verified by a banded bit-parallel edit distance over
+their bytes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ from wayfold.llm.tables import written
 THRESHOLD = 2
 #: Shorter lines are only compared for equality.
 MIN_BYTES = 24
+#: Lines of a task whose keys have gone out and that it still remembers.
+REMEMBERED = 500_000
+
+_CLASS_BIT = (np.uint32(1) << (np.arange(256) % 32).astype(np.uint32)).astype(np.uint32)
 
 
 class Lines:
@@ -50,6 +55,12 @@ class Lines:
         self._sums = np.zeros(len(t.bytes) + 1, np.uint64)
         np.cumsum(T._BYTE_VALUES[t.bytes] * up[:-1], out=self._sums[1:])
 
+    def parities(self) -> np.ndarray:
+        """For each line and each of 32 classes of bytes, whether it has an odd number of them."""
+        sums = np.zeros(len(self.bytes) + 1, np.uint32)
+        np.bitwise_xor.accumulate(_CLASS_BIT[self.bytes], out=sums[1:])
+        return sums[self.ends] ^ sums[self.starts]
+
     def hashes(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         run = (self._sums[starts + sizes] - self._sums[starts]) * self._down[starts]
         return T.mix(run + sizes.astype(np.uint64))
@@ -67,26 +78,28 @@ def segments(size: np.ndarray, threshold: int) -> list[tuple[np.ndarray, np.ndar
     return out
 
 
-def _keys(lines: Lines, chosen: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(line, key, whether it is a probe): a key holds the segment's bytes, its number and the line's size."""
+def _keys(lines: Lines, chosen: np.ndarray, threshold: int, probe: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(line, key): a key holds the segment's bytes, its number and the size of the line it is a segment of."""
     starts, sizes = lines.starts[chosen], lines.ends[chosen] - lines.starts[chosen]
 
     def key(i: int, whole: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
         tag = whole.astype(np.uint64) * np.uint64(threshold + 1) + np.uint64(i)
         return T.mix(lines.hashes(at, length) ^ T.mix(tag))
 
-    for i, (at, length) in enumerate(segments(sizes, threshold)):
-        yield chosen, key(i, sizes, starts + at, length), False
+    if not probe:
+        for i, (at, length) in enumerate(segments(sizes, threshold)):
+            yield chosen, key(i, sizes, starts + at, length)
+        return
     for shorter in range(threshold + 1):
         size = sizes - shorter
         for i, (at, length) in enumerate(segments(size, threshold)):
             # Of the edits, at most i lie before segment i if it is the first to survive, and the others after it.
-            low = np.maximum(-i, shorter - (threshold - i))
-            high = np.minimum(i, shorter + (threshold - i))
-            for shift in range(int(low), int(high) + 1):
+            low = max(-i, shorter - (threshold - i))
+            high = min(i, shorter + (threshold - i))
+            for shift in range(low, high + 1):
                 begin = at + shift
                 fits = (begin >= 0) & (begin + length <= sizes)
-                yield chosen[fits], key(i, size[fits], (starts + begin)[fits], length[fits]), True
+                yield chosen[fits], key(i, size[fits], (starts + begin)[fits], length[fits])
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,18 +117,22 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _key_rows(threshold: int, min_bytes: int):
+def _key_rows(threshold: int, min_bytes: int, probe: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
         for batch in T.chunks(batches, "text", T.CHUNK_BYTES // 2):
             lines = Lines(batch.column("text"))
             line = lines.hashes(lines.starts, lines.ends - lines.starts).view(np.int64)
-            # Each text of a line once.
+            # A line that many documents repeat leaves a task once, or few times.
             chosen = np.unique(line, return_index=True)[1]
             chosen = chosen[(lines.ends - lines.starts)[chosen] >= min_bytes]
-            for at, key, probe in _keys(lines, chosen, threshold):
+            chosen = chosen[~np.isin(line[chosen], seen)]
+            seen = np.append(seen[-REMEMBERED:], line[chosen])
+            parity = lines.parities()
+            for at, key in _keys(lines, chosen, threshold, probe):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(line[at]), pa.array(key.view(np.int64)), pa.array(np.full(len(at), probe))],
-                    ["line", "key", "probe"],
+                    [pa.array(line[at]), pa.array(key.view(np.int64)), pa.array(parity[at].view(np.int32))],
+                    ["line", "key", "parity"],
                 )
 
     return run
@@ -128,7 +145,7 @@ def within(a: bytes, b: bytes, threshold: int) -> bool:
     if len(b) - len(a) > threshold:
         return False
     width = 2 * threshold + 1
-    mask, top = (1 << width) - 1, 1 << (width - 1)
+    mask = (1 << width) - 1
     # Bit d of reach[e]: a[:i] and b[:i + d - threshold] are at most e edits apart.
     reach = [sum(1 << (threshold + d) for d in range(e + 1)) & mask for e in range(threshold + 1)]
     padded = bytes(threshold) + b + bytes(threshold)
@@ -146,6 +163,8 @@ def within(a: bytes, b: bytes, threshold: int) -> bool:
                 now |= reach[e - 1] | (reach[e - 1] >> 1) | ((below << 1) & mask)
             new.append(now)
             below = now
+        if not below:
+            return False
         reach = new
     return bool(reach[threshold] >> (len(b) - len(a) + threshold) & 1)
 
@@ -195,13 +214,21 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 def line_links(named: DataFrame, occurrences: DataFrame, threshold: int, min_bytes: int) -> DataFrame:
     """(a, b): hashes of different lines, a < b, at most `threshold` edits apart."""
-    keys = named.select("text").mapInArrow(_key_rows(threshold, min_bytes), "line long, key long, probe boolean")
-    keys = written(keys, "segment-keys")
-    index = keys.filter("not probe").select("key", F.col("line").alias("a")).distinct()
-    probes = keys.filter("probe").select("key", F.col("line").alias("b")).distinct()
-    # Of keys that one line alone has, nothing goes into the join.
+
+    def keyed(probe: bool, name: str) -> DataFrame:
+        rows = named.select("text").mapInArrow(
+            _key_rows(threshold, min_bytes, probe), "line long, key long, parity int"
+        )
+        # Dealt by key once, for removing repeats and for the join.
+        rows = rows.select("key", F.col("line").alias(name), F.col("parity").alias(f"parity_{name}"))
+        return rows.repartition("key").distinct()
+
+    # An edit changes the parity of two classes of bytes at most.
+    near = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 2 * threshold
+    probes, index = keyed(True, "b"), keyed(False, "a")
+    same_key = probes["key"] == index["key"]
     candidates = (
-        probes.join(index, "key").filter("a <> b")
+        probes.join(index, same_key & (F.col("a") != F.col("b")) & near)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     candidates = written(candidates, "line-candidates")
