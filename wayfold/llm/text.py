@@ -7,6 +7,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 # The bytes that separate words (space, tab to carriage return).
 SEPARATORS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -64,23 +65,31 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK_BYT
             at = end
 
 
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the texts and where each begins, without a copy; a null has none."""
+    a = texts.cast(pa.large_binary())
+    if a.null_count:
+        a = pa.compute.fill_null(a, b"")
+    if not len(a):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = a.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[a.offset : a.offset + len(a) + 1]
+    every = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return every[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def _lengths(texts: pa.Array) -> np.ndarray:
-    sizes = pa.compute.binary_length(texts.cast(pa.large_binary()))
-    return sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.diff(_bytes(texts)[1])
 
 
 class Texts:
     """The bytes of a column of texts and where its words lie. A null text has no words."""
 
     def __init__(self, column: pa.Array, lower: bool = False):
-        sizes = _lengths(column)
-        self.offsets = np.append(0, np.cumsum(sizes))
-        joined = b"".join(x for x in column.cast(pa.large_binary()).to_pylist() if x)
-        self.data = joined
-        self.bytes = np.frombuffer(joined, np.uint8)
+        self.bytes, self.offsets = _bytes(column)
         if lower:
             self.bytes = _LOWER[self.bytes]
-            self.data = self.bytes.tobytes()
+        self.data = self.bytes.tobytes()
         inside = np.ones(len(self.bytes) + 2, bool)
         inside[0] = inside[-1] = False
         inside[1:-1] = ~_IS_SEPARATOR[self.bytes]
