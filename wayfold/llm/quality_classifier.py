@@ -84,7 +84,7 @@ class Features:
         grams = T.gram_hashes(words, 3).view(np.int64)
         whole = row[: len(grams)] == row[2:]
         runs = np.bincount(row[: len(grams)][whole], minlength=len(n))
-        kinds = np.unique(np.stack([row[: len(grams)][whole], grams[whole]], 1), axis=0)[:, 0]
+        kinds = _distinct(row[: len(grams)][whole], grams[whole])
         fresh = np.bincount(kinds, minlength=len(n)) / np.maximum(runs, 1)
         lines, again = _line_counts(t, len(n))
         enough = t.counts >= 20
@@ -101,6 +101,12 @@ class Features:
         ).astype(np.int8)
 
 
+def _distinct(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The row of each distinct pair of row and hash."""
+    both = T.mix(hashes.view(np.uint64) ^ T.mix(row.astype(np.uint64)))
+    return row[np.unique(both, return_index=True)[1]]
+
+
 def _line_counts(t: T.Texts, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Lines of each text, and how many of them equal an earlier one."""
     edges = np.unique(np.concatenate([t.offsets[:-1], np.flatnonzero(t.bytes == 10) + 1, t.offsets[-1:]]))
@@ -112,7 +118,7 @@ def _line_counts(t: T.Texts, rows: int) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return lines, np.zeros(rows)
     ends = ends - (t.bytes[ends - 1] == 10)
-    kinds = np.unique(np.stack([row, t.hashes(starts, ends).view(np.int64)], 1), axis=0)[:, 0]
+    kinds = _distinct(row, t.hashes(starts, ends).view(np.int64))
     return lines, lines - np.bincount(kinds, minlength=rows)
 
 
