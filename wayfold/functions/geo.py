@@ -14,9 +14,15 @@ def grid_index(degrees: Column, settings: Settings = DEFAULTS) -> Column:
     return F.floor(degrees / F.lit(settings.grid_resolution)).cast("long")
 
 
+def on_earth(x: Column, y: Column) -> Column:
+    """Whether a position is a longitude and a latitude. Plain comparisons, which reach a scan; NaN fails them."""
+    return x.between(-180.0, 180.0) & y.between(-90.0, 90.0)
+
+
 def grid_id(x: Column, y: Column, settings: Settings = DEFAULTS) -> Column:
-    """One number per cell. Cells one degree of latitude apart may share it; `grid_index` never does."""
-    return grid_index(x, settings) * 1000 + grid_index(y, settings)
+    """One number per cell, null off the earth. Cells one degree of latitude apart may share it; `grid_index`
+    never does."""
+    return F.when(on_earth(x, y), grid_index(x, settings) * 1000 + grid_index(y, settings))
 
 
 def planar_metres(dx: Column, dy: Column, cos_latitude: float, settings: Settings = DEFAULTS) -> Column:

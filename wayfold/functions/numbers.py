@@ -6,6 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+LOW_BITS = 20
+
+
 def round_even(value: Column, digits: int) -> Column:
     """Half-even rounding of a double: scale, round to the nearest even integer, scale back."""
     scale = float(10**digits)
@@ -15,11 +18,17 @@ def round_even(value: Column, digits: int) -> Column:
 def stable_mean(value: Column, digits: int) -> Column:
     """Mean of `value` taken in units of 10^-digits.
 
-    The units are whole numbers held in doubles, so their sum is exact (up to
-    2^53) whatever the partitioning, and a retried task cannot change the result.
+    The units are whole numbers. Their high and low bits are summed apart as
+    longs, so the sum is exact for up to 2^43 rows whatever the partitioning,
+    and a retried task cannot change the result. `value` must be finite, and
+    below 2^63 in its units.
     """
     scale = float(10**digits)
-    return F.avg(F.rint(value * scale)) / scale
+    units = F.rint(value * scale).cast("long")
+    high = F.sum(F.shiftright(units, LOW_BITS))
+    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1).cast("long")))
+    total = high.cast("decimal(20,0)") * F.lit(2**LOW_BITS) + low.cast("decimal(20,0)")
+    return total.cast("double") / F.nullif(F.count(units), F.lit(0).cast("long")) / scale
 
 
 def number_or_zero(text: Column, as_type: str = "double") -> Column:

@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.config import DEFAULTS, Settings
-from wayfold.functions.geo import grid_id
-from wayfold.functions.time import epoch_seconds, event_time
+from wayfold.functions.geo import grid_id, on_earth
+from wayfold.functions.time import epoch_seconds, event_time, usable_epoch
 
 REQUIRED = ["vehicle", "x", "y", "datetime"]
 
+# Speeds beyond this, in km/h, are no measurements.
+MAX_SPEED_KMH = 1_000_000.0
+
 
 def in_service() -> Column:
     """Working with the ignition on; a missing flag counts as on.
@@ -30,8 +33,15 @@ def doors_closed() -> Column:
 
 
 def complete() -> Column:
-    """All required fields are present."""
-    return reduce(Column.__and__, [F.col(c).isNotNull() for c in REQUIRED])
+    """All required fields are present and usable."""
+    present = reduce(Column.__and__, [F.col(c).isNotNull() for c in REQUIRED])
+    return present & on_earth(F.col("x"), F.col("y")) & usable_epoch(F.col("datetime"))
+
+
+def usable_speed() -> Column:
+    """The speed; 0 where it is missing, not finite or out of range."""
+    speed = F.col("speed").cast("double")
+    return F.when(speed.between(-MAX_SPEED_KMH, MAX_SPEED_KMH), speed).otherwise(F.lit(0.0))
 
 
 def with_seconds(waypoints: DataFrame) -> DataFrame:
@@ -40,14 +50,14 @@ def with_seconds(waypoints: DataFrame) -> DataFrame:
 
 
 def clean(waypoints: DataFrame) -> DataFrame:
-    """Waypoints in service with doors closed, with all required fields and a speed.
+    """Waypoints in service with doors closed, with all required fields in range and a speed.
 
     Row-wise only, so it works on batch tables and on streams alike, and the
     null tests and flags reach a Parquet scan.
     """
     return (
         with_seconds(waypoints.filter(complete() & in_service() & doors_closed()))
-        .withColumn("speed", F.coalesce(F.col("speed"), F.lit(0.0)))
+        .withColumn("speed", usable_speed())
         .withColumn("event_time", event_time(F.col("datetime")))
     )
 
@@ -61,7 +71,9 @@ def skip_reason() -> Column:
     return (
         F.when(F.col("vehicle").isNull(), "no vehicle")
         .when(F.col("x").isNull() | F.col("y").isNull(), "no position")
+        .when(~on_earth(F.col("x"), F.col("y")), "bad position")
         .when(F.col("datetime").isNull(), "no time")
+        .when(~usable_epoch(F.col("datetime")), "bad time")
         .when(~in_service(), "out of service")
         .when(~doors_closed(), "door open")
         .otherwise("kept")
@@ -69,8 +81,9 @@ def skip_reason() -> Column:
 
 
 def is_trackable() -> Column:
-    """Position tracking needs only a vehicle and a position."""
-    return F.col("vehicle").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
+    """Position tracking needs only a vehicle and a position; a bad time gets the fallback."""
+    present = F.col("vehicle").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
+    return present & on_earth(F.col("x"), F.col("y"))
 
 
 def skip_counts(waypoints: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.functions.time import position_time
-from wayfold.operators.clean import is_trackable, with_seconds
+from wayfold.functions.time import position_time, usable_seconds
+from wayfold.operators.clean import is_trackable, usable_speed, with_seconds
 from wayfold.schemas import POSITION_COLUMNS
 
 
@@ -17,7 +17,7 @@ def to_positions(waypoints: DataFrame, fallback: Column | None = None, keep: tup
         F.col("vehicle").cast("string").alias("bus_id"),
         F.col("y").cast("double").alias("lat"),
         F.col("x").cast("double").alias("lng"),
-        F.coalesce(F.col("speed").cast("double"), F.lit(0.0)).alias("speed"),
+        usable_speed().alias("speed"),
         position_time(F.col("datetime"), fallback).alias("timestamp"),
     )
 
@@ -49,7 +49,8 @@ def latest_waypoints(waypoints: DataFrame, arrival: str, by: str = "arrival") ->
     if by not in ("arrival", "event_time"):
         raise ValueError("by is 'arrival' or 'event_time'")
     trackable = with_seconds(waypoints.filter(is_trackable()))
-    newest = F.col(arrival) if by == "arrival" else F.struct("datetime", arrival)
+    timed = F.when(usable_seconds(F.col("datetime")), F.col("datetime"))
+    newest = F.col(arrival) if by == "arrival" else F.struct(timed, arrival)
     return trackable.groupBy("vehicle").agg(
         F.max_by(arrival, newest).alias(arrival),
         *[F.max_by(c, newest).alias(c) for c in ("x", "y", "speed", "datetime")],
