@@ -30,12 +30,14 @@ def stop_cells(stops: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def without_stop_dwell(waypoints: DataFrame, stops: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Drop points slower than the limit within the radius of any stop.
 
-    An anti join on the cell, then the exact distance: work grows with the stops
-    near a point, not with all stops. The join is left to Spark: broadcast while
-    the stop cells are small, else by shuffle with skewed cells split.
+    Only slow points take part in the join; the others are passed on where they
+    lie. An anti join on the cell, then the exact distance: work grows with the
+    stops near a point, not with all stops. The join is left to Spark: broadcast
+    while the stop cells are small, else by shuffle with skewed cells split.
     """
     near = stop_cells(stops, settings)
-    points = waypoints.withColumn("gx", grid_index(F.col("x"), settings)).withColumn(
+    slow = F.coalesce(F.col("speed") < settings.stop_speed_kmh, F.lit(False))
+    points = waypoints.filter(slow).withColumn("gx", grid_index(F.col("x"), settings)).withColumn(
         "gy", grid_index(F.col("y"), settings)
     )
     distance = planar_metres(
@@ -44,7 +46,6 @@ def without_stop_dwell(waypoints: DataFrame, stops: DataFrame, settings: Setting
     dwelling = (
         (points["gx"] == near["gx"])
         & (points["gy"] == near["gy"])
-        & (points["speed"] < settings.stop_speed_kmh)
         & (distance < settings.stop_radius_m)
     )
-    return points.join(near, dwelling, "left_anti").drop("gx", "gy")
+    return waypoints.filter(~slow).unionByName(points.join(near, dwelling, "left_anti").drop("gx", "gy"))

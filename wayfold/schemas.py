@@ -1,4 +1,7 @@
-"""Declared schemas. Nothing is inferred from data."""
+"""Declared schemas. Nothing is inferred from data.
+
+Fixed values: the names and types of waypoints, positions and labelled points are the wire and table formats.
+"""
 
 from pyspark.sql import types as T
 
@@ -19,8 +22,6 @@ WAYPOINT = T.StructType(
 # Fixed value: the name of the wrapper object in archived records.
 WRAPPER = "msgBusWayPoint"
 
-WRAPPED = T.StructType([T.StructField(WRAPPER, WAYPOINT)])
-
 # A record is either wrapped or flat; one read accepts both.
 ANY_RECORD = T.StructType([T.StructField(WRAPPER, WAYPOINT), *WAYPOINT.fields])
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.functions.scoring import DWELLING
+from wayfold.functions.time import utc_text
 from wayfold.schemas import ANY_RECORD, WAYPOINT_COLUMNS, WRAPPER
 
 
@@ -37,20 +38,26 @@ def archived(labelled: DataFrame) -> DataFrame:
 
 
 def write_archive(labelled: DataFrame, path: str, batch_id: int) -> None:
-    """Add one batch to the archive, partitioned by status.
+    """Add one batch to the archive, partitioned by day of the points, batch and status.
 
-    Each batch owns a directory that is overwritten, so a repeated batch leaves
-    the same rows. Read the archive with `read_archive`.
+    A batch overwrites its own directories only, so a repeated batch leaves the
+    same rows. Rows are gathered by directory first, which adaptive execution
+    splits or merges to files of its advisory size. Read with `read_archive`.
     """
+    directories = ["date", "batch_id", "congestion_status"]
     (
         archived(labelled)
         .withColumn("processed_at", F.current_timestamp())
+        .withColumn("date", F.substring(utc_text(F.col("event_ts")), 1, 10))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .hint("rebalance", *directories)
         .write.mode("overwrite")
-        .partitionBy("congestion_status")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*directories)
+        .parquet(path)
     )
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The archive of all batches; filters on status and batch prune directories."""
+    """The archive of all batches; filters on day, batch and status prune directories."""
     return spark.read.option("basePath", path).parquet(path)

@@ -21,8 +21,20 @@ def _filesystem(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder, or anything that a glob pattern stands for, exists."""
     files, target = _filesystem(spark, path)
-    return files.exists(target)
+    found = files.globStatus(target)
+    return found is not None and len(found) > 0
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """The data files that a file, a folder or a glob pattern stands for, in order. For small tables."""
+    files, target = _filesystem(spark, path)
+    found = []
+    for status in files.globStatus(target) or []:
+        inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [s.getPath().toString() for s in inside if s.isFile() and s.getPath().getName()[0] not in "._"]
+    return sorted(found)
 
 
 class VersionedTable:
@@ -30,34 +42,45 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
+    def _folders(self) -> list[int]:
+        """Numbers of all version folders, committed or not, oldest first: one listing."""
         files, target = _filesystem(self.spark, self.path)
         if not files.exists(target):
             return []
-        jvm = self.spark.sparkContext._jvm
-        found = []
-        for status in files.listStatus(target):
-            name = status.getPath().getName()
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith(_PREFIX) and files.exists(done):
-                found.append(int(name.removeprefix(_PREFIX)))
-        return sorted(found)
+        names = [status.getPath().getName() for status in files.listStatus(target)]
+        return sorted(int(n.removeprefix(_PREFIX)) for n in names if n.startswith(_PREFIX))
+
+    def _committed(self, version: int) -> bool:
+        return path_exists(self.spark, f"{self.path}/{_PREFIX}{version}/_SUCCESS")
+
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        return [v for v in self._folders() if self._committed(v)]
 
     def read(self, before: int | None = None) -> DataFrame | None:
         """The newest version (below `before`, if given), or None if there is none yet."""
-        known = [v for v in self.versions() if before is None or v < before]
-        if not known:
-            return None
-        return self.spark.read.parquet(f"{self.path}/{_PREFIX}{known[-1]}")
+        for version in reversed(self._folders()):
+            if (before is None or version < before) and self._committed(version):
+                return self.spark.read.parquet(f"{self.path}/{_PREFIX}{version}")
+        return None
 
     def write(self, table: DataFrame, version: int) -> None:
         table.write.mode("overwrite").parquet(f"{self.path}/{_PREFIX}{version}")
 
     def expire(self, keep: int) -> None:
-        """Remove all but the newest `keep` versions."""
-        known = self.versions()
-        for version in known[: max(0, len(known) - keep)]:
+        """Remove all but the newest `keep` committed versions, and what failed writes left between the removed."""
+        folders = self._folders()
+        kept, oldest = 0, None
+        for version in reversed(folders):
+            if kept == keep:
+                break
+            if self._committed(version):
+                kept, oldest = kept + 1, version
+        if kept < keep:
+            return
+        for version in folders:
+            if oldest is not None and version >= oldest:
+                continue
             files, target = _filesystem(self.spark, f"{self.path}/{_PREFIX}{version}")
             files.delete(target, True)
 
