@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from wayfold.operators import labels, replay, stops, tracking
+from wayfold.functions.numbers import stable_mean
+from wayfold.operators import cells, labels, replay, stops, tracking
 from wayfold.plans import fixtures as X
 from wayfold.plans import queries as Q
 from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
@@ -38,6 +39,20 @@ def test_routes_csv(spark, tmp_path):
     assert got == {("a", "R2", None), ("b", None, "8")}
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "r1.csv").write_text("id,route_no,vehicle,route_id\n1,08,bus_1,R1\n")
+    (tmp_path / "r2.csv").write_text("vehicle,route_id,route_no\nbus_2,R2,9\n")
+    (tmp_path / "r3.csv").write_text("")
+    got = {tuple(r) for r in dimensions.read_routes(spark, str(tmp_path / "r*.csv")).collect()}
+    assert got == {("bus_1", "R1", "08"), ("bus_2", "R2", "9")}
+    (tmp_path / "s.csv").write_text("name,stop_y,stop_x\na,10.7,106.6\nb,?,106.6\n")
+    stops_read = dimensions.read_stops(spark, str(tmp_path / "s.csv"))
+    assert {tuple(r) for r in stops_read.collect()} == {(106.6, 10.7), (106.6, None)}
+    (tmp_path / "x.csv").write_text("vehicle,route\nbus_1,R1\n")
+    with pytest.raises(ValueError, match="route_id"):
+        dimensions.read_routes(spark, str(tmp_path / "x.csv"))
+
+
 def test_routes_last_line_wins_over_files(spark, tmp_path):
     for name, number in [("1.csv", 1), ("2.csv", 2), ("3.csv", 3)]:
         lines = ["vehicle,route_id,route_no"] + [f"v{i},R,{number}-{k}" for k in range(40) for i in range(3)]
@@ -176,6 +191,45 @@ def test_latest_by_event_time(spark):
     assert {r.vehicle: r.n for r in tracking.latest_waypoints(late, "n", by="event_time").collect()}["a"] == 3
 
 
+def test_slices_keep_a_whole_day(spark):
+    day = spark.range(86_400).select((F.col("id") + 1_000_000).alias("datetime"))
+    assert replay.sliced(day).count() == 86_400
+    odd = day.union(spark.createDataFrame([(9 * 10**18,), (None,)], "datetime long"))
+    assert replay.sliced(odd).count() == 86_400
+    got = replay.sliced(day, start=1_000_010).agg(F.min("window_id"), F.min("window_start"), F.count("*")).first()
+    assert tuple(got) == (0, 1_000_010, 86_390)
+
+
+def test_live_cells_are_not_hidden_by_expired_ones(spark):
+    """200 expired cells of the highest severity, and one live cell."""
+    batches = spark.range(201).select(
+        F.col("id").alias("grid_id"),
+        F.lit(0).cast("long").alias("batch_id"),
+        F.when(F.col("id") < 200, 0).otherwise(10_000).cast("long").alias("updated_at"),
+        F.lit(1).cast("long").alias("congested_count"),
+        *[F.lit(1.0).alias(c) for c in ("cx", "cy", "avg_speed", "avg_tti")],
+        F.when(F.col("id") < 200, 25.0).otherwise(1.0).alias("severity"),
+        F.lit(3_000_000_000).alias("point_count"),
+        F.lit(1).cast("long").alias("vehicles"),
+    )
+    got = cells.live_cells(batches, 10_001).collect()
+    assert [(r["rank"], r.grid_id, r.point_count) for r in got] == [(1, "200", 3_000_000_000)]
+
+
+@pytest.mark.parametrize("parts", [3, 8])
+def test_mean_is_exact_beyond_doubles(spark, parts):
+    """The units add up to far more than 2^53, with an odd last digit."""
+    rows = spark.range(0, 9_000_001, 1, parts).select(
+        F.when(F.col("id") % 2 == 0, 106.6000001).otherwise(106.5999999).alias("v")
+    )
+    mean = rows.agg(stable_mean(F.col("v"), 7).alias("m"))
+    # Exact up to the one rounding of the total to a double.
+    total = 1_066_000_001 * 4_500_001 + 1_065_999_999 * 4_500_000
+    assert total > 2**53 and mean.first().m == float(total) / 9_000_001 / 1e7
+    text = mean._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
 def test_replay_start_and_half_open_slices(spark):
     times = [0, 9, 10, 19, 20, 95, 100]
     df = spark.createDataFrame([(t + 1_000_000,) for t in times], "datetime long")

@@ -1,6 +1,7 @@
 """Streams give what the batch forms give, whatever the interruptions."""
 
 from dataclasses import replace
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,7 +188,7 @@ def test_stream_batch_equivalence_on_the_fixture(spark, small, tmp_path):
 
 def test_congestion_sink_keeps_removes_and_repeats(spark, tmp_path):
     settings = replace(DEFAULTS, live_ttl_s=100)
-    sink = sinks.CongestionSink(spark, str(tmp_path), settings, F.col("batch_id") * 60 + 1000)
+    sink = sinks.CongestionSink(spark, str(tmp_path), settings, F.col("batch_id") * 30 + 1000)
 
     def labelled(rows):
         columns = "vehicle string, x double, y double, speed double, event_ts long, grid_id long, cluster_id int, congestion_status string, tti double, severity double, buffer_size int"
@@ -210,17 +211,54 @@ def test_congestion_sink_keeps_removes_and_repeats(spark, tmp_path):
 
     once = live(), feed(), spark.read.parquet(sink.archive).count()
     assert once[0] == {2: 0, 5: 2}
-    assert once[1] == [(0, "1", "upsert"), (0, "2", "upsert"), (0, "3", "delete"), (0, "4", "delete"), (2, "1", "delete"), (2, "5", "upsert")]
+    assert once[1] == [(0, "1", "upsert"), (0, "2", "upsert"), (2, "1", "delete"), (2, "5", "upsert")]
     assert once[2] == 5
     sink(second, 2)
     assert (live(), feed(), spark.read.parquet(sink.archive).count()) == once
 
     assert [(r["rank"], r.grid_id) for r in sink.snapshot(1099).orderBy("rank").collect()] == [(1, "2"), (2, "5")]
-    assert [(r["rank"], r.grid_id) for r in sink.snapshot(1100).collect()] == [(2, "5")]
+    assert [(r["rank"], r.grid_id) for r in sink.snapshot(1100).collect()] == [(1, "5")]
     text = cells.feed_text(cells.cell_feed(sink.live.read())).first()
     assert '"op":"upsert"' in text.value and text.key in ("2", "5")
 
 
+def test_live_table_stays_small_and_feeds_changes(spark, tmp_path):
+    """Expired cells leave the table, old versions go, and the batch form gives the same events."""
+    settings = replace(DEFAULTS, live_ttl_s=100)
+    updated_at = F.col("batch_id") * 30 + 1000
+    sink = sinks.CongestionSink(spark, str(tmp_path), settings, updated_at, keep_versions=2)
+    columns = "vehicle string, x double, y double, speed double, event_ts long, grid_id long, cluster_id int, congestion_status string, tti double, severity double, buffer_size int"
+    # Per batch: cells with and without congestion. Cell 9 expires before it turns smooth, cell 7 was never live.
+    history = [([1, 9], [7]), ([1], []), ([2], [1]), ([3], [1]), ([3], []), ([3], [9, 2]), ([4], [3])]
+    parts = []
+    for number, (busy, smooth) in enumerate(history):
+        marks = [(g, "Congested") for g in busy] + [(g, "Smooth") for g in smooth]
+        part = spark.createDataFrame(
+            [("a", 106.6, 10.7, 5.0, 1, g, 0, status, 8.0, 4.0, 31) for g, status in marks], columns
+        )
+        sink(part, number)
+        parts.append(part.withColumn("batch_id", F.lit(number).cast("long")))
+        assert len(list((tmp_path / "live").iterdir())) <= 2
+    assert sorted(r.grid_id for r in sink.live.read().collect()) == [4]
+    sink(parts[-1].drop("batch_id"), len(parts) - 1)
+    assert sorted(r.grid_id for r in sink.live.read().collect()) == [4]
+
+    batches = cells.cell_congestion(reduce(lambda a, b: a.union(b), parts), "batch_id")
+    expected = cells.cell_feed(batches.withColumn("updated_at", updated_at), settings)
+    got = spark.read.parquet(sink.feed).select(expected.columns)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in expected.collect()}
+    gone = sorted((r.batch_id, r.grid_id) for r in got.filter("op = 'delete'").collect())
+    assert gone == [(2, "1"), (5, "2"), (6, "3")]
+
+
+def test_bad_messages_pass_through_a_stream(spark, tmp_path):
+    feed = Feed(spark, tmp_path, by_arrival)
+    bad = [(1e300, 10.7, 5), (float("inf"), 10.7, 6), (float("nan"), 10.7, 7), (106.6, -91.0, 8), (106.6, 10.7, 9 * 10**18 - BASE)]
+    feed.send([point(n, "a", t, x=x, y=y) for n, (x, y, t) in enumerate(bad)] + [point(9, "a", 60, speed=float("inf"))])
+    feed.run()
+    assert [(r.vehicle, r.event_ts - BASE, r.speed) for r in feed.rows().collect()] == [("a", 60, 0.0)]
+
+
 def test_failed_batch_is_not_swallowed(spark, tmp_path):
     feed = Feed(spark, tmp_path, by_arrival)
     feed.send([point(1, "a", 0)])
@@ -237,13 +275,13 @@ def test_failed_batch_is_not_swallowed(spark, tmp_path):
 def test_tracking_stream(spark, small, tmp_path):
     rows = X.gps(spark, small).withColumnRenamed("event_id", "n")
     routes = dimensions.clean_routes(X.routes(spark, small))
-    feed = Feed(spark, tmp_path, lambda w: jobs.tracked_positions(w, routes, "n"))
+    feed = Feed(spark, tmp_path, lambda w: jobs.tracked_positions(w, routes, "n", F.lit(60)))
     total = rows.count()
     for k in range(4):
         feed.send(rows.filter(f"n >= {k * total // 4} and n < {(k + 1) * total // 4}"))
     sink = sinks.TrackingSink(spark, str(tmp_path / "tracking"), "n")
     feed.run(sink)
-    expected = tracking.latest_positions(rows, routes, "n")
+    expected = tracking.latest_positions(rows, routes, "n", F.lit(60))
     columns = ["bus_id", "lat", "lng", "speed", "timestamp", "route_id", "route_no"]
     assert {tuple(r) for r in sink.snapshot().select(*columns).collect()} == {
         tuple(r) for r in expected.select(*columns).collect()

@@ -125,7 +125,7 @@ def served(details: DataFrame) -> DataFrame:
             number_or_zero(F.col(c)).alias(c)
             for c in ("avg_speed", "avg_tti", "severity", "centroid_lat", "centroid_lon")
         ],
-        *[number_or_zero(F.col(c), "int").alias(c) for c in ("point_count", "vehicles")],
+        *[number_or_zero(F.col(c), "bigint").alias(c) for c in ("point_count", "vehicles")],
         F.coalesce("updated_at", F.lit("")).alias("updated_at"),
         F.coalesce("batch_id", F.lit("")).alias("batch_id"),
     )
@@ -133,7 +133,8 @@ def served(details: DataFrame) -> DataFrame:
 
 def cell_snapshot(index: DataFrame, details: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """The served list from two stored tables: the severity index (cut to `top_cells` rows, hence safe
-    to broadcast) joined to the details. An indexed cell without details is skipped."""
+    to broadcast) joined to the details. An indexed cell without details is skipped. Expire the index
+    before; an expired cell would take a place in the list."""
     worst = ranked(index.select("grid_id", "severity"), settings.top_cells).select("grid_id", "rank")
     return served(details.join(F.broadcast(worst), "grid_id"))
 
@@ -141,21 +142,39 @@ def cell_snapshot(index: DataFrame, details: DataFrame, settings: Settings = DEF
 def live_cells(batches: DataFrame, as_of: int | Column, settings: Settings = DEFAULTS) -> DataFrame:
     """The served list after a history of per-batch aggregates.
 
-    Index and details come from the same rows here, so ranking first and
-    expiring afterwards replaces the join and the history is read once.
+    Expired cells go before the ranking, so they take no place in the list.
+    Index and details come from the same rows here; the history is read once.
     """
-    index = ranked(still_congested(latest_cells(batches)), settings.top_cells)
-    return served(cell_details(not_expired(index, as_of, settings), "rank"))
+    fresh = not_expired(still_congested(latest_cells(batches)), as_of, settings)
+    return served(cell_details(ranked(fresh, settings.top_cells), "rank"))
 
 
-def cell_feed(batches: DataFrame) -> DataFrame:
-    """One event per changed cell and batch: the new values, or a deletion."""
+def cell_feed(batches: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The change feed of a history of per-batch aggregates.
+
+    A cell was live before a batch if its aggregate before had a congested point
+    and had not expired. A window by cell holds one row per batch.
+    """
+    history = W.partitionBy("grid_id").orderBy("batch_id")
+    was_live = (F.lag("congested_count").over(history) > 0) & (
+        F.lag("updated_at").over(history) > F.col("updated_at") - settings.live_ttl_s
+    )
+    return feed_events(batches.withColumn("was_live", was_live))
+
+
+def feed_events(changed: DataFrame) -> DataFrame:
+    """One event per changed cell and batch: the new values, or a deletion of a cell that was live.
+
+    `was_live` (null counts as false) says whether the cell was in the table
+    before. A cell without congestion that was not in it is no change.
+    """
+    changed = changed.filter((F.col("congested_count") > 0) | F.col("was_live"))
     gone = F.col("congested_count") == 0
 
     def value(column: Column, digits: int) -> Column:
         return F.when(~gone, round_even(column, digits))
 
-    return batches.select(
+    return changed.select(
         "batch_id",
         F.col("grid_id").cast("string").alias("grid_id"),
         F.when(gone, "delete").otherwise("upsert").alias("op"),

@@ -20,17 +20,23 @@ SPEED_UP = 4000
 
 REPLAY_HEAD_S = 300
 LIVE_TTL_S = 120
+LIVE_TOP = 50
 AS_OF = BASE_S + 650
 FALLBACK_S = BASE_S - 60
 
 # Micro-batches the streaming queries cut the events into, by arrival.
 STREAM_BATCHES = 3
 STREAM_STEP_S = 50
+STREAM_PARTITIONS = 8
+
+# Values of broken records: far off the earth, and some ten million years ahead.
+FAR_OFF = 1e300
+FAR_FUTURE = 400_000_000_000_000_000
 
 
 def live_settings() -> Settings:
-    """A time to live short enough to matter over the ten minutes of data."""
-    return replace(DEFAULTS, live_ttl_s=LIVE_TTL_S)
+    """A time to live and a list short enough to matter over the ten minutes of data."""
+    return replace(DEFAULTS, live_ttl_s=LIVE_TTL_S, top_cells=LIVE_TOP)
 
 
 def split_settings() -> Settings:
@@ -77,8 +83,10 @@ def gps_from_events(events: DataFrame) -> DataFrame:
         "event_id",
         F.when(~every(97), F.concat(F.lit("bus_"), u.cast("string"))).alias("vehicle"),
         speed.alias("speed"),
-        (F.col("dt") + BASE_S).alias("datetime"),
-        F.when(~every(101), (106_600_000 + (u % 5) * 2000 + e % 60 + moved) / F.lit(1_000_000.0)).alias("x"),
+        F.when(e % 454 == 227, F.lit(FAR_FUTURE)).otherwise(F.col("dt") + BASE_S).alias("datetime"),
+        F.when(every(211), F.lit(FAR_OFF))
+        .when(every(223), F.lit(float("inf")))
+        .when(~every(101), (106_600_000 + (u % 5) * 2000 + e % 60 + moved) / F.lit(1_000_000.0)).alias("x"),
         ((10_760_000 + (u % 7) * 2000 + (e * 7) % 60) / F.lit(1_000_000.0)).alias("y"),
         F.when((F.col("event_type") == "error") & every(3), False)
         .when(every(13), None)
@@ -114,13 +122,9 @@ def routes(spark: SparkSession, folder: str) -> DataFrame:
 
 def stops(spark: SparkSession, folder: str) -> DataFrame:
     s = F.col("s_suppkey")
-    return (
-        table(spark, folder, "supplier")
-        .filter(s % 3 == 0)
-        .select(
-            ((106_600_030 + (s % 5) * 2000) / F.lit(1_000_000.0)).alias("stop_x"),
-            ((10_760_030 + (s % 7) * 2000) / F.lit(1_000_000.0)).alias("stop_y"),
-        )
+    return table(spark, folder, "supplier").select(
+        ((106_600_030 + (s % 5) * 2000) / F.lit(1_000_000.0)).alias("stop_x"),
+        ((10_760_030 + (s % 7) * 2000) / F.lit(1_000_000.0)).alias("stop_y"),
     )
 
 

@@ -19,8 +19,9 @@ gps AS (
          WHEN user_id % 4 = 0 THEN (event_id % 25)::DOUBLE / 10
          WHEN user_id % 4 = 1 OR (user_id % 4 = 3 AND dt >= 330) THEN (30 + event_id % 80)::DOUBLE / 10
          ELSE (200 + event_id % 300)::DOUBLE / 10 END AS speed,
-    {X.BASE_S} + dt AS datetime,
-    CASE WHEN event_id % 101 = 0 THEN NULL ELSE
+    CASE WHEN event_id % 454 = 227 THEN {X.FAR_FUTURE} ELSE {X.BASE_S} + dt END AS datetime,
+    CASE WHEN event_id % 211 = 0 THEN {X.FAR_OFF!r}::DOUBLE WHEN event_id % 223 = 0 THEN 'Infinity'::DOUBLE
+         WHEN event_id % 101 = 0 THEN NULL ELSE
       (106600000 + (user_id % 5) * 2000 + event_id % 60 + CASE user_id % 4
          WHEN 0 THEN 0 WHEN 1 THEN dt * 10 WHEN 2 THEN dt * 80
          ELSE least(dt, 330) * 80 + greatest(dt - 330, 0) * 10 END)::DOUBLE / 1000000 END AS x,
@@ -32,14 +33,17 @@ gps AS (
   FROM gps0
 )"""
 
+# Epoch milliseconds where the year 10000 begins.
+_YEAR_10000 = 253402300800000
+
 _CLEAN_ALL = (
     _GPS
-    + """,
+    + f""",
 clean_all AS (
   SELECT event_id, vehicle, coalesce(speed, 0.0) AS speed, datetime, x, y,
     (floor(x / 0.001) * 1000 + floor(y / 0.001))::BIGINT AS grid_id
   FROM gps
-  WHERE vehicle IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL AND datetime IS NOT NULL
+  WHERE vehicle IS NOT NULL AND abs(x) <= 180 AND abs(y) <= 90 AND datetime < {_YEAR_10000}
     AND working IS NOT FALSE AND ignition IS NOT FALSE
     AND door_up IS NOT TRUE AND door_down IS NOT TRUE
 )"""
@@ -54,7 +58,7 @@ clean AS (
 )"""
 )
 
-_SPAN = "span AS (SELECT min(datetime) AS min_t, max(datetime) AS max_t FROM gps)"
+_SPAN = f"span AS (SELECT min(datetime) AS min_t, max(datetime) AS max_t FROM gps WHERE datetime < {_YEAR_10000})"
 
 
 def _labels(step: str, extra_cte: str = "") -> str:
@@ -147,7 +151,7 @@ labelled AS (
 
 
 _BY_POINT = _labels("datetime")
-_START = "greatest(min_t, max_t - 7200)"
+_START = "min_t"
 _BY_SLICE = _labels(f"((datetime - (SELECT {_START} FROM span)) // 10)", _SPAN)
 
 _LABELLED = (
@@ -209,9 +213,9 @@ _POSITIONS = (
     + f""",
 positions AS (
   SELECT event_id, g.vehicle AS bus_id, y AS lat, x AS lng, coalesce(speed, 0.0) AS speed,
-    {_iso(f"CASE WHEN datetime > 0 THEN datetime ELSE {X.FALLBACK_S} END")} AS "timestamp", route_id, route_no
+    {_iso(f"CASE WHEN datetime > 0 AND datetime < {_YEAR_10000} THEN datetime ELSE {X.FALLBACK_S} END")} AS "timestamp", route_id, route_no
   FROM gps g LEFT JOIN routes r ON r.vehicle = g.vehicle
-  WHERE g.vehicle IS NOT NULL AND y IS NOT NULL AND x IS NOT NULL
+  WHERE g.vehicle IS NOT NULL AND abs(y) <= 90 AND abs(x) <= 180
 )"""
 )
 
@@ -231,8 +235,9 @@ SELECT event_id, vehicle, x, y, speed, datetime, grid_id FROM clean_all
 QUALIFY row_number() OVER (PARTITION BY vehicle, datetime ORDER BY event_id DESC) = 1"""
 
     q["skip_reasons"] = f"""WITH {_GPS}
-SELECT vehicle IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL AS tracked,
+SELECT vehicle IS NOT NULL AND coalesce(abs(x) <= 180 AND abs(y) <= 90, FALSE) AS tracked,
   CASE WHEN vehicle IS NULL THEN 'no vehicle' WHEN x IS NULL OR y IS NULL THEN 'no position'
+       WHEN abs(x) > 180 OR abs(y) > 90 THEN 'bad position' WHEN datetime >= {_YEAR_10000} THEN 'bad time'
        WHEN datetime IS NULL THEN 'no time' WHEN working = FALSE OR ignition = FALSE THEN 'out of service'
        WHEN door_up = TRUE OR door_down = TRUE THEN 'door open' ELSE 'kept' END AS reason,
   count(*) AS n
@@ -248,7 +253,8 @@ SELECT * FROM gps WHERE event_id % 43 <> 0 AND event_id % 47 <> 0 AND vehicle IS
 
     q["epoch_units"] = f"""WITH {_GPS},
 mixed AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN datetime * 1000 ELSE datetime END AS datetime_raw FROM gps)
-SELECT event_id, datetime_raw, s AS datetime, {_iso("s")} AS event_time
+SELECT event_id, datetime_raw, s AS datetime,
+  CASE WHEN s < {_YEAR_10000} // 1000 THEN {_iso(f"CASE WHEN s < {_YEAR_10000} // 1000 THEN s END")} END AS event_time
 FROM (SELECT *, CASE WHEN datetime_raw > 20000000000 THEN datetime_raw // 1000 ELSE datetime_raw END AS s FROM mixed)"""
 
     q["cell_activity"] = f"""WITH {_CLEAN}
@@ -271,7 +277,7 @@ SELECT event_id, bus_id AS key, lat, lng, speed, "timestamp", route_id, route_no
 stops AS (
   SELECT DISTINCT (106600000 + (s_suppkey % 5) * 2000 + 30)::DOUBLE / 1000000 AS stop_x,
     (10760000 + (s_suppkey % 7) * 2000 + 30)::DOUBLE / 1000000 AS stop_y
-  FROM supplier WHERE s_suppkey % 3 = 0
+  FROM supplier
 )
 SELECT event_id, vehicle, x, y, speed, datetime, grid_id FROM clean c
 WHERE NOT (speed < 5 AND EXISTS (
@@ -280,7 +286,7 @@ WHERE NOT (speed < 5 AND EXISTS (
     q["replay_windows"] = f"""WITH {_GPS}, {_SPAN},
 kept AS (
   SELECT datetime, greatest(min_t, max_t - {X.REPLAY_HEAD_S}) AS start_t FROM gps, span
-  WHERE datetime >= greatest(min_t, max_t - {X.REPLAY_HEAD_S})
+  WHERE datetime >= greatest(min_t, max_t - {X.REPLAY_HEAD_S}) AND datetime < {_YEAR_10000}
 )
 SELECT (datetime - start_t) // 10 AS window_id, start_t + (datetime - start_t) // 10 * 10 AS window_start,
   count(*) AS n, min(datetime) AS first_t, max(datetime) AS last_t
@@ -338,22 +344,23 @@ FROM labelled WHERE congestion_status <> 'Dwelling' GROUP BY congestion_status""
 
     q["cell_batches"] = f"WITH RECURSIVE {_BATCHES} SELECT grid_id, batch_id, updated_at, {_CELL_VALUES} FROM batches"
 
-    latest = """
+    def latest(as_of: int) -> str:
+        return f"""
 newest AS (SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY grid_id ORDER BY batch_id DESC) = 1),
 indexed AS (
   SELECT *, row_number() OVER (ORDER BY severity DESC, grid_id::VARCHAR DESC)::INTEGER AS rank
-  FROM newest WHERE congested_count > 0
+  FROM newest WHERE congested_count > 0 AND updated_at > {as_of - X.LIVE_TTL_S}
 )"""
     live_columns = f"""rank, grid_id::VARCHAR AS grid_id, 'Congested' AS status,
   round_even(avg_speed * 100, 0) / 100 AS avg_speed, round_even(avg_tti * 100, 0) / 100 AS avg_tti,
   round_even(severity * 100, 0) / 100 AS severity,
   round_even(cy * 1000000, 0) / 1000000 AS centroid_lat, round_even(cx * 1000000, 0) / 1000000 AS centroid_lon,
-  point_count::INTEGER AS point_count, vehicles::INTEGER AS vehicles,
+  point_count, vehicles,
   {_iso("updated_at")} AS updated_at, batch_id::VARCHAR AS batch_id"""
-    q["live_cells"] = f"""WITH RECURSIVE {_BATCHES}, {latest}
-SELECT {live_columns} FROM indexed WHERE rank <= 200 AND updated_at > {X.AS_OF} - {X.LIVE_TTL_S}"""
+    q["live_cells"] = f"""WITH RECURSIVE {_BATCHES}, {latest(X.AS_OF)}
+SELECT {live_columns} FROM indexed WHERE rank <= {X.LIVE_TOP}"""
 
-    feed_columns = f"""batch_id, grid_id::VARCHAR AS grid_id,
+    feed_columns = f"""b.batch_id, b.grid_id::VARCHAR AS grid_id,
   CASE WHEN congested_count = 0 THEN 'delete' ELSE 'upsert' END AS op,
   CASE WHEN congested_count > 0 THEN 'Congested' END AS status,
   CASE WHEN congested_count > 0 THEN round_even(avg_speed * 100, 0) / 100 END AS avg_speed,
@@ -364,7 +371,19 @@ SELECT {live_columns} FROM indexed WHERE rank <= 200 AND updated_at > {X.AS_OF}
   CASE WHEN congested_count > 0 THEN cx END AS centroid_lon,
   CASE WHEN congested_count > 0 THEN cy END AS centroid_lat,
   {_iso("updated_at")} AS updated_at"""
-    q["cell_feed"] = f"WITH RECURSIVE {_BATCHES} SELECT {feed_columns} FROM batches"
+    q["cell_feed"] = f"""WITH RECURSIVE {_BATCHES},
+prior AS (
+  SELECT a.grid_id, a.batch_id, max(z.batch_id) AS prior_id
+  FROM batches a JOIN batches z ON z.grid_id = a.grid_id AND z.batch_id < a.batch_id GROUP BY ALL
+),
+was_live AS (
+  SELECT p.grid_id, p.batch_id FROM prior p
+  JOIN batches z ON z.grid_id = p.grid_id AND z.batch_id = p.prior_id
+  JOIN batches a ON a.grid_id = p.grid_id AND a.batch_id = p.batch_id
+  WHERE z.congested_count > 0 AND z.updated_at + {X.LIVE_TTL_S} > a.updated_at
+)
+SELECT {feed_columns} FROM batches b
+WHERE congested_count > 0 OR (b.grid_id, b.batch_id) IN (SELECT (grid_id, batch_id) FROM was_live)"""
 
     q["congestion_episodes"] = f"""WITH RECURSIVE {_BATCHES},
 marked AS (
@@ -384,8 +403,10 @@ FROM runs GROUP BY grid_id, run"""
     q["stream_live_cells"] = f"""WITH RECURSIVE {_BY_BATCH},
 batches AS (
   SELECT *, step AS batch_id, {X.BASE_S} + step * {X.STREAM_STEP_S} AS updated_at FROM ({_cells("step")})
-), {latest}
-SELECT {live_columns} FROM indexed
-WHERE rank <= 200 AND updated_at > {X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S - X.LIVE_TTL_S}"""
+), {latest(X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S)}
+SELECT {live_columns} FROM indexed WHERE rank <= {X.LIVE_TOP}"""
+
+    q["routes_from_csv"] = q["route_dimension"]
+    q["stream_positions"] = q["latest_positions"]
 
     return q

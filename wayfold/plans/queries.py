@@ -98,6 +98,14 @@ def route_dimension(spark: SparkSession, folder: str) -> DataFrame:
     return _routes(spark, folder)
 
 
+def routes_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The route lines written as CSV, with the columns in another order and one more, and read back."""
+    path = shared_folder(spark, "routes")
+    lines = X.routes(spark, folder).coalesce(1).sortWithinPartitions("ordinal")
+    lines.select("ordinal", "route_no", "vehicle", "route_id").write.csv(path, header=True)
+    return dimensions.read_routes(spark, path)
+
+
 def vehicle_positions(spark: SparkSession, folder: str) -> DataFrame:
     return tracking.vehicle_positions(
         X.gps(spark, folder), _routes(spark, folder), F.lit(X.FALLBACK_S), keep=("event_id",)
@@ -201,7 +209,7 @@ def live_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cell_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return cells.cell_feed(_batches(spark, folder))
+    return cells.cell_feed(_batches(spark, folder), X.live_settings())
 
 
 def congestion_episodes(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,13 +231,16 @@ def _run_stream(spark: SparkSession, folder: str, name: str, transform, make_sin
     """Feed the events part by part through a stream that is stopped and resumed in between."""
     path = shared_folder(spark, name)
     schema = X.table(spark, folder, "events").schema
-    with jobs.stream_settings(spark):
-        for _ in _publish(spark, folder, f"{path}/input"):
-            waypoints = X.gps_from_events(messages.file_stream(spark, f"{path}/input", schema))
-            query = jobs.start(
-                transform(waypoints), make_sink(path), f"{path}/checkpoint", available_now=True
-            )
-            query.awaitTermination()
+    for _ in _publish(spark, folder, f"{path}/input"):
+        waypoints = X.gps_from_events(messages.file_stream(spark, f"{path}/input", schema))
+        query = jobs.start(
+            transform(waypoints),
+            make_sink(path),
+            f"{path}/checkpoint",
+            available_now=True,
+            partitions=X.STREAM_PARTITIONS,
+        )
+        query.awaitTermination()
     return path
 
 
@@ -274,6 +285,20 @@ def stream_live_cells(spark: SparkSession, folder: str) -> DataFrame:
     return make_sink(path).snapshot(X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S)
 
 
+def stream_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest positions after a tracking stream, joined to the static routes."""
+    routes = _routes(spark, folder)
+
+    def transform(waypoints: DataFrame) -> DataFrame:
+        return jobs.tracked_positions(waypoints, routes, "event_id", F.lit(X.FALLBACK_S))
+
+    def make_sink(path: str) -> sinks.TrackingSink:
+        return sinks.TrackingSink(spark, path, "event_id")
+
+    path = _run_stream(spark, folder, "stream-positions", transform, make_sink)
+    return make_sink(path).snapshot().drop("event_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -286,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         epoch_units,
         cell_activity,
         route_dimension,
+        routes_from_csv,
         vehicle_positions,
         latest_positions,
         position_feed,
@@ -307,5 +333,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_dedup,
         stream_labels,
         stream_live_cells,
+        stream_positions,
     )
 }

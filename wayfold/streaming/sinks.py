@@ -20,7 +20,10 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 class CongestionSink:
-    """Archive the points, bring the live cell table up to date, add the changes to the feed."""
+    """Archive the points, bring the live cell table up to date, add the changes to the feed.
+
+    The last `keep_versions` versions stay, for readers that are under way and for the repeat of a batch.
+    """
 
     def __init__(
         self,
@@ -28,11 +31,13 @@ class CongestionSink:
         path: str,
         settings: Settings = DEFAULTS,
         updated_at: Column | None = None,
+        keep_versions: int = 3,
     ):
         self.archive = f"{path}/archive"
         self.feed = f"{path}/feed"
         self.live = VersionedTable(spark, f"{path}/live")
         self.settings = settings
+        self.keep_versions = keep_versions
         self.updated_at = F.unix_timestamp(F.current_timestamp()) if updated_at is None else updated_at
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -49,9 +54,20 @@ class CongestionSink:
             if batch.isEmpty():
                 return
             write_archive(batch, self.archive, batch_id)
-            write_batch(cells.cell_feed(changed).drop("batch_id"), self.feed, batch_id)
             before = self.live.read(before=batch_id)
+            if before is None:
+                events = changed.withColumn("was_live", F.lit(False))
+            else:
+                # Expired cells leave the table; one row, so the comparison reaches the scan.
+                now = changed.agg(F.max("updated_at").alias("now")).scalar()
+                before = cells.not_expired(before, now, self.settings)
+                # The cached changes are the small side of the first join, its result of the second.
+                known = before.join(changed.select("grid_id"), "grid_id", "left_semi")
+                known = known.select("grid_id", F.lit(True).alias("was_live"))
+                events = changed.join(known, "grid_id", "left")
+            write_batch(cells.feed_events(events).drop("batch_id"), self.feed, batch_id)
             self.live.write(merge_or_remove(before, changed, "grid_id", "keep"), batch_id)
+            self.live.expire(self.keep_versions)
         finally:
             changed.unpersist()
             batch.unpersist()
@@ -62,16 +78,17 @@ class CongestionSink:
         if current is None:
             return None
         fresh = cells.not_expired(current, as_of, self.settings)
-        return cells.cell_snapshot(current, cells.cell_details(fresh), self.settings)
+        return cells.cell_snapshot(fresh, cells.cell_details(fresh), self.settings)
 
 
 class TrackingSink:
     """Keep the latest position of each vehicle, and add every position to the feed."""
 
-    def __init__(self, spark: SparkSession, path: str, arrival: str):
+    def __init__(self, spark: SparkSession, path: str, arrival: str, keep_versions: int = 3):
         self.feed = f"{path}/feed"
         self.latest = VersionedTable(spark, f"{path}/latest")
         self.arrival = arrival
+        self.keep_versions = keep_versions
 
     def __call__(self, positions: DataFrame, batch_id: int) -> None:
         positions.persist()
@@ -88,6 +105,7 @@ class TrackingSink:
             write_batch(tracking.position_feed(positions), self.feed, batch_id)
             before = self.latest.read(before=batch_id)
             self.latest.write(merge_or_remove(before, newest, "bus_id", "keep"), batch_id)
+            self.latest.expire(self.keep_versions)
         finally:
             newest.unpersist()
             positions.unpersist()
