@@ -45,29 +45,31 @@ def _insult_hashes() -> np.ndarray:
 
 
 class Features:
-    """Votes and hashed features of a column of texts."""
-
-    def __init__(self, column: pa.Array, buckets: int):
-        t = T.Texts(column, lower=True)
-        raw = np.frombuffer(b"".join(x for x in column.cast(pa.large_binary()).to_pylist() if x), np.uint8)
-        n = t.counts
-        row = np.repeat(np.arange(len(n)), n)
-        words = t.word_hashes()
+    """Votes and hashed features of a column of texts. Only those asked for are computed."""
+
+    def __init__(self, column: pa.Array):
+        self._raw = T._bytes(column)[0]
+        self._t = t = T.Texts(column, lower=True)
+        self._of = np.repeat(np.arange(len(t.counts)), t.counts)
         # A word without the marks around it, for the lexicon and as a feature.
         letter = (t.bytes >= 97) & (t.bytes <= 122) | (t.bytes >= 128)
         inside = np.append(0, np.cumsum(letter))
         starts, ends = t.starts, t.ends
         trail = (inside[ends] > inside[starts]) & ~letter[ends - 1] if len(ends) else np.zeros(0, bool)
-        bare = t.hashes(starts, ends - trail)
-        begins = t.hashes(starts, np.minimum(starts + 4, ends))
-        keys = np.concatenate([self._key(row, bare, buckets, 1), self._key(row, begins, buckets, 2)])
-        self.votes = self._votes(t, raw, row, words, bare)
+        self._bare = t.hashes(starts, ends - trail)
+        self.votes = self._votes(t, self._raw, self._of, t.word_hashes(), self._bare)
+
+    def hashed(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, bucket) of each feature, and how many each row has."""
+        t, n = self._t, len(self._t.counts)
+        begins = t.hashes(t.starts, np.minimum(t.starts + 4, t.ends))
+        keys = [self._key(self._of, self._bare, buckets, 1), self._key(self._of, begins, buckets, 2)]
         for i in range(self.votes.shape[1]):
-            code = np.full(len(n), 1000 + 3 * i, np.uint64) + self.votes[:, i].astype(np.uint64)
-            keys = np.append(keys, self._key(np.arange(len(n)), code, buckets, 3))
-        keys = np.unique(keys)
-        self.row, self.bucket = keys // buckets, keys % buckets
-        self.sizes = np.bincount(self.row, minlength=len(n))
+            code = np.full(n, 1000 + 3 * i, np.uint64) + self.votes[:, i].astype(np.uint64)
+            keys.append(self._key(np.arange(n), code, buckets, 3))
+        keys = np.unique(np.concatenate(keys))
+        row, bucket = keys // buckets, keys % buckets
+        return row, bucket, np.bincount(row, minlength=n)
 
     @staticmethod
     def _key(row: np.ndarray, hashes: np.ndarray, buckets: int, kind: int) -> np.ndarray:
@@ -126,13 +128,10 @@ def _pattern(votes: np.ndarray) -> np.ndarray:
     return votes.astype(np.int64) @ 3 ** np.arange(votes.shape[1])
 
 
-def _vote_rows(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.chunks(batches, "text"):
-            votes = Features(batch.column("text"), buckets).votes
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_pattern(votes))], ["doc_id", "pattern"])
-
-    return run
+def _vote_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in T.chunks(batches, "text"):
+        votes = Features(batch.column("text")).votes
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_pattern(votes))], ["doc_id", "pattern"])
 
 
 # What is assumed at first: share of clean and of bad votes of each labeller on clean, junk and toxic documents.
@@ -186,9 +185,9 @@ def _sampled(ids: np.ndarray, buckets: int):
         for batch in T.chunks(batches, "text"):
             doc_id = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(np.isin(doc_id, ids)))
-            f = Features(batch.column("text"), buckets)
-            ends = np.append(0, np.cumsum(f.sizes))
-            features = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(f.bucket.astype(np.int32)))
+            _, bucket, sizes = Features(batch.column("text")).hashed(buckets)
+            ends = np.append(0, np.cumsum(sizes))
+            features = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(bucket.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), features], ["doc_id", "features"])
 
     return run
@@ -214,8 +213,9 @@ def fit(buckets: np.ndarray, sizes: np.ndarray, target: np.ndarray, settings: Se
 def _scored(weights: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches, "text"):
-            f = Features(batch.column("text"), buckets)
-            z = np.bincount(f.row, weights[f.bucket], len(f.sizes)) / np.sqrt(np.maximum(f.sizes, 1)) + weights[-1]
+            f = Features(batch.column("text"))
+            row, bucket, sizes = f.hashed(buckets)
+            z = np.bincount(row, weights[bucket], len(sizes)) / np.sqrt(np.maximum(sizes, 1)) + weights[-1]
             score = 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(_pattern(f.votes)), pa.array(score)], ["doc_id", "votes", "score"]
@@ -241,7 +241,7 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max(F.when(bad, BAD).otherwise(CLEAN)).alias("person"))
     )
-    voted = rows.mapInArrow(_vote_rows(settings.buckets), "doc_id long, pattern long")
+    voted = rows.mapInArrow(_vote_rows, "doc_id long, pattern long")
     voted = written(
         voted.join(person, "doc_id", "left").select("doc_id", "pattern", F.coalesce("person", F.lit(ABSTAIN)).alias("person")),
         "votes",
