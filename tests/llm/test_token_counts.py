@@ -1,0 +1,84 @@
+"""Rollups against a plain count, with batches in any order, repeated, and over odd rows."""
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from wayfold.llm import token_counts as C
+
+SCHEMA = "doc_id long, source string, lang string, text string"
+ROWS = [
+    (1, "web", "en", "two words"),
+    (1, "web", "en", "two words"),
+    (2, "web", None, "a-b\tc"),
+    (3, None, "de", None),
+    (4, "wiki", "de", ""),
+    (5, "wiki", "de", "x " * 50_000),
+    (None, "wiki", "en", "ein Wort!"),
+]
+
+
+def counted(rows, tokenizer, sign=1):
+    sums = defaultdict(lambda: [0, 0])
+    for _, source, lang, text in rows:
+        entry = sums[source, lang, tokenizer]
+        entry[0] += sign
+        entry[1] += sign * len(re.findall(C.TOKENIZERS[tokenizer], text or ""))
+    return sums
+
+
+def merged(*parts):
+    total = defaultdict(lambda: [0, 0])
+    for part in parts:
+        for key, values in part.items():
+            total[key] = [a + b for a, b in zip(total[key], values)]
+    return {(*key, *values) for key, values in total.items() if any(values)}
+
+
+def found(table):
+    return {tuple(r) for r in table.totals().select(*C.KEYS, *C.SUMS).collect()}
+
+
+def test_batches_in_any_order_and_again(spark, tmp_path):
+    docs = spark.createDataFrame(ROWS, SCHEMA)
+    gone, revised = ROWS[:2], ROWS[5:]
+    frame = lambda rows: spark.createDataFrame(rows, SCHEMA)
+    batches = {
+        "insert": C.inserts(docs, "words-1"),
+        "delete": C.deletes(frame(gone), "words-1"),
+        "revise": C.revisions(frame(revised), "words-1", "runs-2"),
+    }
+    expected = merged(
+        counted(ROWS, "words-1"), counted(gone, "words-1", -1), counted(revised, "words-1", -1), counted(revised, "runs-2")
+    )
+    for run, order in enumerate([["insert", "delete", "revise"], ["revise", "insert", "delete"]]):
+        table = C.Rollups(spark, str(tmp_path / str(run)))
+        assert [table.commit(name, batches[name]) for name in order] == [True] * 3
+        assert found(table) == expected
+        assert not table.commit("delete", batches["delete"])
+        assert found(table) == expected
+        assert table.committed() == sorted(batches)
+
+
+def test_a_draft_of_a_failed_commit_counts_nothing(spark, tmp_path):
+    table = C.Rollups(spark, str(tmp_path / "t"))
+    C.rollup(C.inserts(spark.createDataFrame(ROWS, SCHEMA), "words-1")).write.parquet(str(tmp_path / "t" / "_draft-1"))
+    assert table.committed() == [] and found(table) == set()
+    assert table.commit("a", C.inserts(spark.createDataFrame(ROWS, SCHEMA), "words-1"))
+    assert found(table) == merged(counted(ROWS, "words-1"))
+
+
+@pytest.mark.parametrize("extra", ["tokens", "documents", "tokenizer", "sign"])
+def test_extra_columns_that_clash(spark, tmp_path, extra):
+    docs = spark.createDataFrame([(*row, "clash") for row in ROWS], f"{SCHEMA}, {extra} string")
+    table = C.Rollups(spark, str(tmp_path / extra))
+    table.commit("a", C.inserts(docs, "runs-2"))
+    assert found(table) == merged(counted(ROWS, "runs-2"))
+
+
+def test_empty(spark, tmp_path):
+    table = C.Rollups(spark, str(tmp_path / "t"))
+    assert found(table) == set()
+    assert table.commit("a", C.inserts(spark.createDataFrame([], SCHEMA), "words-1"))
+    assert found(table) == set()
