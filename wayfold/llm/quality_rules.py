@@ -88,8 +88,12 @@ def language_references(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         .filter("word <> ''"),
         "word-counts",
     )
-    totals = counts.groupBy("lang").agg(
-        F.sum("n").alias("language_words"), *(F.sum(c * F.col("n")).alias(k) for k, c in _classes("word").items())
+    # Written, so that Spark knows its size and, while it is small, does not deal the words of a language to one task.
+    totals = written(
+        counts.groupBy("lang").agg(
+            F.sum("n").alias("language_words"), *(F.sum(c * F.col("n")).alias(k) for k, c in _classes("word").items())
+        ),
+        "language-totals",
     )
     common = (
         counts.join(totals.select("lang", "language_words"), "lang")
