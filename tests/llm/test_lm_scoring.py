@@ -84,3 +84,52 @@ def test_distributions_sum_to_one(spark, small):
 def test_odd_rows(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("clash"))
     assert plain(L.score(docs)) == brute(rows)
+
+
+def brute_score(rows, depth=3):
+    """Scores in contexts of words alone, for texts all of whose words are contexts."""
+    train = [tokens(x) for i, x in rows if not held(i)]
+    counts = Counter(t for x in train for t in x)
+    n, v = sum(counts.values()), len(counts)
+    arcs = {}
+    for x in train:
+        for k in range(1, depth + 1):
+            for i in range(k, len(x)):
+                arcs.setdefault(tuple(x[i - k : i]), Counter())[x[i]] += 1
+
+    def p(context, word):
+        if not context:
+            return (counts[word] + 0.1) / (n + 0.1 * (v + 1))
+        own, below = arcs.get(context, Counter()), p(context[1:], word)
+        total, kinds = sum(own.values()), len(own)
+        if total < 2 or sum(c * math.log(c / total / p(context[1:], w)) for w, c in own.items()) <= kinds:
+            return below
+        return (own[word] + kinds * below) / (total + kinds)
+
+    texts = [(i, tokens(x)) for i, x in rows]
+    return {i: sum(math.log10(p(tuple(x[max(0, j - depth) : j]), x[j])) for j in range(len(x))) for i, x in texts}
+
+
+@pytest.mark.parametrize("hot_share", [2.0**-12, 0.01])
+def test_scores_equal_brute_force(spark, hot_share):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(words[: rng.choice([3, 30])]) for _ in range(rng.randrange(1, 40)))) for i in range(80)]
+    got = L.score(spark.createDataFrame(rows, "doc_id long, text string"), L.Settings(hot_share=hot_share)).collect()
+    expected = brute_score(rows)
+    assert len(got) == len(rows) and all(abs(r.score - expected[r.doc_id]) < 1e-6 for r in got)
+
+
+def test_rare_phrases_are_contexts_at_any_size(spark):
+    """Words far below every share still tell what follows them."""
+    rng = random.Random(4)
+    filler = [f"f{i}" for i in range(400)]
+    phrase = "zeta eta theta iota"
+    text = lambda i: " ".join(rng.choices(filler, k=300)) + (f" {phrase}" if i % 100 == 8 else "")
+    unseen = next(i for i in range(1000, 2000) if held(i))
+    rows = [(i, text(i)) for i in range(400) if not held(i)] + [(unseen, phrase)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = L.Settings(symbol_share=0.001, context_share=0.001, transition_share=0.001)
+    found = L.score(docs, settings).filter(f"doc_id = {unseen}").first()
+    # Three of its four words, and the end, follow from the word before.
+    assert found.score - found.base_score > 8

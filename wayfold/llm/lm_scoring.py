@@ -1,14 +1,20 @@
-"""Scores of texts by a word model and by a probabilistic suffix tree over its frequent words.
+"""Scores of texts by a word model and by a probabilistic suffix tree over all words.
 
 The base is a smoothed word model whose counts are never cut: words of at least `frequent_share` of the
 training tokens, of which there are at most 1 / frequent_share, are looked up inside tasks; all other words
 are joined with the table of counts.
 
-The tree's symbols are the words of at least `symbol_share`, and one for all others. A context of one or two
-symbols is retained if its next-symbol distribution diverges from that of its suffix by more nats over all its
+The tree's contexts are runs of one to `depth` words that occur at least `least_context` times in training, whatever the
+size of the corpus; all their next words count. Contexts and arcs are tables, to which the runs of the texts are joined,
+the hot ones salted. A context is retained if its next-word distribution diverges from that of its suffix by more nats over
+all its occurrences than it has different next words; it is smoothed as below. A token is scored in the longest
+retained context of its history.
+
+After a word that is no context the history is told by symbols, in a small tree sent to all tasks: the words of at
+least `symbol_share`, and one for all others. A context of one or two symbols is retained if its next-symbol distribution diverges from that of its suffix by more nats over all its
 occurrences than it has different next symbols. Distributions are smoothed towards the suffix with as much
-weight as there are different next symbols (Witten-Bell). A token is scored in the longest retained suffix
-of its history; within the symbol for other words, by the share of its base probability.
+weight as there are different next symbols (Witten-Bell). Such a token is scored in the longest retained run of
+symbols; within the symbol for other words, by the share of its base probability.
 """
 
 from __future__ import annotations
@@ -30,10 +36,17 @@ from wayfold.llm.tables import written
 END = -1
 OTHER = 0
 FOLDS = 10
+SALTS = 64
 
 
 @dataclass(frozen=True)
 class Settings:
+    #: Words of the longest context.
+    depth: int = 3
+    #: A context that occurs once tells nothing of its distribution.
+    least_context: int = 2
+    #: Runs of words of at least this share of all tokens are dealt to `SALTS` tasks.
+    hot_share: float = 2.0**-12
     #: Every share bounds a table that is sent to all tasks to 1 / share entries.
     frequent_share: float = 2.0**-20
     symbol_share: float = 2.0**-12
@@ -133,14 +146,18 @@ def _code(base: Base):
                     part(score),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(symbols.astype(np.int16))),
                     pa.ListArray.from_arrays(pa.array(rare_bounds, pa.int32()), pa.array(rare)),
+                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(hashes)),
                 ],
-                ["doc_id", "held_out", "n_tokens", "n_known", "score", "symbols", "rare"],
+                ["doc_id", "held_out", "n_tokens", "n_known", "score", "symbols", "rare", "tokens"],
             )
 
     return run
 
 
-CODED = "doc_id long, held_out boolean, n_tokens long, n_known long, score double, symbols array<smallint>, rare array<long>"
+CODED = (
+    "doc_id long, held_out boolean, n_tokens long, n_known long, score double, symbols array<smallint>, "
+    "rare array<long>, tokens array<long>"
+)
 
 
 def _history(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -291,19 +308,151 @@ def suffix_tree(coded: DataFrame, base: Base, settings: Settings) -> Tree:
     return Tree(width, root, one, two)
 
 
-def _gains(tree: Tree):
+def _grams(tokens: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the run of so many tokens that ends at each place; a run of one is the token's hash."""
+    runs = tokens.view(np.uint64)
+    for _ in range(length - 1):
+        # A run follows from the shorter one before it and its last token.
+        runs = T.mix(np.append(np.uint64(0), runs[:-1]) * np.uint64(0x9E3779B97F4A7C15) + T.mix(tokens.view(np.uint64)))
+    return runs.view(np.int64)
+
+
+def _arcs(length: int):
+    """How often each word follows each context; `m` counts held-out texts too."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _few(batches):
-            symbols, place, sizes = _history(batch.column("symbols"))
-            sums = np.append(0.0, np.cumsum(tree.gain(symbols, place)))
-            ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in CARRIED), pa.array(sums[ends] - sums[ends - sizes])], [*CARRIED, "gain"]
+            tokens, place, sizes = _history(batch.column("tokens"))
+            training = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), sizes)
+            at = np.flatnonzero(place >= length)
+            suffixes = _grams(tokens, length)
+            keys, first, of = np.unique(_grams(tokens, length + 1)[at], return_index=True, return_inverse=True)
+            n = np.bincount(of, training[at], len(keys)).astype(np.int64)
+            m = np.bincount(of, minlength=len(keys))
+            columns = [keys, suffixes[at[first] - 1], suffixes[at[first]], n, m]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "context", "suffix", "n", "m"])
+
+    return run
+
+
+def _frequent(base: Base):
+    """Counts of the frequent next words, null for others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = base.find(batch.column("suffix").to_numpy())
+            count = base.counts[at] if len(base.counts) else np.zeros(len(at), np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(count, mask=at < 0)], [*batch.schema.names, "count"])
+
+    return run
+
+
+def _salted(left: DataFrame, right: DataFrame, left_key: str, right_key: str, often: float, how: str) -> DataFrame:
+    """Join where right's rows with an `m` of `often` or more, which bounds the rows they meet, are spread over SALTS tasks."""
+    right = right.withColumnRenamed(right_key, "right_key").withColumn("hot", F.col("m") >= often)
+    hot = right.filter("hot").select(F.col("right_key").alias("hot_key"))
+    right = right.select(
+        "*", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("right_salt")
+    ).drop("hot", "m")
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    left = left.join(F.broadcast(hot), left[left_key] == F.col("hot_key"), "left")
+    left = left.withColumn("salt", F.when(F.col("hot_key").isNotNull(), salt).otherwise(0)).drop("hot_key")
+    same = (F.col(left_key) == F.col("right_key")) & (F.col("salt") == F.col("right_salt"))
+    return left.join(right, same, how).drop("right_key", "salt", "right_salt")
+
+
+def word_contexts(coded: DataFrame, counts: DataFrame, base: Base, settings: Settings) -> list[DataFrame]:
+    """For each length of contexts (key, p, delta, m): the arcs of all contexts of `least_context` occurrences.
+
+    p is the next word's probability in the longest retained suffix of the context, delta what the context adds
+    to the log10 of that of its own suffix: zero if it is not retained.
+    """
+    all_tokens = coded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    often = max(settings.hot_share * all_tokens, 1)
+    levels: list[DataFrame] = []
+    for length in range(1, settings.depth + 1):
+        arcs = coded.select("held_out", "tokens").mapInArrow(
+            _arcs(length), "key long, context long, suffix long, n long, m long"
+        )
+        arcs = arcs.groupBy("key").agg(
+            F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("n").alias("n"), F.sum("m").alias("m")
+        )
+        if length == 1:
+            arcs = written(
+                arcs.mapInArrow(_frequent(base), "key long, context long, suffix long, n long, m long, count long"),
+                "word-arcs",
+            )
+            known = arcs.filter("count is not null")
+            rare = arcs.filter("count is null").drop("count").join(
+                counts.select(F.col("hash").alias("suffix"), F.col("n").alias("count")), "suffix", "left"
+            )
+            count = F.coalesce("count", F.lit(0))
+            arcs = known.unionByName(rare).withColumn(
+                "below", (count + base.add) / F.lit(base.tokens + base.add * (base.types + 1))
             )
+            arcs = arcs.select("key", "context", "n", "m", "below")
+        else:
+            below = levels[-1].select("key", F.col("p").alias("below"), "m")
+            arcs = _salted(arcs.select("suffix", "key", "context", "n", "m"), below.withColumnRenamed("key", "of"), "suffix", "of", often, "inner")
+            arcs = written(arcs.select("key", "context", "n", "m", "below"), "word-arcs")
+        surprise = F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("below"))).otherwise(0.0)
+        contexts = arcs.groupBy("context").agg(
+            F.sum("n").alias("total"),
+            F.sum((F.col("n") > 0).cast("long")).alias("kinds"),
+            F.sum(surprise).alias("surprise"),
+            F.sum("m").alias("m"),
+        ).filter(F.col("total") >= settings.least_context)
+        contexts = contexts.withColumn(
+            "retained", F.col("surprise") - F.col("total") * F.log("total") > F.col("kinds")
+        ).drop("surprise")
+        contexts = written(contexts, "word-contexts")
+        joined = _salted(arcs, contexts.withColumnRenamed("context", "of"), "context", "of", often, "inner")
+        smoothed = (F.col("n") + F.col("kinds") * F.col("below")) / (F.col("total") + F.col("kinds"))
+        table = joined.withColumn("p", F.when(F.col("retained"), smoothed).otherwise(F.col("below")))
+        levels.append(written(table.select("key", "p", F.log10(F.col("p") / F.col("below")).alias("delta"), "m"), "word-tree"))
+    return levels
+
+
+def _runs(length: int, tree: Tree | None):
+    """(row, key, other): the run of words that ends at each token, with what the tree of symbols adds there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _few(batches):
+            tokens, place, sizes = _history(batch.column("tokens"))
+            at = np.flatnonzero(place >= length)
+            row = np.repeat(batch.column("row").to_numpy(), sizes)[at]
+            columns = [pa.array(row), pa.array(_grams(tokens, length + 1)[at])]
+            names = ["row", "key"]
+            if tree is not None:
+                symbols = batch.column("symbols").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                columns.append(pa.array(tree.gain(symbols, place)[at]))
+                names.append("other")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
+def context_gains(coded: DataFrame, tree: Tree, levels: list[DataFrame], settings: Settings) -> DataFrame:
+    """(row, gain): what the contexts add to the log10 of the probability of each text."""
+    all_tokens = coded.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    often = max(settings.hot_share * all_tokens, 1)
+    parts = []
+    for length, level in enumerate(levels, 1):
+        if length == 1:
+            runs = coded.select("row", "tokens", "symbols").mapInArrow(_runs(length, tree), "row long, key long, other double")
+            table, how, gain = level, "left", F.coalesce("delta", "other")
+        else:
+            runs = coded.select("row", "tokens").mapInArrow(_runs(length, None), "row long, key long")
+            table, how, gain = level.filter("delta <> 0"), "inner", F.col("delta")
+        table = table.select(F.col("key").alias("of"), "delta", "m")
+        found = _salted(runs, table, "key", "of", often, how)
+        parts.append(found.groupBy("row").agg(F.sum(gain).alias("gain")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.union(part)
+    return every.groupBy("row").agg(F.sum("gain").alias("gain"))
+
+
 CARRIED = ["row", "doc_id", "held_out", "n_tokens", "n_known", "score"]
 
 
@@ -327,16 +476,15 @@ def score(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rest = rare.groupBy("row").agg(
         F.sum(log).alias("rare_score"), F.sum((n > 0).cast("long")).alias("rare_known")
     )
-    gains = coded.select(*CARRIED, "symbols").mapInArrow(
-        _gains(tree), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, score double, gain double"
-    )
+    levels = word_contexts(coded, counts, base, settings)
+    gains = context_gains(coded, tree, levels, settings)
     base_score = F.col("score") + F.coalesce("rare_score", F.lit(0.0))
-    return gains.join(rest, "row", "left").select(
+    return coded.select(*CARRIED).join(rest, "row", "left").join(gains, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(base.tokens).cast("long").alias("train_tokens"),
         base_score.alias("base_score"),
-        (base_score + F.col("gain")).alias("score"),
+        (base_score + F.coalesce("gain", F.lit(0.0))).alias("score"),
     )
