@@ -20,6 +20,7 @@ from wayfold.llm import (
     substring_dedup,
     token_counts,
     url_filters,
+    whitening,
 )
 from wayfold.llm.tables import read
 from wayfold.session import shared_folder
@@ -112,6 +113,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 
 
