@@ -14,6 +14,7 @@ from wayfold.llm import (
     line_dedup,
     lm_scoring,
     oracles,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     simhash,
@@ -113,6 +114,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(read(spark, folder, "conversations"))))
+
+
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read(spark, folder, "embeddings"))
 
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
 }
 
