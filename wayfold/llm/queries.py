@@ -13,6 +13,7 @@ from wayfold.llm import (
     decontamination,
     line_dedup,
     lm_scoring,
+    ngram_join,
     oracles,
     prefix_trie,
     quality_classifier,
@@ -122,6 +123,10 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read(spark, folder, "embeddings"))
 
 
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -135,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 

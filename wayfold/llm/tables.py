@@ -25,3 +25,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def bytes_of(df: DataFrame, row_bytes: Column) -> int:
     """Size of a table from the size of each of its rows."""
     return df.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long")).first()[0]
+
+
+def join_back(rows: DataFrame, table: DataFrame, key: str, copies: str, total: int, share: int = 1024) -> DataFrame:
+    """Inner join of `rows` with a table that has each key once and the number of rows that hold it.
+
+    Keys that hold at least one in `share` of the rows, of which there are at most `share`, are joined by broadcast,
+    so that no task of the shuffled rest gets a large group.
+    """
+    often = F.col(copies) * share >= total
+    hot, cold = F.broadcast(table.filter(often)), table.filter(~often)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.tables import written
+from wayfold.llm.tables import join_back, written
 
 # Fixed values of the grid: x = floor(64 * entry) + 1000000.
 SCALE, OFFSET = 64, 1_000_000
@@ -26,8 +26,6 @@ LIMIT = 2**53
 COMPONENTS = 16
 #: Eigenvalues below this share of the largest are rounding, not variance.
 RANK = 1e-12
-#: Vectors that hold at least this share of the rows, of which there can't be more than its inverse, are joined by broadcast.
-HOT_SHARE = 1 / 1024
 
 _LONG = 2**63 - 1
 
@@ -178,9 +176,7 @@ def whiten(rows: DataFrame, components: int = COMPONENTS, weights: str = "one")
     spread = _covariance(each, k, model.n, weight, lambda b: _matrix(b.column("white")) - means)
     error = float(np.abs(spread - np.eye(k)).max())
 
-    hot = F.broadcast(white.filter(F.col("copies") >= total * HOT_SHARE))
-    cold = white.filter(F.col("copies") < total * HOT_SHARE)
-    back = rows.join(hot, "x").unionByName(rows.join(hot.select("x"), "x", "left_anti").join(cold, "x"))
+    back = join_back(rows, white, "x", "copies", total)
     explained = F.array(*(F.lit(float(e / model.trace)) for e in model.values))
     return back.select("vec_id", "deviation", F.posexplode("white").alias("at", "whitened")).select(
         "vec_id",
