@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from wayfold.llm import text as T
 from wayfold.llm.components import components
-from wayfold.llm.tables import join_back, written
+from wayfold.llm.tables import BROADCAST_BYTES, join_back, written
 
 SHINGLE_WORDS = 3
 #: The similarity as a fraction, so that all limits are whole numbers.
@@ -220,7 +220,6 @@ def links(lists: DataFrame, sets) -> DataFrame:
     `sets` gives the table (name, shingles) for the names of a table.
     """
     lists = written(_apart(lists.withColumn("group", F.col("name"))), "shared-lists")
-    shingles = sets(lists)
     edges = None
     for turn in range(ROUNDS + 1):
         if turn < ROUNDS:
@@ -239,7 +238,9 @@ def links(lists: DataFrame, sets) -> DataFrame:
                 F.col("at").alias("at_q"), F.col("group").alias("group_q"),
             )
             pairs = _routed(lists, queries).filter("q < y")
-        found = search(written(pairs, "routed-sets"), shingles)
+        pairs = written(pairs, "routed-sets")
+        wanted = pairs.select(F.col("q").alias("name")).union(pairs.select("y")).distinct()
+        found = search(pairs, sets(wanted))
         edges = written(found if edges is None else edges.union(found), "ngram-links")
         if turn < ROUNDS:
             groups = components(edges, "ngram-groups").select(F.col("node").alias("name"), F.col("component").alias("now"))
@@ -275,8 +276,11 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     names = written(names, "set-names")
 
     def sets(wanted: DataFrame) -> DataFrame:
-        carriers = names.join(wanted.select("name").distinct(), "name", "left_semi").select(F.col("low").alias("carrier"))
-        held = docs.join(carriers.distinct(), F.col("doc_id").eqNullSafe(F.col("carrier")), "left_semi")
+        carriers = names.join(wanted, "name", "left_semi").select(F.col("low").alias("carrier")).distinct()
+        carriers = written(carriers, "set-carriers")
+        if 16 * carriers.count() <= BROADCAST_BYTES:
+            carriers = F.broadcast(carriers)
+        held = docs.join(carriers, F.col("doc_id").eqNullSafe(F.col("carrier")), "left_semi")
         found = held.select("text").mapInArrow(_named(shingle_words), "name long, shingles array<long>")
         return written(found.dropDuplicates(["name"]), "shingle-sets")
 
