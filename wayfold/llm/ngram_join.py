@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
-from math import log2
+from collections.abc import Callable, Iterator
+from math import log, log2
 
 import numpy as np
 import pyarrow as pa
@@ -199,11 +199,23 @@ def search(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _apart(lists: DataFrame) -> DataFrame:
     """The rows of lists that hold sets of two groups or more."""
     open_lists = lists.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-    return lists.join(open_lists.select("key"), "key")
+    return lists.join(open_lists.select("key"), "key", "left_semi")
+
+
+def _by_size(shared: DataFrame) -> DataFrame:
+    """Lists of one shingle divided by size, so that every two sets of similar size are on one of them together.
+
+    Sizes of similar sets are at most one class apart, since a class is a little wider than the similarity allows;
+    a set is on the list of its own class and on that of the next.
+    """
+    up, down = SIMILAR
+    size = F.floor(F.log("n") / log(down / up * 1.001))
+    both = shared.withColumn("class", F.explode(F.array(size, size + 1)))
+    return both.withColumn("key", F.xxhash64("key", "class")).drop("class")
 
 
 def _routed(lists: DataFrame, queries: DataFrame) -> DataFrame:
-    """(q, y, block): for each list its queries (key, q, n_q, at_q, group_q, members) with the sets they could retain."""
+    """(q, y, block): for each list its queries (key, members, q, n_q, at_q, group_q) with the sets they could retain."""
     up, down = SIMILAR
     both = lists.join(queries, "key").filter((F.col("name") != F.col("q")) & (F.col("group") != F.col("group_q")))
     # A pair shares no more than this shingle and what follows it in both sets, if it is the first they share.
@@ -213,31 +225,30 @@ def _routed(lists: DataFrame, queries: DataFrame) -> DataFrame:
     return both.groupBy("q", F.col("name").alias("y")).agg(F.min(F.pmod(F.xxhash64("name"), blocks)).alias("block"))
 
 
-def links(lists: DataFrame, sets) -> DataFrame:
+def short_list_rows(names: DataFrame) -> DataFrame:
+    """(key, name, n, at, group): the short lists of `names` (name, n, keys) on which two sets of similar size meet."""
+    every = names.select("name", "n", F.posexplode("keys").alias("at", "key"))
+    met = every.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
+    shared = written(every.join(met.select("key"), "key", "left_semi"), "shared-shingles")
+    return written(_apart(_by_size(shared).withColumn("group", F.col("name"))), "short-lists")
+
+
+def links(lists: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Edges (a, b) between names, whose components are those of all similar pairs.
 
-    `lists` has (key, name, n, at): the short lists, with a set's size and the place of the key among its own;
-    `sets` gives the table (name, shingles) for the names of a table.
+    `lists` is as from `short_list_rows`; `sets` gives the table (name, shingles) for the names of a table.
     """
-    lists = written(_apart(lists.withColumn("group", F.col("name"))), "shared-lists")
     edges = None
     for turn in range(ROUNDS + 1):
+        as_query = [F.col(c).alias(a) for c, a in (("name", "q"), ("n", "n_q"), ("at", "at_q"), ("group", "group_q"))]
         if turn < ROUNDS:
             # One query for each list, another one in each round.
-            chance = F.xxhash64("name", F.lit(turn))
-            one = F.min_by(F.struct("name", "n", "at", "group"), chance).alias("one")
-            chosen = lists.groupBy("key").agg(one, F.count("*").alias("members"))
-            queries = chosen.select(
-                "key", "members", F.col("one.name").alias("q"), F.col("one.n").alias("n_q"),
-                F.col("one.at").alias("at_q"), F.col("one.group").alias("group_q"),
-            )
-            pairs = _routed(lists, queries)
+            one = F.min_by(F.struct("name", "n", "at", "group"), F.xxhash64("name", F.lit(turn))).alias("one")
+            queries = lists.groupBy("key").agg(one, F.count("*").alias("members")).select("key", "members", "one.*")
+            pairs = _routed(lists, queries.select("key", "members", *as_query))
         else:
-            queries = lists.join(lists.groupBy("key").agg(F.count("*").alias("members")), "key").select(
-                "key", "members", F.col("name").alias("q"), F.col("n").alias("n_q"),
-                F.col("at").alias("at_q"), F.col("group").alias("group_q"),
-            )
-            pairs = _routed(lists, queries).filter("q < y")
+            queries = lists.join(lists.groupBy("key").agg(F.count("*").alias("members")), "key")
+            pairs = _routed(lists, queries.select("key", "members", *as_query)).filter("q < y")
         pairs = written(pairs, "routed-sets")
         wanted = pairs.select(F.col("q").alias("name")).union(pairs.select("y")).distinct()
         found = search(pairs, sets(wanted))
@@ -245,7 +256,7 @@ def links(lists: DataFrame, sets) -> DataFrame:
         if turn < ROUNDS:
             groups = components(edges, "ngram-groups").select(F.col("node").alias("name"), F.col("component").alias("now"))
             told = lists.drop("group").join(groups, "name", "left").withColumn("group", F.coalesce("now", "name"))
-            lists = written(_apart(written(told.drop("now"), "told-lists")), "shared-lists")
+            lists = written(_apart(told.drop("now")), "short-lists")
             if lists.isEmpty():
                 break
     return edges
@@ -268,11 +279,9 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     seen = np.minimum(seen, 2**31 - 1).astype(np.int32)
     rows = docs.mapInArrow(_listed(shingle_words, seen), "doc_id long, name long, n long, keys array<long>")
     rows = written(rows, "ngram-sets")
-    lists = rows.select("name", "n", F.posexplode("keys").alias("at", "key")).groupBy("key", "name").agg(
-        F.min("n").alias("n"), F.min("at").alias("at")
+    names = rows.filter("name is not null").groupBy("name").agg(
+        F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")
     )
-    lists = written(lists, "short-lists")
-    names = rows.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"))
     names = written(names, "set-names")
 
     def sets(wanted: DataFrame) -> DataFrame:
@@ -284,7 +293,7 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         found = held.select("text").mapInArrow(_named(shingle_words), "name long, shingles array<long>")
         return written(found.dropDuplicates(["name"]), "shingle-sets")
 
-    member = components(links(lists, sets), "ngram-groups").withColumnRenamed("node", "name")
+    member = components(links(short_list_rows(names), sets), "ngram-groups").withColumnRenamed("node", "name")
     told = names.join(member, "name", "left").select("name", "low", "copies", F.coalesce("component", "name").alias("component"))
     told = written(told, "set-components")
     least = told.groupBy("component").agg(F.min("low").alias("component_id"), F.sum("copies").alias("copies"))
