@@ -33,6 +33,8 @@ SHINGLE_WORDS = 3
 SIMILAR = (9, 10)
 #: Shingles are ordered by how often their bucket of hashes is seen in the corpus, rarest first; 4 bytes a bucket.
 BUCKET_BITS = 18
+#: Bits of the parity of a set's shingles by bucket: two sets differ in at least as many shingles as bits.
+PARITY_BITS = 1024
 #: Searches with one query for each list before what is left is searched pair by pair.
 ROUNDS = 3
 #: Sets of about this many shingles together are searched at once for one query.
@@ -118,11 +120,21 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
+def _parity(own: np.ndarray) -> np.ndarray:
+    odd = np.bincount(own & (PARITY_BITS - 1), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _name(own: np.ndarray) -> int:
     """A hash of a set."""
     return int(T.mix(own.view(np.uint64) + np.uint64(len(own))).sum(dtype=np.uint64).view(np.int64))
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = pa.array(np.append(0, np.cumsum([len(a) for a in arrays])), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
+
+
 def _seen(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
@@ -137,26 +149,20 @@ def _seen(n: int):
 
 
 def _listed(n: int, seen: np.ndarray):
-    """Name, size and short-list shingles of each text, rarest first."""
+    """Name, size, parity bits and short-list shingles of each text, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches, "text"):
-            names, sizes, keys = [], [], []
+            names, sizes, bits, keys = [], [], [], []
             for own in _sets(batch, n):
                 names.append(_name(own) if len(own) else None)
                 sizes.append(len(own))
+                bits.append(_parity(own))
                 k = short_lists(len(own))
                 # Sorted by hash before, so that ties of the stable sort are in one order everywhere.
                 keys.append(own[np.argsort(seen[_bucket(own)], kind="stable")[:k]] if k else own[:0])
-            offsets = pa.array(np.append(0, np.cumsum([len(k) for k in keys])), pa.int32())
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                ],
-                ["doc_id", "name", "n", "keys"],
-            )
+            columns = [batch.column("doc_id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), _lists(bits), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "n", "bits", "keys"])
 
     return run
 
@@ -165,10 +171,8 @@ def _named(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches, "text"):
             own = list(_sets(batch, n))
-            offsets = pa.array(np.append(0, np.cumsum([len(s) for s in own])), pa.int32())
-            flat = pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))
             names = pa.array([_name(s) for s in own], pa.int64())
-            yield pa.RecordBatch.from_arrays([names, pa.ListArray.from_arrays(offsets, flat)], ["name", "shingles"])
+            yield pa.RecordBatch.from_arrays([names, _lists(own)], ["name", "shingles"])
 
     return run
 
@@ -222,7 +226,19 @@ def _routed(lists: DataFrame, queries: DataFrame) -> DataFrame:
     most = F.least(F.col("n") - F.col("at"), F.col("n_q") - F.col("at_q"))
     both = both.filter((up + down) * most >= up * (F.col("n") + F.col("n_q")))
     blocks = F.ceil(F.col("members") * F.col("n") / F.lit(BLOCK_SHINGLES))
-    return both.groupBy("q", F.col("name").alias("y")).agg(F.min(F.pmod(F.xxhash64("name"), blocks)).alias("block"))
+    return both.groupBy("q", F.col("name").alias("y")).agg(
+        F.min(F.pmod(F.xxhash64("name"), blocks)).alias("block"), F.min(F.col("n") + F.col("n_q")).alias("both")
+    )
+
+
+def _possible(pairs: DataFrame, parities: DataFrame) -> DataFrame:
+    """The routed pairs (q, y, block, both) whose parity bits (name, bits) do not differ in more than similar sets may."""
+    up, down = SIMILAR
+    side = lambda c: parities.select(F.col("name").alias(c), F.col("bits").alias(f"bits_{c}"))
+    differ = F.zip_with("bits_q", "bits_y", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    differ = F.aggregate(differ, F.lit(0), lambda a, b: a + b)
+    need = F.expr(f"({up} * both + {up + down - 1}) div {up + down}")
+    return pairs.join(side("q"), "q").join(side("y"), "y").filter(differ <= F.col("both") - 2 * need).select("q", "y", "block")
 
 
 def short_list_rows(names: DataFrame) -> DataFrame:
@@ -233,10 +249,11 @@ def short_list_rows(names: DataFrame) -> DataFrame:
     return written(_apart(_by_size(shared).withColumn("group", F.col("name"))), "short-lists")
 
 
-def links(lists: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def links(lists: DataFrame, parities: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Edges (a, b) between names, whose components are those of all similar pairs.
 
-    `lists` is as from `short_list_rows`; `sets` gives the table (name, shingles) for the names of a table.
+    `lists` is as from `short_list_rows`; `parities` has (name, bits); `sets` gives the table (name, shingles)
+    for the names of a table.
     """
     edges = None
     for turn in range(ROUNDS + 1):
@@ -249,7 +266,7 @@ def links(lists: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame
         else:
             queries = lists.join(lists.groupBy("key").agg(F.count("*").alias("members")), "key")
             pairs = _routed(lists, queries.select("key", "members", *as_query)).filter("q < y")
-        pairs = written(pairs, "routed-sets")
+        pairs = written(_possible(pairs, parities), "routed-sets")
         wanted = pairs.select(F.col("q").alias("name")).union(pairs.select("y")).distinct()
         found = search(pairs, sets(wanted))
         edges = written(found if edges is None else edges.union(found), "ngram-links")
@@ -277,23 +294,27 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     for bucket, n in counted.collect():
         seen[bucket] = n
     seen = np.minimum(seen, 2**31 - 1).astype(np.int32)
-    rows = docs.mapInArrow(_listed(shingle_words, seen), "doc_id long, name long, n long, keys array<long>")
+    rows = docs.mapInArrow(_listed(shingle_words, seen), "doc_id long, name long, n long, bits array<long>, keys array<long>")
     rows = written(rows, "ngram-sets")
     names = rows.filter("name is not null").groupBy("name").agg(
-        F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("keys").alias("keys")
-    )
+        F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.first("bits").alias("bits"), F.first("keys").alias("keys"),
+    )
     names = written(names, "set-names")
 
     def sets(wanted: DataFrame) -> DataFrame:
         carriers = names.join(wanted, "name", "left_semi").select(F.col("low").alias("carrier")).distinct()
         carriers = written(carriers, "set-carriers")
-        if 16 * carriers.count() <= BROADCAST_BYTES:
+        n = carriers.count()
+        if 16 * n <= BROADCAST_BYTES:
             carriers = F.broadcast(carriers)
         held = docs.join(carriers, F.col("doc_id").eqNullSafe(F.col("carrier")), "left_semi")
         found = held.select("text").mapInArrow(_named(shingle_words), "name long, shingles array<long>")
-        return written(found.dropDuplicates(["name"]), "shingle-sets")
+        found = written(found, "shingle-sets")
+        # Only where a doc_id is null or repeated is there more than one text for a set.
+        return found if found.count() <= n else written(found.dropDuplicates(["name"]), "shingle-sets")
 
-    member = components(links(short_list_rows(names), sets), "ngram-groups").withColumnRenamed("node", "name")
+    member = components(links(short_list_rows(names), names.select("name", "bits"), sets), "ngram-groups").withColumnRenamed("node", "name")
     told = names.join(member, "name", "left").select("name", "low", "copies", F.coalesce("component", "name").alias("component"))
     told = written(told, "set-components")
     least = told.groupBy("component").agg(F.min("low").alias("component_id"), F.sum("copies").alias("copies"))
