@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import byte_bpe, decontamination, line_dedup, near_copies, quality_rules
+from wayfold.llm import byte_bpe, decontamination, line_dedup, quality_rules, simhash
 from wayfold.llm.tables import read, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,8 +29,8 @@ def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group that pairs of Jaccard similarity 0.8 or more connect, by 5 words, the smallest doc_id stays."""
-    return near_copies.one_of_each(docs).select(COLUMNS)
+    """Of each group of SimHash fingerprints linked at 2 bits or fewer, by 3-word shingles, the smallest doc_id stays."""
+    return simhash.one_of_each(docs).select(COLUMNS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
