@@ -58,6 +58,14 @@ def by_clock(waypoints):
     return jobs.congestion_labels(waypoints)
 
 
+def packed_by_arrival(waypoints):
+    return jobs.congestion_labels(waypoints, arrival="n", packed=True)
+
+
+def packed_by_clock(waypoints):
+    return jobs.congestion_labels(waypoints, packed=True)
+
+
 def brute_rows(parts):
     """Expected labels of (vehicle, batches of points) after removal of copies, first arrival first."""
     seen, steps = set(), {}
@@ -97,7 +105,7 @@ def parts():
     return [first, second, third]
 
 
-@pytest.mark.parametrize("transform", [by_arrival, by_clock])
+@pytest.mark.parametrize("transform", [by_arrival, by_clock, packed_by_arrival, packed_by_clock])
 def test_stream_equals_frame_model(spark, tmp_path, parts, transform):
     feed = Feed(spark, tmp_path, transform)
     for part in parts:
@@ -106,8 +114,9 @@ def test_stream_equals_frame_model(spark, tmp_path, parts, transform):
     assert got_rows(feed.rows()) == brute_rows(parts)
 
 
-def test_restart_equals_uninterrupted_and_small_arrow_batches(spark, tmp_path, parts):
-    feed = Feed(spark, tmp_path, by_arrival)
+@pytest.mark.parametrize("transform", [by_arrival, packed_by_arrival])
+def test_restart_equals_uninterrupted_and_small_arrow_batches(spark, tmp_path, parts, transform):
+    feed = Feed(spark, tmp_path, transform)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         for part in parts:
@@ -127,7 +136,7 @@ def test_state_is_spread_over_partitions(spark, tmp_path, parts):
     assert len(stores) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@pytest.mark.parametrize("transform", [by_arrival, by_clock])
+@pytest.mark.parametrize("transform", [by_arrival, by_clock, packed_by_arrival])
 def test_late_rows_and_copies_are_dropped(spark, tmp_path, transform):
     feed = Feed(spark, tmp_path, transform)
     feed.send([point(1, "a", 0), point(2, "a", 10)])
@@ -139,8 +148,9 @@ def test_late_rows_and_copies_are_dropped(spark, tmp_path, transform):
     assert keys(feed.rows()) == [("a", t) for t in (0, 10, 1000, 1010, 1020)]
 
 
-def test_idle_vehicles_are_forgotten_by_event_time(spark, tmp_path):
-    feed = Feed(spark, tmp_path, by_arrival)
+@pytest.mark.parametrize("transform", [by_arrival, packed_by_arrival])
+def test_idle_vehicles_are_forgotten_by_event_time(spark, tmp_path, transform):
+    feed = Feed(spark, tmp_path, transform)
     feed.send(walk("gone", 25, 0, 10, 0) + walk("stays", 25, 0, 10, 100))
     feed.send(walk("stays", 2, 1500, 10, 200))
     # Half an hour and five minutes after the last point of "gone" the watermark passes its timer.

@@ -44,11 +44,11 @@ def stream_settings(
 
 
 def congestion_labels(
-    waypoints: DataFrame, settings: Settings = DEFAULTS, arrival: str | None = None
+    waypoints: DataFrame, settings: Settings = DEFAULTS, arrival: str | None = None, packed: bool = False
 ) -> DataFrame:
     """Raw waypoints to labelled points, on a stream. Totals are in its progress."""
     counted = clean.with_counts(waypoints)
-    return trajectory_labels(clean.with_grid(clean.clean(counted), settings), settings, arrival)
+    return trajectory_labels(clean.with_grid(clean.clean(counted), settings), settings, arrival, packed=packed)
 
 
 def tracked_positions(

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from wayfold.config import DEFAULTS, Settings
 from wayfold.operators.labels import CLUSTER_FIELDS, cluster_one_frame, with_scores
 from wayfold.schemas import LABELLED_COLUMNS
+from wayfold.streaming.packed import PackedTrajectory
 
 # One typed row per vehicle, so a batch costs one read and one write of state.
 STATE = T.StructType(
@@ -146,6 +147,7 @@ def trajectory_labels(
     settings: Settings = DEFAULTS,
     arrival: str | None = None,
     density_scope: str = "emitted",
+    packed: bool = False,
 ) -> DataFrame:
     """Labelled points of a stream of clean waypoints with `grid_id` and `event_time`.
 
@@ -155,18 +157,20 @@ def trajectory_labels(
     `drop_repeats` first, which costs a second shuffle and store and keeps
     whichever copy of a batch is met first; vehicles then go idle by the clock.
     Needs the RocksDB state store.
+
+    `packed` handles a vehicle's points as arrays instead of rows; a checkpoint
+    belongs to the form it was started with.
     """
     by_event = arrival is not None
     rows = with_watermark(waypoints, settings) if by_event else drop_repeats(waypoints, settings)
     wanted = [f.name for f in POINT_FIELDS] + ["event_time"] + ([arrival] if by_event else [])
-    points = (
-        rows.select(*wanted)
-        .groupBy("vehicle")
-        .transformWithState(
-            statefulProcessor=TrajectoryProcessor(settings, by_event, arrival),
-            outputStructType=OUTPUT,
-            outputMode="Append",
-            timeMode="EventTime" if by_event else "ProcessingTime",
-        )
+    keyed = rows.select(*wanted).groupBy("vehicle")
+    run = keyed.transformWithStateInPandas if packed else keyed.transformWithState
+    processor = PackedTrajectory if packed else TrajectoryProcessor
+    points = run(
+        statefulProcessor=processor(settings, by_event, arrival),
+        outputStructType=OUTPUT,
+        outputMode="Append",
+        timeMode="EventTime" if by_event else "ProcessingTime",
     )
     return with_scores(points, settings, density_scope).select(*LABELLED_COLUMNS)
