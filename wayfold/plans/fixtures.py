@@ -28,6 +28,8 @@ FALLBACK_S = BASE_S - 60
 STREAM_BATCHES = 3
 STREAM_STEP_S = 50
 STREAM_PARTITIONS = 8
+# A heartbeat this long after the last batch comes when all cells have expired and all episodes are over.
+HEARTBEAT_S = 1000
 
 # Values of broken records: far off the earth, and some ten million years ahead.
 FAR_OFF = 1e300

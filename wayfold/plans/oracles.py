@@ -406,6 +406,15 @@ batches AS (
 ), {latest(X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S)}
 SELECT {live_columns} FROM indexed WHERE rank <= {X.LIVE_TOP}"""
 
+    q["stream_cell_feed"] = q["cell_feed"] + f"""
+UNION ALL
+SELECT batch_id, grid_id::VARCHAR, 'delete', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, {_iso(f"updated_at + {X.LIVE_TTL_S}")}
+FROM (
+  SELECT *, lead(updated_at) OVER (PARTITION BY grid_id ORDER BY batch_id) AS next_at FROM batches
+)
+WHERE congested_count > 0 AND (next_at IS NULL OR next_at >= updated_at + {X.LIVE_TTL_S})"""
+    q["stream_episodes"] = q["congestion_episodes"]
+
     q["routes_from_csv"] = q["route_dimension"]
     q["stream_positions"] = q["latest_positions"]
 

@@ -13,7 +13,7 @@ from wayfold.operators import cells, clean, dedup, frames, labels, replay, stops
 from wayfold.plans import fixtures as X
 from wayfold.session import shared_folder
 from wayfold.sources import archive, dimensions, messages
-from wayfold.streaming import jobs, sinks, trajectory
+from wayfold.streaming import cell_life, jobs, sinks, trajectory
 
 KEY = ["vehicle", "datetime"]
 CLEAN_COLUMNS = ["event_id", "vehicle", "x", "y", "speed", "datetime", "grid_id"]
@@ -299,6 +299,49 @@ def stream_positions(spark: SparkSession, folder: str) -> DataFrame:
     return make_sink(path).snapshot().drop("event_id")
 
 
+def _run_cell_stream(spark: SparkSession, folder: str, name: str, transform) -> DataFrame:
+    """Feed the per-batch aggregates part by part, each with a heartbeat, through a stream resumed in between.
+
+    Two more heartbeats come long after the last batch: the first carries the time on, in the second all is over.
+    """
+    path = shared_folder(spark, name)
+    _batches(spark, folder).write.parquet(f"{path}/batches")
+    batches = spark.read.parquet(f"{path}/batches")
+    end, last = batches.agg(F.max("batch_id") + 1, F.max("updated_at")).first()
+    if end is None:
+        end, last = 0, X.BASE_S
+    bounds = [-(-end * b // X.STREAM_BATCHES) for b in range(X.STREAM_BATCHES + 1)]
+    parts = []
+    for low, high in zip(bounds, bounds[1:]):
+        parts.append(batches.filter((F.col("batch_id") >= low) & (F.col("batch_id") < high)))
+    for late in (1, 2):
+        beat = spark.createDataFrame([(None, last + late * X.HEARTBEAT_S)], "grid_id long, updated_at long")
+        parts.append(batches.limit(0).unionByName(beat, allowMissingColumns=True))
+    for part in parts:
+        part.write.mode("append").parquet(f"{path}/input")
+        rows = transform(messages.file_stream(spark, f"{path}/input", batches.schema))
+        query = jobs.start(
+            rows,
+            lambda batch, batch_id: sinks.write_batch(batch.withColumnsRenamed({"batch_id": "of_batch"}), f"{path}/rows", batch_id),
+            f"{path}/checkpoint",
+            available_now=True,
+            partitions=X.STREAM_PARTITIONS,
+        )
+        query.awaitTermination()
+    found = spark.read.parquet(f"{path}/rows").drop("batch_id")
+    return found.withColumnsRenamed({"of_batch": "batch_id"})
+
+
+def stream_cell_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The change feed of a stream of batches, with a deletion for each cell that goes silent."""
+    return _run_cell_stream(spark, folder, "stream-feed", lambda b: cell_life.live_feed(b, X.live_settings()))
+
+
+def stream_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    """Episodes of a stream of batches, each emitted once when it is over."""
+    return _run_cell_stream(spark, folder, "stream-episodes", cell_life.ended_episodes)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -334,5 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_labels,
         stream_live_cells,
         stream_positions,
+        stream_cell_feed,
+        stream_episodes,
     )
 }
