@@ -59,6 +59,31 @@ def test_remembered_pieces_are_dropped(library, vocabulary, monkeypatch):
         assert coder.encode([text]).to_pylist() == [library.encode_ordinary(text)]
 
 
+def test_parts_of_any_size_give_the_same_ids(library, vocabulary, monkeypatch):
+    for name in ("PIECES_AT_ONCE", "TOKENS_AT_ONCE", "PART_TOKENS", "LISTED_CHARS"):
+        monkeypatch.setattr(byte_bpe, name, 7)
+    texts = ["one two  three", None, "", "日本語 " * 30, "a b c d e f g h i j k l", "", "don't " * 40 + "x" * 300]
+    coder = byte_bpe.Coder(vocabulary)
+    ids = coder.encode(texts)
+    assert ids.to_pylist() == [library.encode_ordinary(t or "") for t in texts]
+    assert coder.decode(ids).to_pylist() == [(t or "").encode() for t in texts]
+    assert coder.decode(ids.slice(2, 3)).to_pylist() == [(t or "").encode() for t in texts[2:5]]
+
+
+def test_a_text_of_64_megabytes(library, vocabulary):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeiou") for _ in range(rng.randrange(1, 9))) for _ in range(50_000)]
+    block = " ".join(words)
+    text = block * (1 + (64 << 20) // len(block))
+    coder = byte_bpe.Coder(vocabulary)
+    ids = coder.encode(["x", text, None])
+    head = len(block) * 2 // 3
+    first = library.encode_ordinary(text[:head])[:-5]
+    assert ids[1].values[: len(first)].to_pylist() == first
+    decoded = coder.decode(ids)
+    assert len(text) >= 64 << 20 and decoded.to_pylist() == [b"x", text.encode(), b""]
+
+
 def test_empty_and_unknown(spark, vocabulary):
     assert byte_bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), vocabulary).count() == 0
     with pytest.raises(ValueError):

@@ -12,6 +12,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -28,6 +29,12 @@ CHUNK_BYTES = 4 << 20
 REMEMBERED = 600_000
 #: A round of the query merges one pair per piece, so pieces of more bytes are merged with a heap instead.
 LONG_PIECE = 256
+#: Pieces that are encoded at once, and tokens that are decoded at once; longer texts take several turns.
+PIECES_AT_ONCE = 250_000
+TOKENS_AT_ONCE = 1_000_000
+PART_TOKENS = 50_000
+#: Characters of a text whose pieces are listed at once.
+LISTED_CHARS = 1 << 20
 
 MERGE = """
 WITH RECURSIVE step(piece, ids) AS (
@@ -81,7 +88,7 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary):
         v = vocabulary
-        self._find = regex.compile(v.pattern).findall
+        self._pattern = regex.compile(v.pattern)
         self._rank = dict(zip(v.tokens, v.ids.tolist()))
         self._tokens, self._token_ids = pa.array(v.tokens, pa.binary()), v.ids
         self._byte = np.array([self._rank.get(bytes([b]), -1) for b in range(256)], np.int32)
@@ -162,34 +169,59 @@ class Coder:
         table = pa.table({"piece": pa.array(np.arange(len(data), dtype=np.int32)), "ids": ids})
         return self._ask("pieces", table, MERGE)["ids"].combine_chunks()
 
+    def _pieces(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[int]]]:
+        """The texts' pieces in parts of about PIECES_AT_ONCE, each with how many are of which text."""
+        part, counts = [], np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            if t and len(t) > LISTED_CHARS:
+                matches = self._pattern.finditer(t)
+                found = iter(lambda: [m.group() for m in islice(matches, PIECES_AT_ONCE)], [])
+            else:
+                found = [self._pattern.findall(t)] if t else []
+            for some in found:
+                part += some
+                counts[i] += len(some)
+                if len(part) >= PIECES_AT_ONCE:
+                    yield part, counts
+                    part, counts = [], np.zeros(len(texts), np.int64)
+        yield part, counts
+
     def encode(self, texts: list[str | None]) -> pa.ListArray:
-        if len(self._number) > REMEMBERED:
-            self._forget()
-        split = [self._find(t) if t else [] for t in texts]
-        pieces = [p for s in split for p in s]
-        self._learn(pieces)
-        number = np.fromiter(map(self._number.__getitem__, pieces), np.int64, len(pieces))
-        sizes = self._sizes[number]
-        starts = np.cumsum(self._sizes) - self._sizes
-        ids = self._ids[T.ranges(starts[number], sizes)]
-        piece_ends = np.append(0, np.cumsum(sizes))
-        text_ends = np.append(0, np.cumsum([len(s) for s in split])).astype(np.int64)
-        return pa.ListArray.from_arrays(pa.array(piece_ends[text_ends], pa.int32()), pa.array(ids))
+        ids, totals = [], np.zeros(len(texts), np.int64)
+        for pieces, counts in self._pieces(texts):
+            if len(self._number) > REMEMBERED:
+                self._forget()
+            self._learn(pieces)
+            number = np.fromiter(map(self._number.__getitem__, pieces), np.int64, len(pieces))
+            sizes = self._sizes[number]
+            starts = np.cumsum(self._sizes) - self._sizes
+            ids.append(self._ids[T.ranges(starts[number], sizes)])
+            ends = np.append(0, np.cumsum(sizes))
+            text_ends = np.cumsum(counts)
+            totals += ends[text_ends] - ends[text_ends - counts]
+        offsets = pa.array(np.append(0, np.cumsum(totals)), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         """Bytes of each row; an id outside the vocabulary is an error, null counts as no ids."""
         sizes = pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = ids.flatten()
-        rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        tokens = pa.table({"row": rows, "place": np.arange(len(flat), dtype=np.int32), "id": flat.cast(pa.int32())})
-        unknown = pc.invert(pc.is_in(pc.unique(tokens["id"]), pa.array(list(self._rank.values()), pa.int32())))
+        flat = ids.flatten().cast(pa.int32())
+        unknown = pc.invert(pc.is_in(pc.unique(flat), pa.array(list(self._rank.values()), pa.int32())))
         if pc.any(unknown).as_py():
             raise ValueError("token ids outside the vocabulary")
-        out = self._ask("tokens", tokens, DECODE)
-        got = np.full(len(ids), -1)
-        got[out["row"].to_numpy()] = np.arange(len(out))
-        index = pa.array(got, mask=got < 0)
-        return out["bytes"].combine_chunks().cast(pa.binary()).take(index).fill_null(b"")
+        owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        lengths, data = np.zeros(len(ids), np.int64), []
+        for at in range(0, len(flat), TOKENS_AT_ONCE):
+            part = slice(at, at + TOKENS_AT_ONCE)
+            # A row is decoded in parts of its own where it is long, so that no string holds a whole long text.
+            rows = owner[part].astype(np.int64) << 32 | np.arange(len(owner[part])) // PART_TOKENS
+            tokens = pa.table({"row": rows, "place": np.arange(len(rows), dtype=np.int32), "id": flat[part]})
+            out = self._ask("tokens", tokens, DECODE)
+            some = out["bytes"].combine_chunks().cast(pa.binary())
+            np.add.at(lengths, out["row"].to_numpy() >> 32, T._lengths(some))
+            data.append(T._bytes(some)[0].tobytes())
+        ends = np.append(0, np.cumsum(lengths)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(data))])
 
 
 def _encoded(vocabulary: Vocabulary, and_decode: bool):
@@ -228,7 +260,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, ids) for each row of `docs` (doc_id, text).
 
     Null and empty texts have no ids. Rows without doc_id and repeated rows are encoded like any other. Other
-    columns are ignored; an empty table gives an empty result. Memory follows the longest text.
+    columns are ignored; an empty table gives an empty result. A text of any length is encoded in parts; besides
+    these a task holds the longest text, its ids and its bytes.
     """
     return _texts(docs).mapInArrow(_encoded(vocabulary, False), "doc_id long, ids array<int>")
 
