@@ -8,8 +8,8 @@ the longest lists are set aside, the short ones are merged by a heap that skips
 what is found there is looked up in the long lists by binary search.
 
 Equal sets are one from the start. In every short list one set is the query of all others, and sets that a search
-has linked are one group; that is repeated with other queries, and only lists in which groups are left apart
-are searched pair by pair. So a large group of near copies takes as many searches as it has members.
+has linked are one group; that is repeated with other queries. Only where groups are left apart in a list are its
+sets compared with one another, by parity bits inside a task, which emits the few pairs that a search must decide. So a large group of near copies takes as many searches as it has members.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ BUCKET_BITS = 18
 #: Bits of the parity of a set's shingles by bucket: two sets differ in at least as many shingles as bits.
 PARITY_BITS = 1024
 #: Searches with one query for each list before what is left is searched pair by pair.
-ROUNDS = 3
+ROUNDS = 2
+#: Sets of a list that are compared with one another in one task; longer lists are dealt in blocks of this many.
+LIST_BLOCK = 2048
 #: Sets of about this many shingles together are searched at once for one query.
 BLOCK_SHINGLES = 1 << 18
 #: Cost of a binary search against a step of the heap, as the division into short and long lists weighs them.
@@ -241,6 +243,43 @@ def _possible(pairs: DataFrame, parities: DataFrame) -> DataFrame:
     return pairs.join(side("q"), "q").join(side("y"), "y").filter(differ <= F.col("both") - 2 * need).select("q", "y", "block")
 
 
+def _left_in_list(table: pa.Table) -> pa.Table:
+    """The pairs of a list's sets, of different groups, that sizes, places and parity bits leave possible."""
+    up, down = SIMILAR
+    name, n, at, group, own = (table.column(c).to_numpy() for c in ("name", "n", "at", "group", "own"))
+    bits = table.column("bits").combine_chunks().flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(name), -1)
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    found = []
+    for a in range(len(name)):
+        b = np.arange(a + 1, len(name)) if i == j else np.flatnonzero(own == j) if own[a] == i else ()
+        if not len(b):
+            continue
+        both = n[a] + n[b]
+        fits = (group[b] != group[a]) & ((up + down) * np.minimum(n[a] - at[a], n[b] - at[b]) >= up * both)
+        b, both = b[fits], both[fits]
+        differ = np.bitwise_count(bits[b] ^ bits[a]).sum(axis=1)
+        found.append((a, b[differ <= both - 2 * needed(both, 0)]))
+    first = np.concatenate([np.full(len(b), a) for a, b in found] or [np.zeros(0, np.int64)]).astype(np.int64)
+    second = np.concatenate([b for _, b in found] or [np.zeros(0, np.int64)]).astype(np.int64)
+    swap = name[first] > name[second]
+    q, y = np.where(swap, second, first), np.where(swap, first, second)
+    members = table.column("members").to_numpy()
+    return pa.table({"q": name[q], "y": name[y], "n": n[y], "members": members[y]})
+
+
+def _left(lists: DataFrame, parities: DataFrame) -> DataFrame:
+    """(q, y, block) for all possible pairs of groups that are left apart, list by list."""
+    members = lists.groupBy("key").agg(F.count("*").alias("members"))
+    rows = lists.join(members, "key").join(parities, "name")
+    blocks = F.ceil(F.col("members") / LIST_BLOCK)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("name", F.lit("own")), blocks))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
+    pairs = rows.groupBy("key", "i", "j").applyInArrow(_left_in_list, "q long, y long, n long, members long")
+    block = F.pmod(F.xxhash64("y"), F.ceil(F.col("members") * F.col("n") / F.lit(BLOCK_SHINGLES)))
+    return pairs.groupBy("q", "y").agg(F.min(block).alias("block"))
+
+
 def short_list_rows(names: DataFrame) -> DataFrame:
     """(key, name, n, at, group): the short lists of `names` (name, n, keys) on which two sets of similar size meet."""
     every = names.select("name", "n", F.posexplode("keys").alias("at", "key"))
@@ -257,16 +296,15 @@ def links(lists: DataFrame, parities: DataFrame, sets: Callable[[DataFrame], Dat
     """
     edges = None
     for turn in range(ROUNDS + 1):
-        as_query = [F.col(c).alias(a) for c, a in (("name", "q"), ("n", "n_q"), ("at", "at_q"), ("group", "group_q"))]
         if turn < ROUNDS:
             # One query for each list, another one in each round.
             one = F.min_by(F.struct("name", "n", "at", "group"), F.xxhash64("name", F.lit(turn))).alias("one")
             queries = lists.groupBy("key").agg(one, F.count("*").alias("members")).select("key", "members", "one.*")
-            pairs = _routed(lists, queries.select("key", "members", *as_query))
+            as_query = [F.col(c).alias(a) for c, a in (("name", "q"), ("n", "n_q"), ("at", "at_q"), ("group", "group_q"))]
+            pairs = _possible(_routed(lists, queries.select("key", "members", *as_query)), parities)
         else:
-            queries = lists.join(lists.groupBy("key").agg(F.count("*").alias("members")), "key")
-            pairs = _routed(lists, queries.select("key", "members", *as_query)).filter("q < y")
-        pairs = written(_possible(pairs, parities), "routed-sets")
+            pairs = _left(lists, parities)
+        pairs = written(pairs, "routed-sets")
         wanted = pairs.select(F.col("q").alias("name")).union(pairs.select("y")).distinct()
         found = search(pairs, sets(wanted))
         edges = written(found if edges is None else edges.union(found), "ngram-links")
