@@ -65,7 +65,6 @@ def test_edits_around_the_limit(spark, monkeypatch, rounds, block):
     """Chains of near copies, a common passage in all texts of a family, sizes from one word on."""
     monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
-    monkeypatch.setattr(ngram_join, "LIST_BLOCK", block // 100)
     rnd = random.Random(rounds)
     word = lambda: f"w{rnd.randrange(3000)}"
     common = [word() for _ in range(120)]
