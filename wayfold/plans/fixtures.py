@@ -19,6 +19,7 @@ BASE_S = 1_704_067_200
 SPEED_UP = 4000
 
 REPLAY_HEAD_S = 300
+ARCHIVE_STEP_S = 200
 LIVE_TTL_S = 120
 LIVE_TOP = 50
 AS_OF = BASE_S + 650

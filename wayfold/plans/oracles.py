@@ -342,6 +342,11 @@ ORDER BY severity DESC, grid_id::VARCHAR DESC LIMIT 200"""
 SELECT congestion_status, count(*) AS n, count(DISTINCT vehicle) AS vehicles, max(severity) AS max_severity
 FROM labelled WHERE congestion_status <> 'Dwelling' GROUP BY congestion_status"""
 
+    q["archive_compacted"] = f"""WITH RECURSIVE {_BY_POINT}
+SELECT least(greatest((event_ts - {X.BASE_S}) // {X.ARCHIVE_STEP_S}, 0), 2)::BIGINT AS batch_id, congestion_status,
+  count(*) AS n, count(DISTINCT vehicle) AS vehicles, max(severity) AS max_severity
+FROM labelled WHERE congestion_status <> 'Dwelling' GROUP BY ALL"""
+
     q["cell_batches"] = f"WITH RECURSIVE {_BATCHES} SELECT grid_id, batch_id, updated_at, {_CELL_VALUES} FROM batches"
 
     def latest(as_of: int) -> str:

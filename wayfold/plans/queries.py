@@ -199,6 +199,30 @@ def archive_by_status(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def archive_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The archive of three batches, the day compacted and cleaned after the second, read back."""
+    path = shared_folder(spark, "compacted")
+    _labelled(spark, folder).write.parquet(f"{path}/points")
+    points = spark.read.parquet(f"{path}/points")
+    for batch in range(3):
+        since = (F.col("event_ts") - X.BASE_S) / X.ARCHIVE_STEP_S
+        # The last batch has all the rest.
+        of_batch = F.least(F.greatest(F.floor(since), F.lit(0)), F.lit(2)) == batch
+        archive.write_archive(points.filter(of_batch), f"{path}/archive", batch)
+        if batch == 1:
+            archive.compact_archive(spark, f"{path}/archive", "9999-12-31", upto=1)
+            archive.clean_archive(spark, f"{path}/archive")
+    return (
+        archive.read_archive(spark, f"{path}/archive")
+        .groupBy("batch_id", "congestion_status")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.countDistinct("vehicle").alias("vehicles"),
+            F.max("severity").alias("max_severity"),
+        )
+    )
+
+
 def cell_batches(spark: SparkSession, folder: str) -> DataFrame:
     return _batches(spark, folder)
 
@@ -369,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_congestion,
         hot_cells,
         archive_by_status,
+        archive_compacted,
         cell_batches,
         live_cells,
         cell_feed,

@@ -37,6 +37,23 @@ def files_below(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def folders_like(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders and files that a glob pattern stands for, in order."""
+    files, target = _filesystem(spark, pattern)
+    return sorted(s.getPath().toString() for s in files.globStatus(target) or [])
+
+
+def sized_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """The files that a glob pattern stands for, with their sizes in bytes, in order."""
+    files, target = _filesystem(spark, pattern)
+    return sorted((s.getPath().toString(), s.getLen()) for s in files.globStatus(target) or [] if s.isFile())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, target = _filesystem(spark, path)
+    files.delete(target, True)
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -81,8 +98,7 @@ class VersionedTable:
         for version in folders:
             if oldest is not None and version >= oldest:
                 continue
-            files, target = _filesystem(self.spark, f"{self.path}/{_PREFIX}{version}")
-            files.delete(target, True)
+            remove_folder(self.spark, f"{self.path}/{_PREFIX}{version}")
 
 
 def merge_or_remove(old: DataFrame | None, new: DataFrame, key: str, keep: str) -> DataFrame:
