@@ -303,7 +303,7 @@ def stream_live_cells(spark: SparkSession, folder: str) -> DataFrame:
 
     def make_sink(path: str) -> sinks.CongestionSink:
         updated_at = F.col("batch_id") * X.STREAM_STEP_S + X.BASE_S
-        return sinks.CongestionSink(spark, path, X.live_settings(), updated_at)
+        return sinks.CongestionSink(spark, path, X.live_settings(), updated_at, buckets=X.BUCKETS)
 
     path = _run_stream(spark, folder, "stream-cells", _stream_labels, make_sink)
     return make_sink(path).snapshot(X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S)
@@ -317,7 +317,7 @@ def stream_positions(spark: SparkSession, folder: str) -> DataFrame:
         return jobs.tracked_positions(waypoints, routes, "event_id", F.lit(X.FALLBACK_S))
 
     def make_sink(path: str) -> sinks.TrackingSink:
-        return sinks.TrackingSink(spark, path, "event_id")
+        return sinks.TrackingSink(spark, path, "event_id", buckets=X.BUCKETS)
 
     path = _run_stream(spark, folder, "stream-positions", transform, make_sink)
     return make_sink(path).snapshot().drop("event_id")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wayfold.config import DEFAULTS, Settings
 from wayfold.operators import cells, tracking
 from wayfold.sources.archive import write_archive
-from wayfold.sources.tables import VersionedTable, merge_or_remove
+from wayfold.sources.tables import BucketedTable, merge_or_remove
 
 LIVE_COLUMNS = ["grid_id", "batch_id", "updated_at", *cells.CELL_COLUMNS]
 
@@ -22,7 +22,9 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 class CongestionSink:
     """Archive the points, bring the live cell table up to date, add the changes to the feed.
 
-    The last `keep_versions` versions stay, for readers that are under way and for the repeat of a batch.
+    The last `keep_versions` versions stay, for readers that are under way and for the repeat of a batch (at least 2).
+    With `buckets`, a batch reads and writes only the buckets of its cells, and a version holds only these; expired
+    cells stay in the others until a batch touches them, but count nowhere.
     """
 
     def __init__(
@@ -32,10 +34,11 @@ class CongestionSink:
         settings: Settings = DEFAULTS,
         updated_at: Column | None = None,
         keep_versions: int = 3,
+        buckets: int = 1,
     ):
         self.archive = f"{path}/archive"
         self.feed = f"{path}/feed"
-        self.live = VersionedTable(spark, f"{path}/live")
+        self.live = BucketedTable(spark, f"{path}/live", "grid_id", buckets)
         self.settings = settings
         self.keep_versions = keep_versions
         self.updated_at = F.unix_timestamp(F.current_timestamp()) if updated_at is None else updated_at
@@ -54,11 +57,12 @@ class CongestionSink:
             if batch.isEmpty():
                 return
             write_archive(batch, self.archive, batch_id)
-            before = self.live.read(before=batch_id)
+            buckets = self.live.touched(changed)
+            before = self.live.read_buckets(buckets, before=batch_id)
             if before is None:
                 events = changed.withColumn("was_live", F.lit(False))
             else:
-                # Expired cells leave the table; one row, so the comparison reaches the scan.
+                # Expired cells leave the buckets; one row, so the comparison reaches the scan.
                 now = changed.agg(F.max("updated_at").alias("now")).scalar()
                 before = cells.not_expired(before, now, self.settings)
                 # The cached changes are the small side of the first join, its result of the second.
@@ -66,7 +70,7 @@ class CongestionSink:
                 known = known.select("grid_id", F.lit(True).alias("was_live"))
                 events = changed.join(known, "grid_id", "left")
             write_batch(cells.feed_events(events).drop("batch_id"), self.feed, batch_id)
-            self.live.write(merge_or_remove(before, changed, "grid_id", "keep"), batch_id)
+            self.live.write(merge_or_remove(before, changed, "grid_id", "keep"), buckets, batch_id)
             self.live.expire(self.keep_versions)
         finally:
             changed.unpersist()
@@ -82,11 +86,12 @@ class CongestionSink:
 
 
 class TrackingSink:
-    """Keep the latest position of each vehicle, and add every position to the feed."""
+    """Keep the latest position of each vehicle, in `buckets` of which a batch rewrites those of its vehicles, and add
+    every position to the feed."""
 
-    def __init__(self, spark: SparkSession, path: str, arrival: str, keep_versions: int = 3):
+    def __init__(self, spark: SparkSession, path: str, arrival: str, keep_versions: int = 3, buckets: int = 1):
         self.feed = f"{path}/feed"
-        self.latest = VersionedTable(spark, f"{path}/latest")
+        self.latest = BucketedTable(spark, f"{path}/latest", "bus_id", buckets)
         self.arrival = arrival
         self.keep_versions = keep_versions
 
@@ -103,8 +108,7 @@ class TrackingSink:
             if positions.isEmpty():
                 return
             write_batch(tracking.position_feed(positions), self.feed, batch_id)
-            before = self.latest.read(before=batch_id)
-            self.latest.write(merge_or_remove(before, newest, "bus_id", "keep"), batch_id)
+            self.latest.merge(newest, "keep", batch_id)
             self.latest.expire(self.keep_versions)
         finally:
             newest.unpersist()
