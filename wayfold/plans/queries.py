@@ -11,6 +11,7 @@ from wayfold.config import DEFAULTS
 from wayfold.functions.time import epoch_seconds, utc_text
 from wayfold.operators import cells, clean, dedup, frames, labels, replay, stops, tracking
 from wayfold.plans import fixtures as X
+from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
 from wayfold.session import shared_folder
 from wayfold.sources import archive, dimensions, messages
 from wayfold.streaming import cell_life, jobs, sinks, trajectory
@@ -83,6 +84,14 @@ def wrapped_records(spark: SparkSession, folder: str) -> DataFrame:
     return archive.unwrap(X.gps_records(spark, folder), keep=("event_id",))
 
 
+def array_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """The records written as objects over many lines, and read back in splits that end anywhere."""
+    path = shared_folder(spark, "arrays")
+    records = X.gps_records(spark, folder).select(F.to_json(F.struct(WRAPPER, *WAYPOINT_COLUMNS), {"pretty": "true"}))
+    records.write.option("lineSep", ",\n").text(path)
+    return archive.read_waypoints(spark, path, split=True)
+
+
 def epoch_units(spark: SparkSession, folder: str) -> DataFrame:
     mixed = X.gps_mixed_units(spark, folder).select("event_id", F.col("datetime").alias("datetime_raw"))
     return mixed.withColumn("datetime", epoch_seconds(F.col("datetime_raw"))).withColumn(
@@ -375,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         skip_reasons,
         json_roundtrip,
         wrapped_records,
+        array_archive,
         epoch_units,
         cell_activity,
         route_dimension,

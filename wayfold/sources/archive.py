@@ -8,18 +8,24 @@ from pyspark.sql import functions as F
 from wayfold.functions.scoring import DWELLING
 from wayfold.functions.time import utc_text
 from wayfold.schemas import ANY_RECORD, WAYPOINT_COLUMNS, WRAPPER
+from wayfold.sources.arrays import array_records
 from wayfold.sources.tables import folders_like, path_exists, remove_folder, sized_files
 
 # Plain readers of Spark pass over names with a leading underscore.
 _COMPACTED = "_compacted"
 
 
-def read_records(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, path: str, multi_line: bool = True, split: bool = False) -> DataFrame:
     """Archived JSON with the declared schema.
 
-    A multi-line file is an array and is read by one task; archives of one
-    record per line (`multi_line=False`) are split at any size.
+    A multi-line file is an array and is read by one task; with `split` it is
+    cut into records by many, as are archives of one record per line
+    (`multi_line=False`) at any size. Read large arrays with `split`; a broken
+    file then loses its broken records alone.
     """
+    if multi_line and split:
+        records = array_records(spark, path)
+        return records.select(F.from_json("value", ANY_RECORD).alias("r")).select("r.*")
     return spark.read.schema(ANY_RECORD).option("multiLine", str(multi_line).lower()).json(path)
 
 
@@ -32,8 +38,8 @@ def unwrap(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return records.select(*keep, *columns).filter(F.col("vehicle") != "")
 
 
-def read_waypoints(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    return unwrap(read_records(spark, path, multi_line))
+def read_waypoints(spark: SparkSession, path: str, multi_line: bool = True, split: bool = False) -> DataFrame:
+    return unwrap(read_records(spark, path, multi_line, split))
 
 
 def archived(labelled: DataFrame) -> DataFrame:
