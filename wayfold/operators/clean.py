@@ -66,6 +66,19 @@ def with_grid(waypoints: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return waypoints.withColumn("grid_id", grid_id(F.col("x"), F.col("y"), settings))
 
 
+# What `skip_reason` gives, and whether position tracking takes such rows.
+REASONS = {
+    "no vehicle": False,
+    "no position": False,
+    "bad position": False,
+    "no time": True,
+    "bad time": True,
+    "out of service": True,
+    "door open": True,
+    "kept": True,
+}
+
+
 def skip_reason() -> Column:
     """Why `clean` drops a row, or 'kept'. The first reason that applies counts."""
     return (
@@ -95,8 +108,13 @@ def skip_counts(waypoints: DataFrame) -> DataFrame:
     )
 
 
+def reason_counter(reason: str) -> str:
+    """The name under which `with_counts` counts a reason."""
+    return reason.replace(" ", "_")
+
+
 def with_counts(waypoints: DataFrame, name: str = "intake") -> DataFrame:
-    """Count rows, trackable rows and clean rows while they pass, without a pass of their own.
+    """Count rows, trackable rows, clean rows and rows skipped by reason while they pass, without a pass of their own.
 
     The totals are in a stream's progress, or in the query execution of a batch.
     """
@@ -104,5 +122,5 @@ def with_counts(waypoints: DataFrame, name: str = "intake") -> DataFrame:
         name,
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_trackable()).alias("tracked"),
-        F.count_if(skip_reason() == "kept").alias("kept"),
+        *[F.count_if(skip_reason() == reason).alias(reason_counter(reason)) for reason in REASONS],
     )

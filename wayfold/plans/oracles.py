@@ -344,6 +344,8 @@ FROM labelled WHERE congestion_status <> 'Dwelling' GROUP BY congestion_status""
 
     q["array_archive"] = f"SELECT * EXCLUDE (event_id) FROM ({q['wrapped_records']})"
 
+    q["stream_skip_reasons"] = q["skip_reasons"]
+
     q["archive_compacted"] = f"""WITH RECURSIVE {_BY_POINT}
 SELECT least(greatest((event_ts - {X.BASE_S}) // {X.ARCHIVE_STEP_S}, 0), 2)::BIGINT AS batch_id, congestion_status,
   count(*) AS n, count(DISTINCT vehicle) AS vehicles, max(severity) AS max_severity

@@ -14,7 +14,7 @@ from wayfold.plans import fixtures as X
 from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
 from wayfold.session import shared_folder
 from wayfold.sources import archive, dimensions, messages
-from wayfold.streaming import cell_life, jobs, sinks, trajectory
+from wayfold.streaming import cell_life, jobs, sinks, totals, trajectory
 
 KEY = ["vehicle", "datetime"]
 CLEAN_COLUMNS = ["event_id", "vehicle", "x", "y", "speed", "datetime", "grid_id"]
@@ -290,6 +290,18 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows").select(*KEY)
 
 
+def stream_skip_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals by reason, stored batch by batch while a stream runs, read back."""
+    stored = shared_folder(spark, "totals")
+
+    def make_sink(path: str):
+        return lambda batch, batch_id: sinks.write_batch(batch, f"{path}/rows", batch_id)
+
+    with totals.recorded(spark, stored):
+        _run_stream(spark, folder, "stream-totals", lambda w: clean.with_counts(w).select("event_id"), make_sink)
+    return totals.skip_totals(spark, stored)
+
+
 def _stream_labels(waypoints: DataFrame) -> DataFrame:
     return jobs.congestion_labels(waypoints, arrival="event_id")
 
@@ -409,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cell_feed,
         congestion_episodes,
         stream_dedup,
+        stream_skip_reasons,
         stream_labels,
         stream_live_cells,
         stream_positions,

@@ -135,7 +135,7 @@ def array_records(spark: SparkSession, path: str) -> DataFrame:
     """The objects of JSON arrays as text, one row each in column `value`, in UTF-8 files below `path`.
 
     Files of one object per line or of objects in sequence are read as well. An object that the end of its file cuts
-    off is left out, and the objects before it are kept. The files are read twice; the states of the splits go to all
+    off is left out, and the objects before it are kept. The files are read three times (sums, whole records, shared records); the states of the splits go to all
     tasks, which is one row for each split of `spark.sql.files.maxPartitionBytes`.
     """
     pieces = _pieces(spark, path)

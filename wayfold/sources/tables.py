@@ -55,6 +55,21 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which appears whole or not at all."""
+    files, target = _filesystem(spark, path)
+    folder, name = path.rsplit("/", 1)
+    _, draft = _filesystem(spark, f"{folder}/_{name}")
+    out = files.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    files.delete(target, False)
+    if not files.rename(draft, target):
+        raise OSError(f"could not write {path}")
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
