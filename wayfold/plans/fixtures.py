@@ -30,6 +30,7 @@ STREAM_BATCHES = 3
 STREAM_STEP_S = 50
 STREAM_PARTITIONS = 8
 BUCKETS = 16
+SPARE = 10
 # A heartbeat this long after the last batch comes when all cells have expired and all episodes are over.
 HEARTBEAT_S = 1000
 

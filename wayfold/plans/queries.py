@@ -324,7 +324,7 @@ def stream_live_cells(spark: SparkSession, folder: str) -> DataFrame:
 
     def make_sink(path: str) -> sinks.CongestionSink:
         updated_at = F.col("batch_id") * X.STREAM_STEP_S + X.BASE_S
-        return sinks.CongestionSink(spark, path, X.live_settings(), updated_at, buckets=X.BUCKETS)
+        return sinks.CongestionSink(spark, path, X.live_settings(), updated_at, buckets=X.BUCKETS, spare=X.SPARE)
 
     path = _run_stream(spark, folder, "stream-cells", _stream_labels, make_sink)
     return make_sink(path).snapshot(X.BASE_S + X.STREAM_BATCHES * X.STREAM_STEP_S)

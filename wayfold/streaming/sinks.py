@@ -10,6 +10,7 @@ from wayfold.config import DEFAULTS, Settings
 from wayfold.operators import cells, tracking
 from wayfold.sources.archive import write_archive
 from wayfold.sources.tables import BucketedTable, merge_or_remove
+from wayfold.streaming.severity_index import SeverityIndex
 
 LIVE_COLUMNS = ["grid_id", "batch_id", "updated_at", *cells.CELL_COLUMNS]
 
@@ -24,7 +25,8 @@ class CongestionSink:
 
     The last `keep_versions` versions stay, for readers that are under way and for the repeat of a batch (at least 2).
     With `buckets`, a batch reads and writes only the buckets of its cells, and a version holds only these; expired
-    cells stay in the others until a batch touches them, but count nowhere.
+    cells stay in the others until a batch touches them, but count nowhere. With `spare`, a `SeverityIndex` with that
+    many spare cells is kept, and the served list is ranked from it.
     """
 
     def __init__(
@@ -35,10 +37,12 @@ class CongestionSink:
         updated_at: Column | None = None,
         keep_versions: int = 3,
         buckets: int = 1,
+        spare: int | None = None,
     ):
         self.archive = f"{path}/archive"
         self.feed = f"{path}/feed"
         self.live = BucketedTable(spark, f"{path}/live", "grid_id", buckets)
+        self.index = None if spare is None else SeverityIndex(spark, f"{path}/index", settings, spare)
         self.settings = settings
         self.keep_versions = keep_versions
         self.updated_at = F.unix_timestamp(F.current_timestamp()) if updated_at is None else updated_at
@@ -72,6 +76,9 @@ class CongestionSink:
             write_batch(cells.feed_events(events).drop("batch_id"), self.feed, batch_id)
             self.live.write(merge_or_remove(before, changed, "grid_id", "keep"), buckets, batch_id)
             self.live.expire(self.keep_versions)
+            if self.index is not None:
+                self.index.update(changed, self.live.read, batch_id)
+                self.index.table.expire(self.keep_versions)
         finally:
             changed.unpersist()
             batch.unpersist()
@@ -82,7 +89,10 @@ class CongestionSink:
         if current is None:
             return None
         fresh = cells.not_expired(current, as_of, self.settings)
-        return cells.cell_snapshot(fresh, cells.cell_details(fresh), self.settings)
+        worst = None
+        if self.index is not None:
+            worst = self.index.read(as_of, self.live.versions()[-1])
+        return cells.cell_snapshot(fresh if worst is None else worst, cells.cell_details(fresh), self.settings)
 
 
 class TrackingSink:
