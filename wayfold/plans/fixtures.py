@@ -6,6 +6,7 @@ every double. `event_id` is the order of arrival.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,8 @@ FALLBACK_S = BASE_S - 60
 # Micro-batches the streaming queries cut the events into, by arrival.
 STREAM_BATCHES = 3
 STREAM_STEP_S = 50
+# Rows of a segment of the message log, and of a micro-batch read from it.
+LOG_ROWS = 4_000
 STREAM_PARTITIONS = 8
 BUCKETS = 16
 SPARE = 10
@@ -58,7 +61,7 @@ def gps(spark: SparkSession, folder: str) -> DataFrame:
     return gps_from_events(table(spark, folder, "events"))
 
 
-def gps_from_events(events: DataFrame) -> DataFrame:
+def gps_from_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     e, u = F.col("event_id"), F.col("user_id")
     # Read off the clock fields, which do not depend on the session time zone.
     clock = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
@@ -84,7 +87,8 @@ def gps_from_events(events: DataFrame) -> DataFrame:
         .when(u % 4 == 2, F.col("dt") * 80)
         .otherwise(driven * 80 + F.greatest(F.col("dt") - 330, F.lit(0)) * 10)
     )
-    return events.select("event_id", "user_id", "event_type", dt.alias("dt")).select(
+    return events.select("event_id", "user_id", "event_type", dt.alias("dt"), *keep).select(
+        *keep,
         "event_id",
         F.when(~every(97), F.concat(F.lit("bus_"), u.cast("string"))).alias("vehicle"),
         speed.alias("speed"),

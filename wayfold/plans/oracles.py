@@ -409,6 +409,9 @@ FROM runs GROUP BY grid_id, run"""
 
     q["stream_labels"] = f"WITH RECURSIVE {_BY_BATCH} SELECT {_LABELLED} FROM labelled"
 
+    # Points arrive in the order of time, so micro-batches leave no trace.
+    q["stream_point_labels"] = q["labelled_points"]
+
     q["stream_live_cells"] = f"""WITH RECURSIVE {_BY_BATCH},
 batches AS (
   SELECT *, step AS batch_id, {X.BASE_S} + step * {X.STREAM_STEP_S} AS updated_at FROM ({_cells("step")})

@@ -13,8 +13,8 @@ from wayfold.operators import cells, clean, dedup, frames, labels, replay, stops
 from wayfold.plans import fixtures as X
 from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
 from wayfold.session import shared_folder
-from wayfold.sources import archive, dimensions, messages
-from wayfold.streaming import cell_life, jobs, sinks, totals, trajectory
+from wayfold.sources import archive, dimensions, log, messages
+from wayfold.streaming import blocks, cell_life, jobs, sinks, totals, trajectory
 
 KEY = ["vehicle", "datetime"]
 CLEAN_COLUMNS = ["event_id", "vehicle", "x", "y", "speed", "datetime", "grid_id"]
@@ -316,6 +316,26 @@ def stream_labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows").drop("batch_id")
 
 
+def stream_point_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of a stream from the message log, in micro-batches of `LOG_ROWS` rows, dealt to tasks by vehicle and block."""
+    path = shared_folder(spark, "stream-points")
+    schema = X.table(spark, folder, "events").schema
+    messages_of = log.SegmentLog(spark, f"{path}/log", schema, X.LOG_ROWS)
+    sink = blocks.BlockLabels(
+        spark,
+        f"{path}/state",
+        "offset",
+        lambda labels, batch_id: sinks.write_batch(labels, f"{path}/rows", batch_id),
+        X.split_settings(),
+        buckets=X.BUCKETS,
+    )
+    messages_of.append(X.table(spark, folder, "events"), "event_id", 0)
+    rows = messages_of.stream(X.LOG_ROWS)
+    waypoints = clean.with_grid(clean.clean(X.gps_from_events(rows, keep=["offset"])))
+    jobs.start(waypoints, sink, f"{path}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch_id")
+
+
 def stream_live_cells(spark: SparkSession, folder: str) -> DataFrame:
     """The served list after all micro-batches went through the congestion sinks.
 
@@ -423,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_dedup,
         stream_skip_reasons,
         stream_labels,
+        stream_point_labels,
         stream_live_cells,
         stream_positions,
         stream_cell_feed,
