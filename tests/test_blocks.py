@@ -163,6 +163,7 @@ def test_a_hot_vehicle_is_dealt_to_many_tasks(spark, tmp_path):
 @pytest.mark.parametrize("rows", [150, 400])
 def test_micro_batches_leave_no_trace(spark, small, monkeypatch, rows):
     monkeypatch.setattr(X, "LOG_ROWS", rows)
+    monkeypatch.setattr(X, "BATCH_ROWS", rows)
     got = queries.stream_point_labels(spark, small)
     want = queries.labelled_points(spark, small)
     assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

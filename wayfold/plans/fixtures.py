@@ -29,8 +29,9 @@ FALLBACK_S = BASE_S - 60
 # Micro-batches the streaming queries cut the events into, by arrival.
 STREAM_BATCHES = 3
 STREAM_STEP_S = 50
-# Rows of a segment of the message log, and of a micro-batch read from it.
-LOG_ROWS = 4_000
+# Rows of a segment of the message log, and of a micro-batch read from it, at most.
+LOG_ROWS = 2_500
+BATCH_ROWS = 7_500
 STREAM_PARTITIONS = 8
 BUCKETS = 16
 SPARE = 10
