@@ -429,5 +429,6 @@ WHERE congested_count > 0 AND (next_at IS NULL OR next_at >= updated_at + {X.LIV
 
     q["routes_from_csv"] = q["route_dimension"]
     q["stream_positions"] = q["latest_positions"]
+    q["keyed_positions"] = q["latest_positions"]
 
     return q

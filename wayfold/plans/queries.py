@@ -13,7 +13,7 @@ from wayfold.operators import cells, clean, dedup, frames, labels, replay, stops
 from wayfold.plans import fixtures as X
 from wayfold.schemas import WAYPOINT_COLUMNS, WRAPPER
 from wayfold.session import shared_folder
-from wayfold.sources import archive, dimensions, log, messages
+from wayfold.sources import archive, dimensions, keyed, log, messages
 from wayfold.streaming import blocks, cell_life, jobs, sinks, totals, trajectory
 
 KEY = ["vehicle", "datetime"]
@@ -364,6 +364,21 @@ def stream_positions(spark: SparkSession, folder: str) -> DataFrame:
     return make_sink(path).snapshot().drop("event_id")
 
 
+def keyed_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions of a stream that its tasks write to a keyed folder by themselves; the latest of each vehicle read back."""
+    path = shared_folder(spark, "keyed")
+    keyed.register(spark)
+    schema = X.table(spark, folder, "events").schema
+    routes = _routes(spark, folder)
+    for _ in _publish(spark, folder, f"{path}/input"):
+        waypoints = X.gps_from_events(messages.file_stream(spark, f"{path}/input", schema))
+        positions = jobs.tracked_positions(waypoints, routes, "event_id", F.lit(X.FALLBACK_S))
+        writer = positions.writeStream.format(keyed.FORMAT).option("path", f"{path}/positions")
+        query = writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return keyed.read_latest(spark, f"{path}/positions", positions.schema, "bus_id", "event_id").drop("event_id")
+
+
 def _run_cell_stream(spark: SparkSession, folder: str, name: str, transform) -> DataFrame:
     """Feed the per-batch aggregates part by part, each with a heartbeat, through a stream resumed in between.
 
@@ -446,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_point_labels,
         stream_live_cells,
         stream_positions,
+        keyed_positions,
         stream_cell_feed,
         stream_episodes,
     )
