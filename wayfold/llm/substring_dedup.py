@@ -147,21 +147,28 @@ def duplicate_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHO
         ),
         "segments",
     )
-    blocks = written(found.groupBy("anchor", "segment").agg(F.min("doc_id").alias("first_id")), "blocks")
-    whole = (
-        found.join(blocks, ["anchor", "segment"])
-        .filter("doc_id > first_id")
-        .select("doc_id", "text_hash", "start", "windows")
-    )
-    # The first documents of segments whose anchor stands in several distinct segments of several documents.
-    several = blocks.groupBy("anchor").agg(F.min("first_id").alias("low"), F.max("first_id").alias("high"))
-    open_blocks = blocks.join(several.filter("low < high").select("anchor"), "anchor", "left_semi")
+    blocks = found.groupBy("anchor", "segment").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    blocks = written(blocks, "blocks")
+    # Blocks whose anchor stands in several distinct segments of several documents: their first documents look on.
+    several = (
+        blocks.groupBy("anchor")
+        .agg(F.min("first_id").alias("low"), F.max("first_id").alias("high"))
+        .filter("low < high").select("anchor", F.lit(True).alias("is_open"))
+    )
+    # Most blocks are of one document and share their anchor with no other: they decide nothing.
+    deciding = blocks.join(several, "anchor", "left").filter("first_id < last_id or is_open")
+    known = written(
+        found.join(deciding, ["anchor", "segment"]).select(
+            "doc_id", "text_hash", "start", "windows", (F.col("doc_id") > F.col("first_id")).alias("whole"),
+            F.when(F.col("is_open") & (F.col("doc_id") == F.col("first_id")), F.col("anchor")).alias("open_anchor"),
+        ).filter("whole or open_anchor is not null"),
+        "deciding",
+    )
+    whole = known.filter("whole").select("doc_id", "text_hash", "start", "windows")
     listed = (
-        found.join(
-            open_blocks.withColumnRenamed("first_id", "doc_id"), ["anchor", "segment", "doc_id"], "left_semi"
-        )
+        known.filter("not whole")
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("anchor", "start", "windows")).alias("listed"))
+        .agg(F.collect_list(F.struct(F.col("open_anchor").alias("anchor"), "start", "windows")).alias("listed"))
     )
     looked_up = named.join(listed, ["doc_id", "text_hash"]).mapInArrow(
         _windows(window), "anchor long, hash long, doc_id long, text_hash long, start int"
