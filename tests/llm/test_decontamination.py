@@ -32,6 +32,19 @@ def best(pattern, text):
     return low
 
 
+def stands_alone(p, t):
+    """Whether p stands in t and neither begins nor ends inside a word."""
+    in_word = lambda b: b >= 128 or chr(b).isalnum()
+    at = t.find(p)
+    while at >= 0:
+        end = at + len(p)
+        cut = at > 0 and in_word(t[at - 1]) and in_word(t[at])
+        if not cut and not (end < len(t) and in_word(t[end - 1]) and in_word(t[end])):
+            return True
+        at = t.find(p, at + 1)
+    return False
+
+
 def brute(docs, items, s):
     out = set()
     for d, text in docs:
@@ -39,6 +52,9 @@ def brute(docs, items, s):
         for i, item in items:
             p = norm(item)
             if len(p) < s.min_passage:
+                p = p.strip(b" ")
+                if len(p) >= s.q and stands_alone(p, t):
+                    out.add((d, i, 1, 0))
                 continue
             last = max(len(p) - s.passage, 0)
             parts = [p[a : a + s.passage] for a in sorted({*range(0, last, s.stride), last})]
@@ -89,3 +105,33 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "x " * 60), (None, "X  " * 3000), (None, "X  " * 3000)], "doc_id long, text string")
     assert D.leaks(docs, items.limit(0)).count() == 0
     assert sorted(str(r.doc_id) for r in D.leaks(docs, items).collect()) == ["1", "None", "None"]
+
+
+def test_short_items(spark):
+    items = [
+        (1, "What is the capital of France? Paris."), (2, "what is  the CAPITAL of France? Paris."), (3, "twelve bytes"),
+        (4, "eleven byte"), (5, "ab ab ab ab ab"), (6, "Größe des Maßes"), (7, "x " * 60), (None, " twelve\tbytes "),
+    ]
+    docs = [
+        (1, "He asked: WHAT is the\ncapital of France?  Paris. Then he left."), (2, "What is the capital of France? Parish."),
+        (3, "Twelve bytes"), (4, "twelve bytesize, untwelve bytes"), (5, "untwelve bytes but twelve bytes."), (6, "eleven byte"),
+        (7, "cab ab ab ab ab ab"), (8, "cab ab ab ab abc"), (9, "die größe des maßes"), (10, "die Größe des Maßes."), (11, "What is the capital of France? Pariz."),
+        (12, "x " * 80 + "twelve bytes"), (None, "twelve bytes"), (13, None), (14, "twelve" + " " * 50_000 + "bytes " + "word " * 50_000),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in D.leaks(frame, benchmark).collect()}
+    # Item 7 alone is long enough for passages.
+    wanted = {(d, i, 1, 0) for d, t in docs for i, x in items if i != 7 and len(norm(x).strip(b" ")) >= 12 and stands_alone(norm(x).strip(b" "), norm(t))}
+    assert {g for g in got if g[1] != 7} == wanted and {g[0] for g in got if g[1] == 7} == {12}
+    assert {d for d, *_ in wanted} == {1, 3, 5, 7, 9, 10, 12, 14, None}
+    kept = [r.doc_id for r in D.without_leaks(frame, benchmark).collect()]
+    assert sorted(kept) == [2, 4, 6, 8, 11, 13]
+
+
+def test_a_copied_part_inside_a_long_item(spark):
+    rng = random.Random(9)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(300))
+    parts = [(k, "before " + item[k : k + 120] + " after") for k in range(300, 340)]
+    found = D.leaks(spark.createDataFrame(parts, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r.doc_id for r in found.collect()} == {k for k, _ in parts}

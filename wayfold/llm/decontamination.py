@@ -4,6 +4,9 @@ Texts are compared as UTF-8 bytes with A-Z lowered and every run of white space
 into overlapping passages. A passage of m bytes with at most k edits in a document shares at least
 m - q + 1 - k * q grams of q bytes with it, on diagonals at most 2k apart. Bands of diagonals overlap by more
 than that, so every such region fills one band, and bands with enough shared grams are aligned.
+
+Items shorter than `min_passage` allow no edit and must stand between word borders: they are looked up whole, by a gram
+of their own length. An item of less than q bytes has no gram and is not looked for.
 """
 
 from __future__ import annotations
@@ -22,16 +25,18 @@ from wayfold.llm import text as T
 #: Between texts, and outside of them; no byte of a text is it.
 _BORDER = 0xFF
 _HASH_BITS = 20
+#: Letters, digits and all bytes of longer characters; a short item may not begin or end inside a run of them.
+_IN_WORD = np.array([chr(b).isalnum() if b < 128 else b != _BORDER for b in range(256)])
 
 
 @dataclass(frozen=True)
 class Settings:
     passage: int = 100
-    stride: int = 50
+    stride: int = 20
     q: int = 12
     #: Edits allowed for each byte of a passage.
     edit_share: float = 0.05
-    #: Shorter items are not looked for.
+    #: Shorter items are found without edits only, from q bytes on.
     min_passage: int = 40
     #: Items are sent to the tasks in blocks of about so many bytes, each block with a pass over the documents.
     block_bytes: int = 4 << 20
@@ -64,15 +69,28 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], settings: Settings):
         self.settings, s = settings, settings
         self.items, passages = [], []
+        short: list[tuple[int, np.ndarray]] = []
         for item, text in items:
             data = np.frombuffer((text or "").encode(), np.uint8)
             whole = normalised(data, np.array([0, len(data)]))[0][1:-1]
             if len(whole) < s.min_passage:
+                whole = np.frombuffer(whole.tobytes().strip(b" "), np.uint8)
+                if len(whole) >= s.q:
+                    short.append((item, whole))
                 continue
             last = max(len(whole) - s.passage, 0)
             for at in sorted({*range(0, last, s.stride), last}):
                 self.items.append(item)
                 passages.append(whole[at : at + s.passage])
+        # Short items follow the passages in `items`; of each length their hashes, sorted, and their numbers.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.short_text = {len(self.items) + i: whole for i, (_, whole) in enumerate(short)}
+        self.items += [item for item, _ in short]
+        for m in sorted({len(x) for x in self.short_text.values()}):
+            numbers = np.array([i for i, x in self.short_text.items() if len(x) == m], np.int64)
+            hashes = np.array([T.gram_hashes(T._BYTE_VALUES[self.short_text[i]], m)[0] for i in numbers], np.uint64)
+            order = np.argsort(hashes, kind="stable")
+            self.short[m] = (hashes[order], numbers[order])
         self.sizes = np.array([len(p) for p in passages], np.int64)
         self.budgets = np.array([s.budget(len(p)) for p in passages], np.int64)
         self.needed = self.sizes - s.q + 1 - self.budgets * s.q
@@ -84,7 +102,7 @@ class Index:
             grams.append(h)
             owners += [i] * len(h)
             places += range(len(h))
-        every = np.concatenate(grams)
+        every = np.concatenate([np.zeros(0, np.uint64), *grams])
         order = np.argsort(every, kind="stable")
         self.grams, first, self.times = np.unique(every[order], return_index=True, return_counts=True)
         self.first = first
@@ -141,15 +159,34 @@ class Index:
                 ends[done] = low[done] + i + 1 + cost[done].argmin(axis=1)
         return found, ends
 
+    def exact(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number) of the short items that stand in the text between word borders."""
+        out = [(np.zeros(0, np.int64),) * 2]
+        in_word = _IN_WORD[text]
+        for m, (hashes, numbers) in self.short.items():
+            if len(text) < m + 2:
+                continue
+            # A border stands before and after all texts.
+            grams = T.gram_hashes(T._BYTE_VALUES[text], m)
+            at = 1 + np.flatnonzero(np.isin(grams[1:-1], hashes))
+            at = at[~(in_word[at - 1] & in_word[at]) & ~(in_word[at + m - 1] & in_word[at + m])]
+            low, high = (np.searchsorted(hashes, grams[at], side) for side in ("left", "right"))
+            number = numbers[T.ranges(low, high - low)]
+            at = np.repeat(at, high - low)
+            same = [bool((text[a : a + m] == self.short_text[i]).all()) for a, i in zip(at.tolist(), number.tolist())]
+            out.append((at[np.array(same, bool)], number[np.array(same, bool)]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
     def matches(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, passage, edits) of all verified regions in a column of texts."""
         t = column.cast(pa.large_binary()).to_pylist()
         offsets = np.append(0, np.cumsum([len(x or b"") for x in t])).astype(np.int64)
         text, starts = normalised(np.frombuffer(b"".join(x for x in t if x), np.uint8), offsets)
-        if not len(self.sizes) or len(text) < self.settings.q:
+        if len(text) < self.settings.q:
             return (np.zeros(0, np.int64),) * 3
-        passage, low = self.find(text)
-        out = [(np.zeros(0, np.int64),) * 3]
+        place, number = self.exact(text)
+        out = [(np.searchsorted(starts, place, side="right") - 1, number, np.zeros(len(place), np.int64))]
+        passage, low = self.find(text) if len(self.sizes) else (np.zeros(0, np.int64),) * 2
         for at in range(0, len(passage), 4096):
             p, lo = passage[at : at + 4096], low[at : at + 4096]
             edits, ends = self.align(text, p, lo)
@@ -198,8 +235,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     """(doc_id, item_id, n_passages, edits): items found in each row of `docs` (doc_id, text).
 
     n_passages counts the item's passages found, edits is the least of their distances. Null and empty texts
-    hold nothing; null texts of the benchmark (item_id, text) and items below `min_passage` bytes are not
-    looked for. Rows without doc_id and items without item_id are reported with null, repeated rows once
+    hold nothing; null texts of the benchmark (item_id, text) and items below q bytes are not looked for, items
+    below `min_passage` bytes only as they are. Rows without doc_id and items without item_id are reported with null, repeated rows once
     each. Other columns are ignored; an empty table gives an empty result. Memory follows the longest text.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
