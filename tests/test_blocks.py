@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests import brute
 from wayfold.config import DEFAULTS
 from wayfold.functions import geo
+from wayfold.operators.labels import label_points
 from wayfold.plans import fixtures as X
 from wayfold.plans import queries
 from wayfold.streaming import sinks
@@ -167,3 +168,47 @@ def test_micro_batches_leave_no_trace(spark, small, monkeypatch, rows):
     got = queries.stream_point_labels(spark, small)
     want = queries.labelled_points(spark, small)
     assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_a_longer_log_has_larger_micro_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(X, "LOG_ROWS", 5)
+    monkeypatch.setattr(X, "BATCH_ROWS", 10)
+    monkeypatch.setattr(X, "LOG_BATCHES", 4)
+    rows = [(n, n // 6, n % 6) for n in range(400)]
+    ts = F.timestamp_seconds(F.lit(BASE) + F.col("minute") * 40_000).cast("timestamp_ntz")
+    events = spark.createDataFrame(rows, "event_id long, minute long, user_id long").select(
+        "event_id", ts.alias("ts"), "user_id", F.lit("view").alias("event_type")
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    written = []
+
+    def write_batch(labels, path, batch_id, write=sinks.write_batch):
+        written.append(batch_id)
+        write(labels, path, batch_id)
+
+    monkeypatch.setattr(sinks, "write_batch", write_batch)
+    got = queries.stream_point_labels(spark, str(tmp_path))
+    want = queries.labelled_points(spark, str(tmp_path))
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    # 40 micro-batches of 10 rows before; a few more than 4, since the last segment of a task may not be full.
+    assert 4 <= len(written) <= 8
+
+
+def test_the_bound_of_a_micro_batch():
+    assert X.log_rows(100_000) == (X.LOG_ROWS, X.BATCH_ROWS)
+    for rows in (600_000, 6_000_000, 36_000_000, 10**9):
+        segment, batch = X.log_rows(rows)
+        assert X.BATCH_ROWS < batch <= X.MOST_BATCH_ROWS and batch % segment == 0
+
+
+def test_only_chosen_points_get_a_frame(spark):
+    rng = random.Random(11)
+    rows = spark.createDataFrame(history(rng, 0, 120, every=0.9), SCHEMA).withColumn(
+        "grid_id", geo.grid_id(F.col("x"), F.col("y"), SETTINGS)
+    )
+    chosen = rows.withColumn("chosen", F.col("datetime") % 3 == 0)
+    got = label_points(chosen, SETTINGS, only="chosen").collect()
+    want = label_points(chosen, SETTINGS, keep=["chosen"]).filter("chosen").drop("chosen").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str) and got
+    with pytest.raises(ValueError, match="steps"):
+        label_points(chosen, SETTINGS, step="n", block=F.lit(0), only="chosen")

@@ -181,7 +181,9 @@ def _step_bounds(step, pos, fresh):
     return fresh[first], fresh[np.append(first[1:], fresh.size) - 1]
 
 
-def _sorted_frames(settings: Settings, step: str | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sorted_frames(
+    settings: Settings, step: str | None, only: str | None = None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The function run over each sorted partition."""
     context = settings.frame_points
 
@@ -195,6 +197,8 @@ def _sorted_frames(settings: Settings, step: str | None) -> Callable[[Iterator[p
         if not np.all((pos[1:] == 1) | (pos[1:] == pos[:-1] + 1)):
             raise ValueError("rows are not sorted by vehicle, block and time")
         fresh = done + np.flatnonzero(~numpy("is_context")[done:])
+        if only is not None:
+            fresh = fresh[numpy(only)[fresh].astype(bool)]
         until = n
         if step is None:
             new = last = fresh
@@ -244,6 +248,7 @@ def cluster_points(
     settings: Settings = DEFAULTS,
     step: str | None = None,
     block: Column | None = None,
+    only: str | None = None,
 ) -> DataFrame:
     """Add the `CLUSTER_FIELDS` to every row.
 
@@ -252,14 +257,18 @@ def cluster_points(
     before it. With `step` (a column that grows with time), the rows of a vehicle
     with the same step are labelled together, in a frame of the rows before the
     step and the step itself; `block` must then keep each step in one block.
+    With `only` (a boolean column, without `step`), rows where it is false stand in
+    the frames of others, but get no frame of their own and are left out.
     """
+    if only is not None and step is not None:
+        raise ValueError("steps are labelled whole")
     if block is None:
         if step is not None:
             raise ValueError("steps need a block expression that does not cut them")
         block = time_block(settings)
     framed = with_context(rows, block, settings.frame_points)
     schema = T.StructType([f for f in framed.schema.fields if f.name not in _HELPERS] + CLUSTER_FIELDS)
-    return framed.mapInArrow(_sorted_frames(settings, step), schema)
+    return framed.mapInArrow(_sorted_frames(settings, step, only), schema)
 
 
 def with_scores(points: DataFrame, settings: Settings = DEFAULTS, density_scope: str = "emitted") -> DataFrame:
@@ -295,11 +304,13 @@ def label_points(
     block: Column | None = None,
     density_scope: str = "emitted",
     keep: Sequence[str] = (),
+    only: str | None = None,
 ) -> DataFrame:
-    """Labelled points in the declared layout, followed by `step` (if there is one) and `keep`."""
+    """Labelled points in the declared layout, followed by `step` (if there is one) and `keep`; `only` as in `cluster_points`."""
     needed = ["vehicle", "x", "y", "speed", "datetime", "grid_id"]
     extra = ([step] if step else []) + list(keep)
-    labelled = cluster_points(rows.select(*needed, *extra), settings, step, block)
+    chosen = [only] if only and only not in extra else []
+    labelled = cluster_points(rows.select(*needed, *extra, *chosen), settings, step, block, only)
     return with_scores(labelled, settings, density_scope).select(*LABELLED_COLUMNS, *extra)
 
 

@@ -29,9 +29,12 @@ FALLBACK_S = BASE_S - 60
 # Micro-batches the streaming queries cut the events into, by arrival.
 STREAM_BATCHES = 3
 STREAM_STEP_S = 50
-# Rows of a segment of the message log, and of a micro-batch read from it, at most.
+# Rows of a segment of the message log, and of a micro-batch read from it, at most; a log that they would cut into more
+# than LOG_BATCHES micro-batches has larger ones, up to MOST_BATCH_ROWS.
 LOG_ROWS = 2_500
 BATCH_ROWS = 7_500
+LOG_BATCHES = 16
+MOST_BATCH_ROWS = 1_000_000
 STREAM_PARTITIONS = 8
 BUCKETS = 16
 SPARE = 10
@@ -53,6 +56,12 @@ def split_settings() -> Settings:
     return replace(DEFAULTS, block_s=200)
 
 
+def log_rows(rows: int) -> tuple[int, int]:
+    """Rows of a segment and of a micro-batch, at most, of a log of so many rows."""
+    times = max(1, min(rows // (BATCH_ROWS * LOG_BATCHES), MOST_BATCH_ROWS // BATCH_ROWS))
+    return LOG_ROWS * times, BATCH_ROWS * times
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -317,10 +317,11 @@ def stream_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_point_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Labels of a stream from the message log, in micro-batches of `BATCH_ROWS` rows, dealt to tasks by vehicle and block."""
+    """Labels of a stream from the message log, in micro-batches of bounded rows, dealt to tasks by vehicle and block."""
     path = shared_folder(spark, "stream-points")
-    schema = X.table(spark, folder, "events").schema
-    messages_of = log.SegmentLog(spark, f"{path}/log", schema, X.LOG_ROWS)
+    events = X.table(spark, folder, "events")
+    segment_rows, batch_rows = X.log_rows(events.count())
+    messages_of = log.SegmentLog(spark, f"{path}/log", events.schema, segment_rows)
     sink = blocks.BlockLabels(
         spark,
         f"{path}/state",
@@ -329,8 +330,8 @@ def stream_point_labels(spark: SparkSession, folder: str) -> DataFrame:
         X.split_settings(),
         buckets=X.BUCKETS,
     )
-    messages_of.append(X.table(spark, folder, "events"), "event_id", 0)
-    rows = messages_of.stream(X.BATCH_ROWS)
+    messages_of.append(events, "event_id", 0)
+    rows = messages_of.stream(batch_rows)
     waypoints = clean.with_grid(clean.clean(X.gps_from_events(rows, keep=["offset"])))
     jobs.start(waypoints, sink, f"{path}/checkpoint", available_now=True).awaitTermination()
     return spark.read.parquet(f"{path}/rows").drop("batch_id")

@@ -71,7 +71,7 @@ class BlockLabels:
         marked = fresh.select(*POINT, F.lit(True).alias("is_fresh"))
         if stored is not None:
             marked = marked.unionByName(stored.select(*POINT, F.lit(False).alias("is_fresh")))
-        return label_points(marked, self.settings, keep=["is_fresh"]).filter("is_fresh").drop("is_fresh")
+        return label_points(marked, self.settings, only="is_fresh")
 
     def _to_hand_on(self, points: DataFrame, watermark: int) -> DataFrame:
         open_points = points.filter(F.col("datetime") > watermark)
