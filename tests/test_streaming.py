@@ -310,3 +310,25 @@ def test_watermark_plan(spark, tmp_path):
     stream = messages.file_stream(spark, str(tmp_path), SCHEMA)
     plan = trajectory.drop_repeats(clean.clean(stream))._jdf.queryExecution().analyzed().toString()
     assert "EventTimeWatermark" in plan and "5 minutes" in plan
+
+
+def test_a_stream_has_a_partition_for_each_core(spark, tmp_path, monkeypatch):
+    from wayfold.plans import fixtures as X
+    from wayfold.plans import queries
+
+    monkeypatch.setattr(X, "STREAM_PARTITIONS", 1)
+    monkeypatch.setattr(X, "STREAM_BATCHES", 1)
+    ts = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 5000).cast("timestamp_ntz")
+    events = spark.range(0, 60, 1, 1).select(
+        F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type")
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    used = []
+
+    def start(*args, start=queries.jobs.start, **options):
+        used.append(options["partitions"])
+        return start(*args, **options)
+
+    monkeypatch.setattr(queries.jobs, "start", start)
+    assert queries.stream_labels(spark, str(tmp_path)).count() > 0
+    assert used == [spark.sparkContext.defaultParallelism] and used[0] > 1

@@ -62,6 +62,11 @@ def log_rows(rows: int) -> tuple[int, int]:
     return LOG_ROWS * times, BATCH_ROWS * times
 
 
+def stream_partitions(spark: SparkSession) -> int:
+    """Partitions of a stream's state: as many as tasks run at once, so that no core waits for another's vehicles."""
+    return max(STREAM_PARTITIONS, spark.sparkContext.defaultParallelism)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

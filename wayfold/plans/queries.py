@@ -271,7 +271,7 @@ def _run_stream(spark: SparkSession, folder: str, name: str, transform, make_sin
             make_sink(path),
             f"{path}/checkpoint",
             available_now=True,
-            partitions=X.STREAM_PARTITIONS,
+            partitions=X.stream_partitions(spark),
         )
         query.awaitTermination()
     return path
@@ -406,7 +406,7 @@ def _run_cell_stream(spark: SparkSession, folder: str, name: str, transform) ->
             lambda batch, batch_id: sinks.write_batch(batch.withColumnsRenamed({"batch_id": "of_batch"}), f"{path}/rows", batch_id),
             f"{path}/checkpoint",
             available_now=True,
-            partitions=X.STREAM_PARTITIONS,
+            partitions=X.stream_partitions(spark),
         )
         query.awaitTermination()
     found = spark.read.parquet(f"{path}/rows").drop("batch_id")
