@@ -128,3 +128,44 @@ def test_lines_are_those_of_split():
     lines = L.Lines(pa.array(texts))
     got = list(zip(lines.row.tolist(), lines.number.tolist(), [lines.data[s:e] for s, e in zip(lines.starts, lines.ends)]))
     assert got == [(i, n, x.encode()) for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n")) if x.strip()]
+
+
+def _signatures(lines):
+    found = L.Lines(pa.array(["\n".join(lines)]))
+    return found.parities(), found.pair_parities()
+
+
+def test_parities_lose_no_link():
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abcdeé ß日 ") for _ in range(rng.randrange(1, 40))) + "x" for _ in range(300)]
+    for edits in (1, 2, 3):
+        edited = []
+        for line in lines:
+            data = list(line)
+            for _ in range(edits):
+                at = rng.randrange(len(data))
+                data[at : at + rng.randrange(2)] = rng.choice(["", "a", "q", "é"])
+            edited.append("".join(data))
+        both = [(a, b) for a, b in zip(lines, edited) if b.strip(" ")]
+        (p, q), (u, v) = _signatures([a for a, _ in both]), _signatures([b for _, b in both])
+        for i, (a, b) in enumerate(both):
+            d = distance(a.encode(), b.encode())
+            assert int(p[i] ^ u[i]).bit_count() <= 2 * d and int(q[i] ^ v[i]).bit_count() <= 4 * d
+    assert len(L.Lines(pa.array(["", None, "\n"])).pair_parities()) == 0
+
+
+def test_lines_of_the_same_bytes_are_seldom_candidates():
+    rng = random.Random(13)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(7)) for _ in range(30)]
+    lines = []
+    for _ in range(80):
+        own = list(words)
+        # The same bytes in another order: their counts tell nothing.
+        for i in rng.sample(range(10, 20), 3):
+            own[i] = "".join(rng.sample(own[i], len(own[i])))
+        lines.append(" ".join(own))
+    lines = sorted(set(lines))
+    parity, pairs = _signatures(lines)
+    met = [(i, j) for i in range(len(lines)) for j in range(i)]
+    assert all(parity[i] == parity[j] for i, j in met)
+    assert sum(int(pairs[i] ^ pairs[j]).bit_count() <= 4 * L.THRESHOLD for i, j in met) < len(met) / 4

@@ -3,9 +3,9 @@
 A line of `min_bytes` or more is cut into threshold + 1 segments of nearly equal length. At most `threshold`
 edits leave one segment whole, and it stands in the other line at a place that the two lengths and the
 edits narrow down. So each line is indexed by its segments and probes, for each length up to `threshold`
-shorter, the substrings that can be such a segment. Pairs whose byte counts differ in parity more often than
-the edits can explain are no candidates; the others are verified by a banded bit-parallel edit distance over
-their bytes.
+shorter, the substrings that can be such a segment. Pairs whose counts of bytes, or of pairs of neighbouring bytes,
+differ in parity more often than the edits can explain are no candidates; the others are verified by a banded
+bit-parallel edit distance over their bytes.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ MIN_BYTES = 24
 REMEMBERED = 500_000
 
 _CLASS_BIT = (np.uint32(1) << (np.arange(256) % 32).astype(np.uint32)).astype(np.uint32)
+#: By first byte * 256 + second: one of 64 classes, spread by a multiplication.
+_PAIR_BIT = np.uint64(1) << (np.arange(1 << 16, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58))
 
 
 class Lines:
@@ -61,6 +63,14 @@ class Lines:
         np.bitwise_xor.accumulate(_CLASS_BIT[self.bytes], out=sums[1:])
         return sums[self.ends] ^ sums[self.starts]
 
+    def pair_parities(self) -> np.ndarray:
+        """For each line and each of 64 classes of neighbouring bytes, whether it has an odd number of them."""
+        sums = np.zeros(max(len(self.bytes), 1), np.uint64)
+        pairs = self.bytes[:-1].astype(np.uint16) << 8 | self.bytes[1:]
+        np.bitwise_xor.accumulate(_PAIR_BIT[pairs], out=sums[1:])
+        # A line's last byte begins no pair.
+        return sums[self.ends - 1] ^ sums[self.starts]
+
     def hashes(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         run = (self._sums[starts + sizes] - self._sums[starts]) * self._down[starts]
         return T.mix(run + sizes.astype(np.uint64))
@@ -128,11 +138,11 @@ def _key_rows(threshold: int, min_bytes: int, probe: bool):
             chosen = chosen[(lines.ends - lines.starts)[chosen] >= min_bytes]
             chosen = chosen[~np.isin(line[chosen], seen)]
             seen = np.append(seen[-REMEMBERED:], line[chosen])
-            parity = lines.parities()
+            parity, pairs = lines.parities().view(np.int32), lines.pair_parities().view(np.int64)
             for at, key in _keys(lines, chosen, threshold, probe):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(line[at]), pa.array(key.view(np.int64)), pa.array(parity[at].view(np.int32))],
-                    ["line", "key", "parity"],
+                    [pa.array(line[at]), pa.array(key.view(np.int64)), pa.array(parity[at]), pa.array(pairs[at])],
+                    ["line", "key", "parity", "pairs"],
                 )
 
     return run
@@ -217,14 +227,16 @@ def line_links(named: DataFrame, occurrences: DataFrame, threshold: int, min_byt
 
     def keyed(probe: bool, name: str) -> DataFrame:
         rows = named.select("text").mapInArrow(
-            _key_rows(threshold, min_bytes, probe), "line long, key long, parity int"
+            _key_rows(threshold, min_bytes, probe), "line long, key long, parity int, pairs long"
         )
         # Dealt by key once, for removing repeats and for the join.
-        rows = rows.select("key", F.col("line").alias(name), F.col("parity").alias(f"parity_{name}"))
+        rows = rows.select("key", *[F.col(c).alias(a) for c, a in (("line", name), ("parity", f"parity_{name}"), ("pairs", f"pairs_{name}"))])
         return rows.repartition("key").distinct()
 
-    # An edit changes the parity of two classes of bytes at most.
-    near = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 2 * threshold
+    # An edit changes the parity of two classes of bytes at most, and of four classes of pairs.
+    near = (F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b"))) <= 2 * threshold) & (
+        F.bit_count(F.col("pairs_a").bitwiseXOR(F.col("pairs_b"))) <= 4 * threshold
+    )
     probes, index = keyed(True, "b"), keyed(False, "a")
     same_key = probes["key"] == index["key"]
     candidates = (
