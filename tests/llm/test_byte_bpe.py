@@ -90,3 +90,17 @@ def test_empty_and_unknown(spark, vocabulary):
         import pyarrow as pa
 
         byte_bpe.Coder(vocabulary).decode(pa.array([[1, 999_999]], pa.list_(pa.int32())))
+
+
+def test_queries_get_bounded_parts(library, vocabulary, monkeypatch):
+    """However many new pieces and tokens a chunk has, a query sees a part of them."""
+    coder = byte_bpe.Coder(vocabulary)
+    seen = {"pieces": [], "tokens": []}
+    ask = coder._ask
+    monkeypatch.setattr(coder, "_ask", lambda name, table, sql: (seen[name].append(len(table)), ask(name, table, sql))[1])
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("qxzjkv", k=7)) for _ in range(90_000))
+    ids = coder.encode([text])
+    assert ids.to_pylist() == [library.encode_ordinary(text)]
+    assert coder.decode(ids).to_pylist() == [text.encode()]
+    assert max(seen["pieces"]) <= 50_000 and max(seen["tokens"]) <= 250_000

@@ -26,13 +26,15 @@ from wayfold.llm import text as T
 
 CHUNK_BYTES = 4 << 20
 #: Pieces of a task whose ids are remembered; beyond it the memory is emptied.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: A round of the query merges one pair per piece, so pieces of more bytes are merged with a heap instead.
 LONG_PIECE = 256
 #: Pieces that are encoded at once, and tokens that are decoded at once; longer texts take several turns.
 PIECES_AT_ONCE = 250_000
-TOKENS_AT_ONCE = 1_000_000
+TOKENS_AT_ONCE = 250_000
 PART_TOKENS = 50_000
+#: New pieces that one query merges; it keeps every round's ids of all of them.
+MERGED_AT_ONCE = 50_000
 #: Characters of a text whose pieces are listed at once.
 LISTED_CHARS = 1 << 20
 
@@ -160,14 +162,16 @@ class Coder:
         self._ids = np.concatenate([self._ids, self._token_ids[token[whole]], heap_ids, out.flatten().to_numpy(zero_copy_only=False)])
 
     def _merge(self, data: pa.Array) -> pa.Array:
-        """Token ids of pieces by the recursive query."""
-        if not len(data):
-            return pa.array([], pa.list_(pa.int32()))
+        """Token ids of pieces by the recursive query, a part of them at a time."""
+        parts = [self._merge_part(data.slice(at, MERGED_AT_ONCE)) for at in range(0, len(data), MERGED_AT_ONCE)]
+        return pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
+
+    def _merge_part(self, data: pa.Array) -> pa.Array:
         flat = self._byte[np.frombuffer(b"".join(data.to_pylist()), np.uint8)]
         ends = np.append(0, np.cumsum(T._lengths(data)))
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
         table = pa.table({"piece": pa.array(np.arange(len(data), dtype=np.int32)), "ids": ids})
-        return self._ask("pieces", table, MERGE)["ids"].combine_chunks()
+        return self._ask("pieces", table, MERGE)["ids"].combine_chunks().cast(pa.list_(pa.int32()))
 
     def _pieces(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[int]]]:
         """The texts' pieces in parts of about PIECES_AT_ONCE, each with how many are of which text."""
