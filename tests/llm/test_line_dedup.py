@@ -169,3 +169,16 @@ def test_lines_of_the_same_bytes_are_seldom_candidates():
     met = [(i, j) for i in range(len(lines)) for j in range(i)]
     assert all(parity[i] == parity[j] for i, j in met)
     assert sum(int(pairs[i] ^ pairs[j]).bit_count() <= 4 * L.THRESHOLD for i, j in met) < len(met) / 4
+
+
+def test_remembered_lines_equal_a_set(monkeypatch):
+    """A line goes out once while it is remembered, which holds for REMEMBERED other lines at least."""
+    monkeypatch.setattr(L, "REMEMBERED", 400)
+    rng, known, order = random.Random(8), L.Seen(), []
+    for _ in range(200):
+        names = np.unique(np.array([rng.randrange(-900, 900) for _ in range(rng.randrange(1, 60))], np.int64))
+        fresh = known.new(names)
+        ever, late = set(order), set(order[-400:])
+        assert all(x not in late for x in names[fresh].tolist())
+        assert all(x in ever for x in names[~fresh].tolist())
+        order += names[fresh].tolist()

@@ -11,6 +11,7 @@ bit-parallel edit distance over their bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +54,12 @@ class Lines:
         first = np.searchsorted(row, np.arange(len(column)))
         number = np.arange(len(starts)) - first[row]
         self.starts, self.ends, self.row, self.number = (x[has_word] for x in (starts, ends, row, number))
-        up, self._down = T._WORD_POWERS.upto(len(t.bytes) + 1)
-        self._sums = np.zeros(len(t.bytes) + 1, np.uint64)
-        np.cumsum(T._BYTE_VALUES[t.bytes] * up[:-1], out=self._sums[1:])
+
+    @cached_property
+    def _sums(self) -> np.ndarray:
+        sums = np.zeros(len(self.bytes) + 1, np.uint64)
+        np.cumsum(T._BYTE_VALUES[self.bytes] * T._WORD_POWERS.upto(len(self.bytes))[0], out=sums[1:])
+        return sums
 
     def parities(self) -> np.ndarray:
         """For each line and each of 32 classes of bytes, whether it has an odd number of them."""
@@ -72,10 +76,29 @@ class Lines:
         return sums[self.ends - 1] ^ sums[self.starts]
 
     def hashes(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        run = (self._sums[starts + sizes] - self._sums[starts]) * self._down[starts]
+        run = (self._sums[starts + sizes] - self._sums[starts]) * T._WORD_POWERS.upto(len(self.bytes) + 1)[1][starts]
         return T.mix(run + sizes.astype(np.uint64))
 
 
+class Seen:
+    """Lines of a task whose keys have gone out: a young and an old sorted array of at most REMEMBERED each."""
+
+    def __init__(self):
+        self._young = self._old = np.zeros(0, np.int64)
+
+    def new(self, names: np.ndarray) -> np.ndarray:
+        """Which of the sorted, distinct names are not remembered; all are from now on."""
+        fresh = np.ones(len(names), bool)
+        for known in (self._young, self._old):
+            if len(known):
+                fresh &= known[np.minimum(np.searchsorted(known, names), len(known) - 1)] != names
+        add = names[fresh]
+        if len(self._young) + len(add) > REMEMBERED:
+            self._young, self._old = add[:0], self._young
+        self._young = np.insert(self._young, np.searchsorted(self._young, add), add)
+        return fresh
+
+
 def segments(size: np.ndarray, threshold: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(start, length) of each of the threshold + 1 segments of lines of these sizes; the last are longer."""
     n = threshold + 1
@@ -129,15 +152,16 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _key_rows(threshold: int, min_bytes: int, probe: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
+        seen = Seen()
         for batch in T.chunks(batches, "text", T.CHUNK_BYTES // 2):
             lines = Lines(batch.column("text"))
             line = lines.hashes(lines.starts, lines.ends - lines.starts).view(np.int64)
             # A line that many documents repeat leaves a task once, or few times.
-            chosen = np.unique(line, return_index=True)[1]
-            chosen = chosen[(lines.ends - lines.starts)[chosen] >= min_bytes]
-            chosen = chosen[~np.isin(line[chosen], seen)]
-            seen = np.append(seen[-REMEMBERED:], line[chosen])
+            long = np.flatnonzero(lines.ends - lines.starts >= min_bytes)
+            names, first = np.unique(line[long], return_index=True)
+            chosen = long[first[seen.new(names)]]
+            if not len(chosen):
+                continue
             parity, pairs = lines.parities().view(np.int32), lines.pair_parities().view(np.int64)
             for at, key in _keys(lines, chosen, threshold, probe):
                 yield pa.RecordBatch.from_arrays(
