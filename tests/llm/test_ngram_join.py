@@ -95,6 +95,45 @@ def test_a_large_group_of_near_copies(spark):
     assert found(ngram_join.join(table(spark, docs))) == brute(docs)
 
 
+def test_no_join_makes_all_pairs_of_a_key(spark, monkeypatch):
+    """Near copies too far apart to link: each set meets one query for a key; only tasks compare all pairs."""
+    rnd = random.Random(5)
+    base = [f"b{i}" for i in range(150)]
+    docs = []
+    for i in range(120):
+        own = list(base)
+        for _ in range(5):
+            own[rnd.randrange(150)] = f"x{rnd.randrange(10**6)}"
+        docs.append((i, " ".join(own)))
+    made, routed = [], ngram_join._routed
+
+    def spied(lists, queries):
+        made.append((lists.join(queries.select("key"), "key").count(), lists.count()))
+        return routed(lists, queries)
+
+    monkeypatch.setattr(ngram_join, "_routed", spied)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 7, raising=False)
+    assert found(ngram_join.join(table(spark, docs))) == brute(docs)
+    assert made and made[0][1] > 120 and all(rows <= members for rows, members in made)
+
+
+def test_similar_sets_share_a_key():
+    rnd = np.random.default_rng(8)
+    up, down = ngram_join.SIMILAR
+    pairs = 0
+    for n in [*range(1, 60), 77, 78, 96, 97, 120, 121, 300, 1000]:
+        for _ in range(20):
+            more = int(rnd.integers(0, n // up + 1))
+            gone = int(rnd.integers(0, n // up + 1))
+            every = rnd.integers(-(2**63), 2**63, n + more, np.int64)
+            a, b = np.sort(every[:n]), np.sort(every[gone:])
+            if a.tolist() != b.tolist() and n - gone >= ngram_join.needed(len(a), len(b)):
+                rare = lambda s: s & 3
+                assert len(np.intersect1d(ngram_join.part_keys(a, rare(a)), ngram_join.part_keys(b, rare(b))))
+                pairs += 1
+    assert pairs > 300
+
+
 def test_long_text_and_empty_table(spark):
     words = [f"w{i}" for i in range(300_000)]
     rows = [(2, " ".join(words)), (1, " ".join(words[:-5000])), (3, " ".join(words[:200_000]))]

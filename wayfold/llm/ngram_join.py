@@ -1,15 +1,17 @@
 """N-gram Jaccard join by T-occurrence search: which documents share nearly all their shingles.
 
-Two sets with a Jaccard similarity of 9/10 share at least nine tenths of the larger one. So a set's rarest tenth of
-shingles and one more (its short lists) must hold one that is also among the short ones of any similar set. Those
-shingles route a search to the sets it could retain. For a query set and the sets routed to it, a task inverts
+Sets are dealt to lists by size, such that two similar ones are on a list together, where similar sets differ in at
+most D shingles. Shingles fall into parts by hash, a few more than D + 1, and each part with all its shingles is a key.
+Every difference spoils one key, so of the D + 1 keys that are seen least in the corpus two similar sets share one at
+least. Those keys route a search to the sets it could retain. For a query set and the sets routed to it, a task inverts
 these sets into a list of sets for each shingle of the query, and retains the sets that occur on at least T lists:
 the longest lists are set aside, the short ones are merged by a heap that skips what can't reach T any more, and
 what is found there is looked up in the long lists by binary search.
 
-Equal sets are one from the start. In every short list one set is the query of all others, and sets that a search
-has linked are one group; that is repeated with other queries, and only lists in which groups are left apart
-are searched pair by pair. So a large group of near copies takes as many searches as it has members.
+Equal sets are one from the start. Of the sets with one key, one is the query of all others, and sets that a search
+has linked are one group; that is repeated with other queries, and only where groups are left apart are their sets
+compared pair by pair, by bits, in tasks that hold two blocks of sets of one key. So a large group of near copies takes
+as many searches as it has members.
 """
 
 from __future__ import annotations
@@ -17,11 +19,11 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
-from math import log, log2
+from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfold.llm import text as T
@@ -31,12 +33,14 @@ from wayfold.llm.tables import BROADCAST_BYTES, join_back, written
 SHINGLE_WORDS = 3
 #: The similarity as a fraction, so that all limits are whole numbers.
 SIMILAR = (9, 10)
-#: Shingles are ordered by how often their bucket of hashes is seen in the corpus, rarest first; 4 bytes a bucket.
+#: Parts are ordered by how often their shingles' buckets of hashes are seen in the corpus, rarest first; 4 bytes a bucket.
 BUCKET_BITS = 18
 #: Bits of the parity of a set's shingles by bucket: two sets differ in at least as many shingles as bits.
 PARITY_BITS = 1024
-#: Searches with one query for each list before what is left is searched pair by pair.
+#: Searches with one query for each key before what is left is compared pair by pair.
 ROUNDS = 3
+#: Sets of one key that are compared with as many others at once.
+BLOCK_SETS = 512
 #: Sets of about this many shingles together are searched at once for one query.
 BLOCK_SHINGLES = 1 << 18
 #: Cost of a binary search against a step of the heap, as the division into short and long lists weighs them.
@@ -49,10 +53,47 @@ def needed(n_a, n_b):
     return -(-up * (n_a + n_b) // (up + down))
 
 
-def short_lists(n: int) -> int:
-    """How many of a set's rarest shingles hold one that any similar, different set has among its own; 0 if none exists."""
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Smallest size of each class of sets, and the largest size of a set similar to one of the class."""
     up, down = SIMILAR
-    return n - -(-n * up // down) + 1 if n >= up else 0
+    least = [1]
+    while least[-1] < 1 << 40:
+        least.append(max(least[-1] + 1, least[-1] * 5 // 4))
+    least = np.array(least, np.int64)
+    return least[:-1], (least[1:] - 1) * down // up
+
+
+LEAST, MOST = _classes()
+
+
+def differing(of: int) -> int:
+    """The most shingles in which a set of a class and a similar, larger one differ."""
+    up, down = SIMILAR
+    return int(LEAST[of + 1] - 1 + MOST[of]) * (down - up) // (down + up)
+
+
+def part_keys(own: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Keys of a set of sorted hashes, of which any similar, different set has one too; `rare` weighs each shingle."""
+    last = int(np.searchsorted(LEAST, len(own), side="right")) - 1
+    first = max(int(np.searchsorted(MOST, len(own))), 0)
+    # From unsigned hashes in the same order, so that a part is a range.
+    hashes = own.view(np.uint64) ^ np.uint64(1 << 63)
+    sums = np.append(np.uint64(0), np.cumsum(T.mix(hashes)))
+    weights = np.append(0, np.cumsum(rare))
+    keys = []
+    for of in range(first, last + 1):
+        most = differing(of)
+        if not most:
+            continue
+        n = most + 1 + most // 16
+        part = ((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+        at = np.searchsorted(part, np.arange(n + 1, dtype=np.uint64))
+        salt = T.mix(np.arange(n, dtype=np.uint64) + np.uint64((of + 1) << 48))
+        key = T.mix((sums[at[1:]] - sums[at[:-1]]) ^ salt)
+        # One order for all sets: equal parts have equal weights and keys.
+        order = np.lexsort((key, weights[at[:-1]] - weights[at[1:]]))
+        keys.append(key[order[: most + 1]])
+    return np.concatenate(keys).view(np.int64) if keys else own[:0]
 
 
 def t_occurrence(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> np.ndarray:
@@ -149,18 +190,17 @@ def _seen(n: int):
 
 
 def _listed(n: int, seen: np.ndarray):
-    """Name, size, parity bits and short-list shingles of each text, rarest first."""
+    """Name, size, parity bits and keys of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare = np.rint(16 * np.log2(1 + seen.sum(dtype=np.int64) / np.maximum(seen, 1))).astype(np.int64)
         for batch in T.chunks(batches, "text"):
             names, sizes, bits, keys = [], [], [], []
             for own in _sets(batch, n):
                 names.append(_name(own) if len(own) else None)
                 sizes.append(len(own))
                 bits.append(_parity(own))
-                k = short_lists(len(own))
-                # Sorted by hash before, so that ties of the stable sort are in one order everywhere.
-                keys.append(own[np.argsort(seen[_bucket(own)], kind="stable")[:k]] if k else own[:0])
+                keys.append(part_keys(own, rare[_bucket(own)]) if len(own) else own)
             columns = [batch.column("doc_id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), _lists(bits), _lists(keys)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "name", "n", "bits", "keys"])
 
@@ -206,25 +246,11 @@ def _apart(lists: DataFrame) -> DataFrame:
     return lists.join(open_lists.select("key"), "key", "left_semi")
 
 
-def _by_size(shared: DataFrame) -> DataFrame:
-    """Lists of one shingle divided by size, so that every two sets of similar size are on one of them together.
-
-    Sizes of similar sets are at most one class apart, since a class is a little wider than the similarity allows;
-    a set is on the list of its own class and on that of the next.
-    """
-    up, down = SIMILAR
-    size = F.floor(F.log("n") / log(down / up * 1.001))
-    both = shared.withColumn("class", F.explode(F.array(size, size + 1)))
-    return both.withColumn("key", F.xxhash64("key", "class")).drop("class")
-
-
 def _routed(lists: DataFrame, queries: DataFrame) -> DataFrame:
-    """(q, y, block): for each list its queries (key, members, q, n_q, at_q, group_q) with the sets they could retain."""
+    """(q, y, block): for each key its query (key, members, q, n_q, group_q) with the sets it could retain."""
     up, down = SIMILAR
     both = lists.join(queries, "key").filter((F.col("name") != F.col("q")) & (F.col("group") != F.col("group_q")))
-    # A pair shares no more than this shingle and what follows it in both sets, if it is the first they share.
-    most = F.least(F.col("n") - F.col("at"), F.col("n_q") - F.col("at_q"))
-    both = both.filter((up + down) * most >= up * (F.col("n") + F.col("n_q")))
+    both = both.filter(up * F.greatest("n", "n_q") <= down * F.least("n", "n_q"))
     blocks = F.ceil(F.col("members") * F.col("n") / F.lit(BLOCK_SHINGLES))
     return both.groupBy("q", F.col("name").alias("y")).agg(
         F.min(F.pmod(F.xxhash64("name"), blocks)).alias("block"), F.min(F.col("n") + F.col("n_q")).alias("both")
@@ -241,12 +267,68 @@ def _possible(pairs: DataFrame, parities: DataFrame) -> DataFrame:
     return pairs.join(side("q"), "q").join(side("y"), "y").filter(differ <= F.col("both") - 2 * need).select("q", "y", "block")
 
 
-def short_list_rows(names: DataFrame) -> DataFrame:
-    """(key, name, n, at, group): the short lists of `names` (name, n, keys) on which two sets of similar size meet."""
-    every = names.select("name", "n", F.posexplode("keys").alias("at", "key"))
-    met = every.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
-    shared = written(every.join(met.select("key"), "key", "left_semi"), "shared-shingles")
-    return written(_apart(_by_size(shared).withColumn("group", F.col("name"))), "short-lists")
+def _pairs(name: np.ndarray, n: np.ndarray, group: np.ndarray, block: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Pairs of the sets of two blocks of one key that may be similar and are in two groups: smaller name, larger, most shingles."""
+    up, down = SIMILAR
+    left = np.flatnonzero(block == block[0])
+    right = np.flatnonzero(block == block[-1])
+    found = []
+    for i in left.tolist():
+        y = right[(group[right] != group[i]) & (name[right] > name[i] if block[0] == block[-1] else True)]
+        y = y[up * np.maximum(n[y], n[i]) <= down * np.minimum(n[y], n[i])]
+        both = n[y] + n[i]
+        y = y[np.bitwise_count(bits[y] ^ bits[i]).sum(axis=1, dtype=np.int64) <= both - 2 * needed(n[y], n[i])]
+        found.append((np.full(len(y), i), y))
+    q, y = (np.concatenate(x) for x in zip(*found))
+    return np.array([np.minimum(name[q], name[y]), np.maximum(name[q], name[y]), np.maximum(n[q], n[y])])
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of each cell of rows that come in the order of key and cell; holds one cell and a batch."""
+    held = []
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            yield from _cells(held, whole=False)
+    if held:
+        yield from _cells(held, whole=True)
+
+
+def _cells(held: list[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    ends = [(b.column("key")[at].as_py(), b.column("cell")[at].as_py()) for b, at in ((held[0], 0), (held[-1], len(held[-1]) - 1))]
+    if ends[0] == ends[1] and not whole:
+        return
+    rows = pa.Table.from_batches(held)
+    key, cell = rows.column("key").to_numpy(), rows.column("cell").to_numpy()
+    bounds = np.concatenate([[0], 1 + np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])), [len(key)]])
+    columns = [rows.column(c).to_numpy() for c in ("name", "n", "group", "block")]
+    bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
+    for a, b in zip(bounds[:-1], bounds[1:] if whole else bounds[1:-1]):
+        found = _pairs(*(c[a:b] for c in columns), bits[a:b])
+        if found.size:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["q", "y", "n"])
+    held[:] = [] if whole else rows.slice(bounds[-2]).combine_chunks().to_batches()
+
+
+def _all_pairs(lists: DataFrame, parities: DataFrame) -> DataFrame:
+    """(q, y, block): all pairs of sets of one key and two groups whose sizes and parity bits do not rule them out."""
+    counted = lists.join(lists.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK_SETS)).alias("blocks")), "key")
+    dealt = counted.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    dealt = dealt.select("key", cell.alias("cell"), "block", "name", "n", "group").join(parities, "name")
+    ordered = dealt.repartition("key", "cell").sortWithinPartitions("key", "cell", "block")
+    found = ordered.mapInArrow(_compared, "q long, y long, n long").distinct()
+    found = written(found, "possible-pairs")
+    blocks = found.groupBy("q").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"))
+    return found.join(blocks, "q").select("q", "y", F.pmod(F.xxhash64("y"), F.col("blocks")).alias("block"))
+
+
+def short_list_rows(sets: DataFrame) -> DataFrame:
+    """(key, name, n, group): the keys of `sets` (name, n, keys) on which two sets meet."""
+    every = sets.select("name", "n", F.explode("keys").alias("key"))
+    met = every.withColumn("members", F.count("*").over(Window.partitionBy("key"))).filter("members > 1")
+    return written(met.select("key", "name", "n", F.col("name").alias("group")), "short-lists")
 
 
 def links(lists: DataFrame, parities: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -255,18 +337,18 @@ def links(lists: DataFrame, parities: DataFrame, sets: Callable[[DataFrame], Dat
     `lists` is as from `short_list_rows`; `parities` has (name, bits); `sets` gives the table (name, shingles)
     for the names of a table.
     """
+    parities = written(parities.join(lists.select("name").distinct(), "name", "left_semi"), "set-parities")
     edges = None
     for turn in range(ROUNDS + 1):
-        as_query = [F.col(c).alias(a) for c, a in (("name", "q"), ("n", "n_q"), ("at", "at_q"), ("group", "group_q"))]
         if turn < ROUNDS:
-            # One query for each list, another one in each round.
-            one = F.min_by(F.struct("name", "n", "at", "group"), F.xxhash64("name", F.lit(turn))).alias("one")
+            # One query for each key, another one in each round.
+            one = F.min_by(F.struct("name", "n", "group"), F.xxhash64("name", F.lit(turn))).alias("one")
             queries = lists.groupBy("key").agg(one, F.count("*").alias("members")).select("key", "members", "one.*")
-            pairs = _routed(lists, queries.select("key", "members", *as_query))
+            as_query = [F.col(c).alias(a) for c, a in (("name", "q"), ("n", "n_q"), ("group", "group_q"))]
+            pairs = _possible(_routed(lists, queries.select("key", "members", *as_query)), parities)
         else:
-            queries = lists.join(lists.groupBy("key").agg(F.count("*").alias("members")), "key")
-            pairs = _routed(lists, queries.select("key", "members", *as_query)).filter("q < y")
-        pairs = written(_possible(pairs, parities), "routed-sets")
+            pairs = _all_pairs(lists, parities)
+        pairs = written(pairs, "routed-sets")
         wanted = pairs.select(F.col("q").alias("name")).union(pairs.select("y")).distinct()
         found = search(pairs, sets(wanted))
         edges = written(found if edges is None else edges.union(found), "ngram-links")
@@ -285,8 +367,8 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     component_id is the smallest doc_id that can be reached over links, itself included; rows without doc_id link
     as any other but name no component. A text of fewer words than a shingle is one shingle; a null text, or one
     without words, has an empty set and is linked with nothing. Repeated rows are equal sets. Words are compared
-    without the case of ASCII letters, shingles and sets by 64-bit hashes. Other columns are ignored; an empty table
-    gives an empty result. A task holds the shingles of one text, or of a block of sets and their query.
+    without the case of ASCII letters, shingles, parts and sets by 64-bit hashes. Other columns are ignored; an empty table
+    gives an empty result. A task holds the shingles of one text, or of a block of sets and their query, or the bits of two blocks.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     counted = docs.select("text").mapInArrow(_seen(shingle_words), "bucket int, seen long").groupBy("bucket").agg(F.sum("seen"))
@@ -295,12 +377,18 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         seen[bucket] = n
     seen = np.minimum(seen, 2**31 - 1).astype(np.int32)
     rows = docs.mapInArrow(_listed(shingle_words, seen), "doc_id long, name long, n long, bits array<long>, keys array<long>")
-    rows = written(rows, "ngram-sets")
-    names = rows.filter("name is not null").groupBy("name").agg(
-        F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"),
-        F.first("bits").alias("bits"), F.first("keys").alias("keys"),
-    )
-    names = written(names, "set-names")
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "ngram-sets")
+    filled = rows.filter("name is not null")
+    names = written(
+        filled.groupBy("name").agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.min("row").alias("first")),
+        "set-names",
+    )
+    total = rows.count()
+    copies = join_back(filled.select("row", "name"), names.filter("copies > 1").select("name", "first", "copies"), "name", "copies", total)
+    copies = written(copies.filter("row <> first").select("row"), "set-copies")
+    if 16 * copies.count() <= BROADCAST_BYTES:
+        copies = F.broadcast(copies)
+    distinct = filled.join(copies, "row", "left_anti")
 
     def sets(wanted: DataFrame) -> DataFrame:
         carriers = names.join(wanted, "name", "left_semi").select(F.col("low").alias("carrier")).distinct()
@@ -314,13 +402,13 @@ def join(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
         # Only where a doc_id is null or repeated is there more than one text for a set.
         return found if found.count() <= n else written(found.dropDuplicates(["name"]), "shingle-sets")
 
-    member = components(links(short_list_rows(names), names.select("name", "bits"), sets), "ngram-groups").withColumnRenamed("node", "name")
+    lists = short_list_rows(distinct.select("name", "n", "keys"))
+    member = components(links(lists, distinct.select("name", "bits"), sets), "ngram-groups").withColumnRenamed("node", "name")
     told = names.join(member, "name", "left").select("name", "low", "copies", F.coalesce("component", "name").alias("component"))
     told = written(told, "set-components")
     least = told.groupBy("component").agg(F.min("low").alias("component_id"), F.sum("copies").alias("copies"))
-    total = rows.count()
     told = join_back(told.select("name", "component", F.col("copies").alias("held")), least, "component", "copies", total)
     told = told.select("name", "component_id", "held")
-    full = join_back(rows.filter("name is not null").select("doc_id", "name", "n"), told, "name", "held", total)
+    full = join_back(filled.select("doc_id", "name", "n"), told, "name", "held", total)
     empty = rows.filter("name is null").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return full.select("doc_id", "n", "component_id").unionByName(empty).withColumnRenamed("n", "n_shingles")
