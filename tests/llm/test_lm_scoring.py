@@ -133,3 +133,43 @@ def test_rare_phrases_are_contexts_at_any_size(spark):
     found = L.score(docs, settings).filter(f"doc_id = {unseen}").first()
     # Three of its four words, and the end, follow from the word before.
     assert found.score - found.base_score > 8
+
+
+@pytest.mark.parametrize("settings", [L.Settings(task_tokens=40, hot_share=0.0), L.Settings(task_tokens=300, frequent_share=0.1), L.Settings(task_tokens=1)])
+def test_contexts_of_more_tokens_than_a_task_takes(spark, settings, monkeypatch):
+    """Hot contexts of one to three words, rare words, and texts of several batches."""
+    monkeypatch.setattr(L, "COMMON_ARCS", 4)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(words[: rng.choice([2, 5, 30])]) for _ in range(rng.randrange(1, 60)))) for i in range(120)]
+    rows += [(i, "w0 w1 w0 w2 w1 w0") for i in range(200, 260)] + [(None, None), (300, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    prepared = L._prepared(docs).filter("not held_out")
+    counts = L.word_counts(prepared)
+    hot = L.hot_contexts(prepared, counts, L.base_model(counts, settings), settings)
+    assert len(hot.keys[0]) and (settings.task_tokens > 100 or len(hot.keys[2]) and len(hot.arcs))
+    expected = {i: (a, b) for (i, a), b in zip(brute_score(rows).items(), [sum(1 for _ in tokens(x)) for _, x in rows])}
+    got = L.score(docs, settings).collect()
+    assert len(got) == len(rows) and all(abs(r.score - expected[r.doc_id][0]) < 1e-6 and r.n_tokens == expected[r.doc_id][1] for r in got)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_known, round(r.base_score, 6)) for r in got) == sorted((x[0], x[3], x[5]) for x in brute(rows))
+
+
+def test_tokens_are_packed(spark):
+    """What the shuffles to the tasks of contexts hold; a row for each token's context and arc took over 18 bytes a token."""
+    rng = random.Random(6)
+    words = [f"w{int(1.3**rng.uniform(0, 30))}" for _ in range(100_000)]
+    docs = spark.createDataFrame([(i, " ".join(words[i * 500 : i * 500 + 500])) for i in range(200)], "doc_id long, text string")
+    prepared, settings = L._prepared(docs), L.Settings(task_tokens=20_000)
+    counts = L.word_counts(prepared.filter("not held_out"))
+    base = L.base_model(counts, settings)
+    hot = L.hot_contexts(prepared.filter("not held_out"), counts, base, settings)
+    size = F.expr("aggregate(data, 0L, (sum, x) -> sum + length(x))")
+    shared = spark.sparkContext.broadcast((base, hot, None))
+    sizes = [prepared.mapInArrow(L._deal(shared, settings, 8, later), L.DEALT).agg(F.sum(size)).first()[0] for later in (False, True)]
+    assert sum(sizes) < 12 * 100_200
+
+
+def test_texts_in_another_order_are_refused(spark):
+    rows = lambda dest: [(dest, False, [b""])]
+    with pytest.raises(ValueError, match="read again"):
+        L._scored(L._rows(rows(1)))

@@ -99,7 +99,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return lm_scoring.score(read(spark, folder, "documents"))
+    return lm_scoring.score(read(spark, folder, "documents"), reread=True)
 
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
