@@ -40,7 +40,7 @@ END = -1
 OTHER = 0
 FOLDS = 10
 #: Tokens of the texts that a task packs at once.
-BATCH_TOKENS = 3 << 19
+BATCH_TOKENS = 1 << 20
 #: Next words of hot contexts are sent to all tasks if they have one in so many of the tokens of a task.
 COMMON_ARCS = 64
 
@@ -92,7 +92,25 @@ class Base:
 
     def codes(self, hashes: np.ndarray) -> np.ndarray:
         """From 1; 0 for words without number."""
-        return np.append(1 + self.rank, 0)[_place(self.hashes, hashes)]
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64)
+        # A word is at one of the few places after that of its first bits.
+        at = self._starts[(hashes >> 44) + (1 << 19)]
+        out = np.zeros(len(hashes), np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            here = self.hashes[at]
+            found = here == hashes
+            out[left[found]] = 1 + self.rank[at[found]]
+            more = (here < hashes) & (at < len(self.hashes) - 1)
+            left, at, hashes = left[more], at[more] + 1, hashes[more]
+        return out
+
+    @cached_property
+    def _starts(self) -> np.ndarray:
+        """The place of the first word with each value of the first 20 bits, or after."""
+        first = np.searchsorted(self.hashes >> 44, np.arange(-(1 << 19), 1 << 19))
+        return np.minimum(first, len(self.hashes) - 1)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -148,33 +166,33 @@ def base_model(counts: DataFrame, settings: Settings) -> Base:
 
 
 def _code(base: Base):
-    """The symbols of each text."""
+    """The symbols of training texts and the texts' sizes, packed."""
     chosen = base.symbols > 0
     hashes, numbers = base.hashes[chosen], np.append(base.symbols[chosen], OTHER).astype(np.int16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches, "text"):
-            tokens, bounds = _tokens(batch.column("text"))
-            symbols = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(numbers[_place(hashes, tokens)]))
-            yield pa.RecordBatch.from_arrays([batch.column("held_out"), symbols], ["held_out", "symbols"])
+            tokens, bounds = _tokens(batch.filter(pc.invert(batch.column("held_out"))).column("text"))
+            packed = [_packed(numbers[_place(hashes, tokens)]), _packed(np.diff(bounds).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], ["symbols", "sizes"])
 
     return run
 
 
-CODED = "held_out boolean, symbols array<smallint>"
+CODED = "symbols binary, sizes binary"
 
 
-def _history(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _histories(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All symbols, and how many symbols of the same text stand before each."""
-    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    symbols = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return symbols, T.ranges(np.zeros(len(sizes), np.int64), sizes), sizes
+    for batch in batches:
+        for symbols, sizes in zip(batch.column("symbols").to_pylist(), batch.column("sizes").to_pylist()):
+            sizes = _unpacked(sizes, np.int64)
+            yield _unpacked(symbols, np.int16).astype(np.int64), T.ranges(np.zeros(len(sizes), np.int64), sizes)
 
 
 def _pairs(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _few(batches):
-            s, place, _ = _history(batch.column("symbols"))
+        for s, place in _histories(batches):
             at = np.flatnonzero(place >= 1)
             keys, n = np.unique(s[at - 1] * width + s[at], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
@@ -184,8 +202,7 @@ def _pairs(width: int):
 
 def _triples(width: int, contexts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _few(batches):
-            s, place, _ = _history(batch.column("symbols"))
+        for s, place in _histories(batches):
             at = np.flatnonzero(place >= 2)
             pair = _place(contexts, s[at - 2] * width + s[at - 1])
             keys, n = np.unique(pair[pair >= 0] * width + s[at[pair >= 0]], return_counts=True)
@@ -194,12 +211,6 @@ def _triples(width: int, contexts: np.ndarray):
     return run
 
 
-def _few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, len(batch), rows):
-            yield batch.slice(at, rows)
-
-
 def _place(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Place of each wanted key among the sorted keys, or -1."""
     if not len(keys):
@@ -278,7 +289,6 @@ class Tree:
 
 def suffix_tree(coded: DataFrame, base: Base, settings: Settings) -> Tree:
     spark = coded.sparkSession
-    training = coded.filter("not held_out").select("symbols")
     width = int(base.symbols.max(initial=0)) + 1
     root = np.zeros(width)
     chosen = base.symbols > 0
@@ -287,7 +297,7 @@ def suffix_tree(coded: DataFrame, base: Base, settings: Settings) -> Tree:
     floor = settings.transition_share * base.tokens
 
     def counted(run) -> DataFrame:
-        rows = training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        rows = coded.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         rows = written(rows, "context-counts")
         return rows.select(
             F.expr(f"key div {width}").alias("context"), (F.col("key") % width).alias("next"), "n"
@@ -391,21 +401,29 @@ class Words:
         return out
 
     def numbers(self, w: list[np.ndarray]) -> list[np.ndarray]:
-        return self.hot.numbers([self._hot[x] for x in w[1:]]) if len(self.hot.words) else []
+        if not len(self.hot.words):
+            return []
+        out = [np.full(len(w[0]), -1) for _ in self.hot.keys]
+        at = np.flatnonzero(self._hot[w[1]])
+        for mine, found in zip(out, self.hot.numbers([self._hot[x[at]] for x in w[1:]])):
+            mine[at] = found
+        return out
 
     def buckets(self, w: list[np.ndarray], numbers: list[np.ndarray], parts: int) -> np.ndarray:
         """By the shortest context that is not hot, or by the token itself."""
-        keys = []
-        for x in w[1 : len(numbers) + 2]:
-            last = T.mix(self.hashes[x].view(np.uint64))
-            keys.append(T.mix(keys[-1] * np.uint64(0x9E3779B97F4A7C15) + last) if keys else last)
-        key = T.mix(self.hashes[w[0]].view(np.uint64))
-        for length in range(len(keys), 0, -1):
-            cold = w[length] > 0
-            if length <= len(numbers):
-                cold &= numbers[length - 1] < 0
-            key = np.where(cold, keys[length - 1], key)
-        return (T.mix(key) % np.uint64(parts)).astype(np.int64)
+        mixed = T.mix(self.hashes.view(np.uint64))
+        out = mixed[np.where(w[1] > 0, w[1], w[0])]
+        # From here on only tokens all of whose shorter contexts are hot.
+        at, key = np.arange(len(out)), out
+        for number, x in zip(numbers, w[2:]):
+            hot = number[at] >= 0
+            at, key = at[hot], key[hot]
+            key = T.mix(key * np.uint64(0x9E3779B97F4A7C15) + mixed[x[at]])
+            out[at] = np.where(x[at] > 0, key, mixed[w[0][at]])
+        if numbers and len(numbers) + 1 >= len(w):
+            at = at[numbers[-1][at] >= 0]
+            out[at] = mixed[w[0][at]]
+        return (T.mix(out) % np.uint64(parts)).astype(np.int64)
 
     def common(self, number: np.ndarray, word: np.ndarray) -> np.ndarray:
         """How often the common next words of hot contexts occur there, -1 for others."""
@@ -430,7 +448,7 @@ class Records:
         first = self.words.first_rare
         borders = np.flatnonzero(np.diff(dest[order])) + 1
         for at in np.split(order, borders) if len(order) else []:
-            w = [x[at].astype(np.int64) for x in self.w]
+            w = [x[at] for x in self.w]
             used = np.unique(np.concatenate([x[x >= first] for x in w]))
             w = [np.where(x >= first, first + np.searchsorted(used, x), x) for x in w]
             n = [x[at].astype(np.int64) for x in self.n] if any(x[at].any() for x in self.n) else []
@@ -452,18 +470,23 @@ class Records:
         batches, places = np.unique(join([x[0] for x in parts], np.int64), return_inverse=True)
         w, batch, words_before, batches_before = [[] for _ in range(1 + before)], [], 0, 0
         for x in parts:
-            code = np.append(np.arange(first), first + codes[words_before : words_before + len(x[3])])
+            code = first + codes[words_before : words_before + len(x[3])]
             for column, mine in zip(w, x[5:]):
-                column.append(code[mine].astype(np.int32))
+                mine = mine.astype(np.int32)
+                rarely = np.flatnonzero(mine >= first)
+                mine[rarely] = code[mine[rarely] - first]
+                column.append(mine)
             batch.append(places[batches_before : batches_before + len(x[0])][x[1]].astype(np.int32))
             words_before, batches_before = words_before + len(x[3]), batches_before + len(x[0])
         n = []
         for length in range(len(hot.keys)):
             at = len(kinds) + length
             n.append(join([_unpacked(d[at], np.int64) if at < len(d) else np.zeros(len(x[2]), np.int64) for d, x in zip(found, parts)], np.int64))
-        row = join([np.cumsum(x[2], dtype=np.uint32).astype(np.int64) for x in parts], np.int64)
-        words = Words(base, hot, rare)
-        return cls([join(x, np.int32).astype(np.int64) for x in w], row, join(batch, np.int32).astype(np.int64), batches, words, known, n)
+        row = join([np.cumsum(x[2], dtype=np.uint32) for x in parts], np.uint32)
+        del parts
+        for k, x in enumerate(w):
+            w[k] = join(x, np.int32)
+        return cls(w, row, join(batch, np.int32), batches, Words(base, hot, rare), known, n)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
@@ -519,9 +542,12 @@ def _deal(shared: Broadcast, settings: Settings, parts: int, later: bool):
             words = Words(base, hot, rare)
             missing, n = new, []
             for x in words.numbers(w):
-                n.append(np.where(x >= 0, words.common(x, w[0]), 0))
-                missing = missing | (n[-1] < 0)
-            n = [np.maximum(x, 0) for x in n]
+                at = np.flatnonzero(x >= 0)
+                common = words.common(x[at], w[0][at])
+                missing = missing.copy()
+                missing[at[common < 0]] = True
+                n.append(np.zeros(len(x), np.int64))
+                n[-1][at] = np.maximum(common, 0)
             chosen = np.flatnonzero(missing if later else ~missing & (w[1] > 0))
             content = zlib.crc32(tokens.tobytes(), zlib.crc32(sizes.tobytes() + held.tobytes()))
             batch = ((TaskContext.get().partitionId() << 16) + number << 32 | content) & (2**63 - 1)
@@ -578,7 +604,7 @@ def _sums(shared: Broadcast, settings: Settings):
         count = np.concatenate([np.zeros(1, np.int64), base.counts[base.by_rank], r.known])[r.w[0]]
         rare = r.w[0] >= r.words.first_rare
         gain = _gains(r, base.p(count), hot, tree, base, settings)
-        key = r.batch << 32 | r.row >> 1
+        key = r.batch.astype(np.int64) << 32 | r.row >> 1
         first, of = _alike(key)
         key = key[first]
         columns = [gain, np.where(rare, base.log10(count), 0.0), rare & (count > 0)]
@@ -793,7 +819,7 @@ def score(docs: DataFrame, settings: Settings = Settings(), reread: bool = False
     training = prepared.filter("not held_out")
     counts = written(word_counts(prepared), "word-counts")
     base = base_model(counts, settings)
-    tree = suffix_tree(training.mapInArrow(_code(base), CODED), base, settings)
+    tree = suffix_tree(written(training.mapInArrow(_code(base), CODED), "symbols"), base, settings)
     hot = hot_contexts(training, counts, base, settings)
 
     parts = 1 + int(base.tokens / max(settings.task_tokens, settings.hot_share * base.tokens))
