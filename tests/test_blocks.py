@@ -135,6 +135,32 @@ def test_handed_on_points_are_bounded(spark, tmp_path):
     assert held == {"a": 60 + 30, "b": 60 + 30}
 
 
+def test_handed_on_points_meet_a_batch_packed(spark, tmp_path):
+    rng = random.Random(9)
+    feed = Feed(spark, tmp_path, buckets=2)
+    # The second batch has all but "d", and "c" has a point in the midst of those handed on.
+    parts = [history(rng, 0, 90, "abcd"), history(rng, 90, 100, "abc")]
+    parts[1].append((5_000, "c", 106.6, 10.7, 1.0, BASE + 60))
+    parts[0] = [r for r in parts[0] if (r[1], r[5]) != ("c", BASE + 60)]
+    seen = []
+
+    class Watched(BlockLabels):
+        def labelled(self, arrived, met):
+            labels = super().labelled(arrived, met)
+            seen.append(sorted((r["vehicle"], len(r["points"] or [])) for r in met.collect()) if met is not None else [])
+            return labels
+
+    for b, part in enumerate(parts):
+        sink = Watched(spark, f"{feed.path}/state", "n", lambda l, i: sinks.write_batch(l, f"{feed.path}/rows", i), SETTINGS, 2)
+        batch = spark.createDataFrame(part, SCHEMA)
+        sink(batch.withColumn("grid_id", geo.grid_id(F.col("x"), F.col("y"), SETTINGS)), b)
+    assert feed.rows() == expected(parts)
+    # One row a vehicle, of 60 points above the watermark and 30 more; "d" may lie in buckets that were not touched.
+    assert [r for r in seen[1] if r[0] != "d"] == [("a", 90), ("b", 90), ("c", 89)]
+    stored = sink.recent.read_buckets([0, 1])
+    assert sorted(r["vehicle"] for r in stored.collect()) == ["a", "b", "c", "d"]
+
+
 def test_a_hot_vehicle_is_dealt_to_many_tasks(spark, tmp_path):
     rng = random.Random(8)
     part = history(rng, 0, 900, ["hot"]) + [r for k in range(40) for r in history(rng, 0, 30, [f"v{k}"])]
@@ -170,6 +196,25 @@ def test_micro_batches_leave_no_trace(spark, small, monkeypatch, rows):
     assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_a_stream_shuffles_to_as_many_tasks_as_run_at_once(spark, small, monkeypatch):
+    monkeypatch.setattr(X, "LOG_ROWS", 400)
+    monkeypatch.setattr(X, "BATCH_ROWS", 400)
+    dealt = []
+
+    def write_batch(labels, path, batch_id, write=sinks.write_batch):
+        dealt.append(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        write(labels, path, batch_id)
+
+    monkeypatch.setattr(sinks, "write_batch", write_batch)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "70")
+    try:
+        queries.stream_point_labels(spark, small)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(dealt) > 1 and set(dealt) == {str(X.stream_partitions(spark))}
+
+
 def test_a_longer_log_has_larger_micro_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(X, "LOG_ROWS", 5)
     monkeypatch.setattr(X, "BATCH_ROWS", 10)

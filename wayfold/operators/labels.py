@@ -249,6 +249,7 @@ def cluster_points(
     step: str | None = None,
     block: Column | None = None,
     only: str | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Add the `CLUSTER_FIELDS` to every row.
 
@@ -266,7 +267,7 @@ def cluster_points(
         if step is not None:
             raise ValueError("steps need a block expression that does not cut them")
         block = time_block(settings)
-    framed = with_context(rows, block, settings.frame_points)
+    framed = with_context(rows, block, settings.frame_points, before)
     schema = T.StructType([f for f in framed.schema.fields if f.name not in _HELPERS] + CLUSTER_FIELDS)
     return framed.mapInArrow(_sorted_frames(settings, step, only), schema)
 
@@ -305,12 +306,14 @@ def label_points(
     density_scope: str = "emitted",
     keep: Sequence[str] = (),
     only: str | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Labelled points in the declared layout, followed by `step` (if there is one) and `keep`; `only` as in `cluster_points`."""
+    """Labelled points in the declared layout, followed by `step` (if there is one) and `keep`; `only` and `before` as in
+    `cluster_points`."""
     needed = ["vehicle", "x", "y", "speed", "datetime", "grid_id"]
     extra = ([step] if step else []) + list(keep)
     chosen = [only] if only and only not in extra else []
-    labelled = cluster_points(rows.select(*needed, *extra, *chosen), settings, step, block, only)
+    labelled = cluster_points(rows.select(*needed, *extra, *chosen), settings, step, block, only, before)
     return with_scores(labelled, settings, density_scope).select(*LABELLED_COLUMNS, *extra)
 
 

@@ -333,7 +333,10 @@ def stream_point_labels(spark: SparkSession, folder: str) -> DataFrame:
     messages_of.append(events, "event_id", 0)
     rows = messages_of.stream(batch_rows)
     waypoints = clean.with_grid(clean.clean(X.gps_from_events(rows, keep=["offset"])))
-    jobs.start(waypoints, sink, f"{path}/checkpoint", available_now=True).awaitTermination()
+    query = jobs.start(
+        waypoints, sink, f"{path}/checkpoint", available_now=True, partitions=X.stream_partitions(spark)
+    )
+    query.awaitTermination()
     return spark.read.parquet(f"{path}/rows").drop("batch_id")
 
 

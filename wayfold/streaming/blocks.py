@@ -21,6 +21,14 @@ from wayfold.sources.tables import BucketedTable, VersionedTable
 POINT = ["vehicle", "datetime", "x", "y", "speed", "grid_id"]
 
 
+class RecentPoints(BucketedTable):
+    """The points handed on: one row per vehicle, with `points` in the order of time; `read` gives one row per point."""
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        packed = super().read(before)
+        return None if packed is None else packed.select("vehicle", F.inline("points"))
+
+
 class BlockLabels:
     """A sink for clean waypoints with `grid_id`: labels each point as its own step and passes them to `emit`.
 
@@ -31,8 +39,10 @@ class BlockLabels:
     time, the labels don't depend on where micro-batches are cut.
 
     The points handed on are those that a row not yet late can need: all above the watermark and the 30 before them, of
-    each vehicle, which is at most `watermark_s` + 30 rows. They lie in `buckets` by vehicle, of which a batch reads and
-    writes those of its vehicles. Everything is named by the batch number, so a repeated batch changes nothing.
+    each vehicle, which is at most `watermark_s` + 30. They lie packed, a vehicle in one row, in `buckets` of which a batch
+    reads and writes those of its vehicles. They meet the batch packed as well: only those that a vehicle's fresh points
+    precede become rows, and the 30 before these go to the blocks as arrays, so the cost of a batch is one row per known
+    vehicle and the frames of its points. Everything is named by the batch number, so a repeated batch changes nothing.
     """
 
     def __init__(
@@ -45,7 +55,7 @@ class BlockLabels:
         buckets: int = 1,
         keep_versions: int = 3,
     ):
-        self.recent = BucketedTable(spark, f"{path}/recent", "vehicle", buckets)
+        self.recent = RecentPoints(spark, f"{path}/recent", "vehicle", buckets)
         self.marks = VersionedTable(spark, f"{path}/marks")
         self.spark = spark
         self.arrival = arrival
@@ -58,26 +68,61 @@ class BlockLabels:
         return None if mark is None else mark.first()["greatest"]
 
     def _handed_on(self, buckets: list[int], batch_id: int, watermark: int) -> DataFrame | None:
-        """The recent points of the vehicles in some buckets, without those of idle ones."""
+        """The recent points of the vehicles in some buckets, packed, without idle vehicles."""
         stored = self.recent.read_buckets(buckets, before=batch_id)
         if stored is None:
             return None
-        last = F.max("datetime").over(W.partitionBy("vehicle"))
-        active = stored.withColumn("last", last).filter(F.col("last") + self.settings.idle_timeout_s > watermark)
-        return active.select(*POINT)
+        last = F.element_at("points", -1)["datetime"]
+        return stored.filter(last + self.settings.idle_timeout_s > watermark).select("vehicle", "points")
 
-    def labelled(self, fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
-        """The labels of the fresh points, in frames of both."""
+    def _gathered(self, arrived: DataFrame, watermark: int) -> DataFrame:
+        """Of each vehicle of a batch the time of its `first` point, and packed as `added` those that may be handed on."""
+        open_points = arrived.filter(F.col("datetime") > watermark)
+        # Ranked in each task before the shuffle, so a hot vehicle sends 30 rows a task.
+        closed = newest_points(arrived.filter(F.col("datetime") <= watermark), self.settings.frame_points)
+        point = F.struct(*POINT[1:]).alias("point")
+        candidates = open_points.select("vehicle", point).unionByName(closed.select("vehicle", point))
+        firsts = arrived.groupBy("vehicle").agg(F.min("datetime").alias("first"))
+        # Lists have no nulls, so the rows of first times add nothing to them.
+        return (
+            candidates.unionByName(firsts, allowMissingColumns=True)
+            .groupBy("vehicle")
+            .agg(F.min("first").alias("first"), F.sort_array(F.collect_list("point")).alias("added"))
+        )
+
+    def _to_hand_on(self, met: DataFrame, watermark: int) -> DataFrame:
+        """The points above the watermark and the 30 before them, of the stored and the added ones; of copies the stored."""
+        known = F.transform("points", lambda p: p["datetime"])
+        new = F.filter("added", lambda p: ~F.array_contains(known, p["datetime"]))
+        behind = F.element_at("points", -1)["datetime"] < F.col("first")
+        every = (
+            F.when(F.col("points").isNull(), F.col("added"))
+            .when(F.col("added").isNull(), F.col("points"))
+            .when(behind, F.concat("points", "added"))
+            .otherwise(F.sort_array(F.concat("points", new)))
+        )
+        closed = F.size(F.filter("points", lambda p: p["datetime"] <= watermark))
+        begin = F.greatest(closed - self.settings.frame_points, F.lit(0)) + 1
+        merged = met.select("vehicle", every.alias("points"))
+        return merged.select("vehicle", F.slice("points", begin, F.size("points")).alias("points"))
+
+    def labelled(self, arrived: DataFrame, met: DataFrame | None) -> DataFrame:
+        """The labels of the arrived points that are not known yet, in frames of these and the stored ones."""
+        if met is None:
+            return label_points(arrived.select(*POINT), self.settings)
+        both = met.filter(F.col("first").isNotNull() & F.col("points").isNotNull())
+        among = both.select("vehicle", F.inline(F.filter("points", lambda p: p["datetime"] >= F.col("first"))))
+        fresh = arrived.join(among.select("vehicle", "datetime"), ["vehicle", "datetime"], "left_anti")
         marked = fresh.select(*POINT, F.lit(True).alias("is_fresh"))
-        if stored is not None:
-            marked = marked.unionByName(stored.select(*POINT, F.lit(False).alias("is_fresh")))
-        return label_points(marked, self.settings, only="is_fresh")
+        marked = marked.unionByName(among.select(*POINT, F.lit(False).alias("is_fresh")))
 
-    def _to_hand_on(self, points: DataFrame, watermark: int) -> DataFrame:
-        open_points = points.filter(F.col("datetime") > watermark)
-        # Ranked in each task before the shuffle, so a hot vehicle sends 30 rows a task.
-        closed = newest_points(points.filter(F.col("datetime") <= watermark), self.settings.frame_points)
-        return open_points.select(*POINT).unionByName(closed.select(*POINT))
+        earlier = both.select("vehicle", F.filter("points", lambda p: p["datetime"] < F.col("first")).alias("points"))
+        begin = F.greatest(F.size("points") - (self.settings.frame_points - 1), F.lit(1))
+        newest = earlier.select("vehicle", F.slice("points", begin, self.settings.frame_points).alias("points"))
+        old = F.transform("points", lambda p: p.withField("is_fresh", F.lit(False)))
+        return label_points(
+            marked, self.settings, only="is_fresh", before=newest.select("vehicle", old.alias("points"))
+        )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         greatest = self._greatest_time(batch_id)
@@ -86,28 +131,29 @@ class BlockLabels:
         if greatest is not None:
             known = known.filter(F.col("datetime") > greatest - late)
         arrived = first_arrival(known, ["vehicle", "datetime"], self.arrival).select(*POINT).persist()
-        fresh, stored = arrived, None
+        met = None
         try:
             newest = arrived.agg(F.max("datetime")).first()[0]
             if newest is None:
                 return
             buckets = self.recent.touched(arrived)
-            if greatest is not None:
-                stored = self._handed_on(buckets, batch_id, greatest - late)
-            if stored is not None:
-                stored = stored.persist()
-                copies = stored.filter(F.col("datetime") > greatest - late).select("vehicle", "datetime")
-                fresh = arrived.join(copies, ["vehicle", "datetime"], "left_anti").persist()
-            self.emit(self.labelled(fresh, stored), batch_id)
-
-            greatest = newest if greatest is None else max(newest, greatest)
-            points = fresh if stored is None else fresh.unionByName(stored)
-            self.recent.write(self._to_hand_on(points, greatest - late), buckets, batch_id)
+            watermark = (newest if greatest is None else max(newest, greatest)) - late
+            met = self._gathered(arrived, watermark)
+            stored = None if greatest is None else self._handed_on(buckets, batch_id, greatest - late)
+            if stored is None:
+                met = met.withColumn("points", F.lit(None).cast(met.schema["added"].dataType))
+            else:
+                met = met.join(stored, "vehicle", "full_outer")
+            met = met.persist()
+            self.emit(self.labelled(arrived, None if stored is None else met), batch_id)
+
+            self.recent.write(self._to_hand_on(met, watermark), buckets, batch_id)
             self.recent.expire(self.keep_versions)
             # Last: a batch has a mark only once its points are handed on.
-            self.marks.write(self.spark.createDataFrame([(greatest,)], "greatest long"), batch_id)
+            mark = self.spark.range(0, 1, 1, 1).select(F.lit(watermark + late).cast("long").alias("greatest"))
+            self.marks.write(mark, batch_id)
             self.marks.expire(self.keep_versions)
         finally:
-            for cached in (stored, fresh, arrived):
+            for cached in (met, arrived):
                 if cached is not None:
                     cached.unpersist()
