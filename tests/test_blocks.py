@@ -246,6 +246,29 @@ def test_the_bound_of_a_micro_batch():
         assert X.BATCH_ROWS < batch <= X.MOST_BATCH_ROWS and batch % segment == 0
 
 
+def test_points_given_packed_equal_rows(spark):
+    rng = random.Random(12)
+    rows = spark.createDataFrame(history(rng, 0, 200, every=0.9), SCHEMA).withColumn(
+        "grid_id", geo.grid_id(F.col("x"), F.col("y"), SETTINGS)
+    )
+    points = rows.select("vehicle", "datetime", "x", "y", "speed", "grid_id")
+    # "b" has fewer points before than a frame takes; "c" has none, so some blocks have no context.
+    is_old = F.col("datetime") < BASE + F.when(F.col("vehicle") == "a", 90).when(F.col("vehicle") == "b", 12).otherwise(0)
+    old, new = points.filter(is_old), points.filter(~is_old)
+    before = old.groupBy("vehicle").agg(F.sort_array(F.collect_list(F.struct(*points.columns[1:]))).alias("points"))
+    chosen = points.withColumn("is_new", ~is_old)
+    want = sorted(map(tuple, label_points(chosen, SETTINGS, only="is_new").collect()), key=str)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows_at_once in ("3", "50", size):
+            # Groups that go on over several Arrow batches.
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_at_once)
+            got = label_points(new.withColumn("is_new", F.lit(True)), SETTINGS, only="is_new", before=before).collect()
+            assert sorted(map(tuple, got), key=str) == want and want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
 def test_only_chosen_points_get_a_frame(spark):
     rng = random.Random(11)
     rows = spark.createDataFrame(history(rng, 0, 120, every=0.9), SCHEMA).withColumn(

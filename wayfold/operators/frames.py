@@ -23,14 +23,19 @@ def time_block(settings: Settings = DEFAULTS) -> Column:
     return F.floor(F.col("datetime") / F.lit(settings.block_s)).cast("long")
 
 
-def with_context(rows: DataFrame, block: Column, context: int, before: DataFrame | None = None) -> DataFrame:
+def with_context(
+    rows: DataFrame, block: Column, context: int, before: DataFrame | None = None, packed: bool = False
+) -> DataFrame:
     """Add `block`, `is_context` and `pos` (1, 2, ... by time within vehicle and block).
 
     Every block also gets up to `context` rows that directly precede it, marked
     `is_context`. `block` must grow with time within a vehicle and
     (vehicle, datetime) must be unique. Rows that only precede others can be
     given packed: `before` has one row per vehicle, with `points`, an array of
-    the other columns in the order of time, all earlier than the vehicle's rows.
+    structs in the order of time, all earlier than the vehicle's rows; columns
+    that the structs lack are null in context rows. With `packed`, a block's
+    context is one row ahead of the others, with the structs in `tail`, which is
+    null in these; `pos` counts it as one.
 
     Cost: the rows are shuffled once by (vehicle, block). The search for the
     preceding rows reads the same shuffle (one exchange, reused) and then moves
@@ -38,11 +43,13 @@ def with_context(rows: DataFrame, block: Column, context: int, before: DataFrame
     partitioning, so the numbering below needs no further exchange. The window
     by vehicle sees one row per block of a vehicle, not one per point.
     """
-    columns = [*rows.columns, "block"]
     blocks = rows.withColumn("block", block).repartition(*GROUP)
 
     newest = W.partitionBy(*GROUP).orderBy(F.desc("datetime"))
-    payload = ["datetime", *[c for c in rows.columns if c not in ("vehicle", "datetime")]]
+    if before is None:
+        payload = ["datetime", *[c for c in rows.columns if c not in ("vehicle", "datetime")]]
+    else:
+        payload = before.schema["points"].dataType.elementType.names
     tails = (
         blocks.withColumn("from_end", F.row_number().over(newest))
         .filter(F.col("from_end") <= context)
@@ -51,9 +58,8 @@ def with_context(rows: DataFrame, block: Column, context: int, before: DataFrame
     )
     if before is not None:
         # A block ahead of all others: null is the first in the order below.
-        packed = F.transform("points", lambda p: F.struct(*[p[c].alias(c) for c in payload]))
         none = F.lit(None).cast(tails.schema["block"].dataType)
-        tails = tails.unionByName(before.select("vehicle", none.alias("block"), packed.alias("tail")))
+        tails = tails.unionByName(before.select("vehicle", none.alias("block"), F.col("points").alias("tail")))
     # Each block holds at least one row, so `context` blocks back is far enough.
     before = W.partitionBy("vehicle").orderBy("block").rowsBetween(-context, -1)
     earlier = tails.select(*GROUP, F.flatten(F.collect_list("tail").over(before)).alias("p"))
@@ -61,12 +67,14 @@ def with_context(rows: DataFrame, block: Column, context: int, before: DataFrame
         earlier.filter((F.size("p") > 0) & F.col("block").isNotNull())
         .withColumn("p", F.slice("p", F.greatest(F.size("p") - (context - 1), F.lit(1)), context))
         .repartition(*GROUP)
-        .select(*GROUP, F.explode("p").alias("p"))
-        .select(*[F.col(c) if c in GROUP else F.col(f"p.{c}").alias(c) for c in columns])
     )
+    if packed:
+        preceding = preceding.withColumnRenamed("p", "tail")
+    else:
+        preceding = preceding.select(*GROUP, F.inline("p"))
     return (
         blocks.withColumn("is_context", F.lit(False))
-        .unionByName(preceding.withColumn("is_context", F.lit(True)))
+        .unionByName(preceding.withColumn("is_context", F.lit(True)), allowMissingColumns=True)
         .withColumn("pos", F.row_number().over(W.partitionBy(*GROUP).orderBy("datetime")))
     )
 

@@ -33,7 +33,7 @@ CLUSTER_FIELDS = [
     T.StructField("cluster_max_speed", T.DoubleType()),
     T.StructField("cluster_diagonal_m", T.DoubleType()),
 ]
-_HELPERS = ["block", "is_context", "pos"]
+_HELPERS = ["block", "is_context", "pos", "tail"]
 
 
 class FrameStats:
@@ -181,6 +181,39 @@ def _step_bounds(step, pos, fresh):
     return fresh[first], fresh[np.append(first[1:], fresh.size) - 1]
 
 
+def _unpacked(batch: pa.RecordBatch, shift: int) -> tuple[pa.Table, int]:
+    """A batch with the points of each `tail` as rows of their own, and `pos` counting them.
+
+    `shift` is what the tail of the batch's first group, if it came earlier, added to `pos`.
+    """
+    n, tail = batch.num_rows, batch.column("tail")
+    pos = batch.column("pos").to_numpy().astype(np.int64)
+    is_tail = tail.is_valid().to_numpy(zero_copy_only=False)
+    lengths = np.where(is_tail, tail.value_lengths().fill_null(0).to_numpy(), 1).astype(np.int64)
+    starts = pos == 1
+    added = np.append(shift, (lengths - 1)[starts])[np.cumsum(starts)]
+
+    row = np.repeat(np.arange(n), lengths)
+    within = np.arange(row.size) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    of_tail = is_tail[row]
+    number = np.where(of_tail, within + 1, pos[row] + added[row])
+    points = tail.flatten()
+    at = np.where(of_tail, n + np.cumsum(of_tail) - 1, row)
+    index, own = pa.array(at), pa.array(row, mask=of_tail)
+    columns = {}
+    for name in batch.schema.names:
+        if name == "tail" or name == "block":
+            continue
+        column = batch.column(name)
+        if points.type.get_field_index(name) >= 0:
+            flat = points.field(name)
+            columns[name] = pa.concat_arrays([column, flat]).take(index)
+        else:
+            columns[name] = column.take(own)
+    columns["is_context"], columns["pos"] = pa.array(of_tail), pa.array(number)
+    return pa.table(columns), int(added[-1])
+
+
 def _sorted_frames(
     settings: Settings, step: str | None, only: str | None = None
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -198,7 +231,7 @@ def _sorted_frames(
             raise ValueError("rows are not sorted by vehicle, block and time")
         fresh = done + np.flatnonzero(~numpy("is_context")[done:])
         if only is not None:
-            fresh = fresh[numpy(only)[fresh].astype(bool)]
+            fresh = fresh[table.column(only).fill_null(False).to_numpy()[fresh]]
         until = n
         if step is None:
             new = last = fresh
@@ -216,7 +249,7 @@ def _sorted_frames(
         )
         out = None
         if fresh.size:
-            kept = table.drop_columns(_HELPERS).take(pa.array(fresh)).combine_chunks()
+            kept = table.drop_columns([c for c in table.column_names if c in _HELPERS]).take(pa.array(fresh)).combine_chunks()
             arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in kept.columns]
             out = pa.RecordBatch.from_arrays(
                 arrays + stats.arrays(fresh), names=kept.column_names + [f.name for f in CLUSTER_FIELDS]
@@ -225,11 +258,11 @@ def _sorted_frames(
         return out, table.slice(begin), until - begin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, done = None, 0
+        held, done, shift = None, 0, 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            table = pa.Table.from_batches([batch])
+            table, shift = _unpacked(batch, shift)
             if held is not None:
                 table = pa.concat_tables([held, table])
             out, held, done = label(table, done, at_end=False)
@@ -267,7 +300,7 @@ def cluster_points(
         if step is not None:
             raise ValueError("steps need a block expression that does not cut them")
         block = time_block(settings)
-    framed = with_context(rows, block, settings.frame_points, before)
+    framed = with_context(rows, block, settings.frame_points, before, packed=True)
     schema = T.StructType([f for f in framed.schema.fields if f.name not in _HELPERS] + CLUSTER_FIELDS)
     return framed.mapInArrow(_sorted_frames(settings, step, only), schema)
 

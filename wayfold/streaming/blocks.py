@@ -111,18 +111,18 @@ class BlockLabels:
         if met is None:
             return label_points(arrived.select(*POINT), self.settings)
         both = met.filter(F.col("first").isNotNull() & F.col("points").isNotNull())
-        among = both.select("vehicle", F.inline(F.filter("points", lambda p: p["datetime"] >= F.col("first"))))
+        behind = F.element_at("points", -1)["datetime"] < F.col("first")
+        later = F.filter("points", lambda p: p["datetime"] >= F.col("first"))
+        among = both.filter(~behind).select("vehicle", F.inline(later))
         fresh = arrived.join(among.select("vehicle", "datetime"), ["vehicle", "datetime"], "left_anti")
         marked = fresh.select(*POINT, F.lit(True).alias("is_fresh"))
         marked = marked.unionByName(among.select(*POINT, F.lit(False).alias("is_fresh")))
 
-        earlier = both.select("vehicle", F.filter("points", lambda p: p["datetime"] < F.col("first")).alias("points"))
+        earlier = F.filter("points", lambda p: p["datetime"] < F.col("first"))
+        before = both.select("vehicle", F.when(behind, F.col("points")).otherwise(earlier).alias("points"))
         begin = F.greatest(F.size("points") - (self.settings.frame_points - 1), F.lit(1))
-        newest = earlier.select("vehicle", F.slice("points", begin, self.settings.frame_points).alias("points"))
-        old = F.transform("points", lambda p: p.withField("is_fresh", F.lit(False)))
-        return label_points(
-            marked, self.settings, only="is_fresh", before=newest.select("vehicle", old.alias("points"))
-        )
+        newest = before.select("vehicle", F.slice("points", begin, self.settings.frame_points).alias("points"))
+        return label_points(marked, self.settings, only="is_fresh", before=newest)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         greatest = self._greatest_time(batch_id)
